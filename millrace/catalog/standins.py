@@ -135,7 +135,9 @@ def usage(t: Tables) -> DataFrame:
         F.create_map(
             F.lit("group"), F.when(tagged, pick(supp % 8, USAGE_GROUPS)),
             F.lit("agency"), F.concat(F.lit("ag "), as_id(supp % 5)),
+            F.lit("division"), F.concat(F.lit("div "), as_id(supp % 3)),
             F.lit("project"), F.concat(F.lit(" pr"), as_id(key % 6), F.lit(" ")),
+            F.lit("client"), F.concat(F.lit("cl"), as_id(key % 9)),
             F.lit("endpoint"), F.when((line == 2) & (key % 3 == 0), F.concat(F.lit("m"), as_id(key % 50))),
         ).alias("tags"),
         F.struct(
@@ -162,7 +164,8 @@ USAGE_SQL = f"""usage AS (
          CAST(l_shipdate AS DATE) AS usage_date, l_shipdate AS usage_time, l_quantity AS quantity,
          {sql_pick('l_linenumber % 4', ['JOBS', 'SQL', 'MODEL_SERVING', 'VECTOR_SEARCH'])} AS product,
          CASE WHEN l_returnflag <> 'N' THEN {sql_pick('l_suppkey % 8', USAGE_GROUPS)} END AS tag_group,
-         'ag ' || (l_suppkey % 5) AS tag_agency, ' pr' || (l_partkey % 6) || ' ' AS tag_project,
+         'ag ' || (l_suppkey % 5) AS tag_agency, 'div ' || (l_suppkey % 3) AS tag_division,
+         ' pr' || (l_partkey % 6) || ' ' AS tag_project, 'cl' || (l_partkey % 9) AS tag_client,
          CASE WHEN l_linenumber = 2 AND l_partkey % 3 = 0 THEN 'm' || (l_partkey % 50) END AS model,
          CASE WHEN l_linenumber = 1 THEN CAST(l_partkey % 200 AS VARCHAR) END AS job,
          CASE WHEN l_linenumber = 5 THEN CAST(l_suppkey % 40 AS VARCHAR) END AS warehouse,

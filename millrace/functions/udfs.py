@@ -9,6 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def first_letter(text: str) -> str | None:
@@ -18,12 +19,12 @@ def first_letter(text: str) -> str | None:
 first_letter_udf = F.udf(first_letter)
 
 
-@F.udf("string")
+@F.udf(T.StringType())
 def first_letter_typed(text: str) -> str | None:
     return text[0] if text else None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def first_letter_batch(text: pd.Series) -> pd.Series:
     return text.str[0]
 
