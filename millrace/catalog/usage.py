@@ -57,6 +57,11 @@ def fact(t: Tables, which: str | None = None):
     return U.daily_fact(records, S.contract_prices(t), S.list_prices(t), tags(t), RULES)
 
 
+def stored_fact(t: Tables):
+    """The fact as the stored table that roll-ups and reports read."""
+    return workspace.stored(lambda: fact(t), t.spark, "usage-fact", t.root)
+
+
 def contracts(t: Tables):
     rows = t.spark.createDataFrame(CONTRACTS, CONTRACT_DDL)
     return rows.withColumn("date_from", F.to_date("date_from")).withColumn("date_to", F.to_date("date_to"))
@@ -68,8 +73,17 @@ def terms(t: Tables, which: str, by_sub_group: bool = False):
 
 
 def settled_terms(t: Tables, by_sub_group: bool = False):
-    """Archive and current month, each written once so that later steps read small tables."""
-    return [workspace.settle(terms(t, which, by_sub_group), which) for which in ("history", "current")]
+    """Archive and current month with their terms, from one pass over the usage.
+
+    The monthly cost is written once: it is tiny, and both parts read it.
+    """
+    cost = workspace.settle(U.monthly_cost(stored_fact(t), ROLLED, ROOT, by_sub_group), "monthly")
+    first = F.make_date("year", "month", F.lit(1))
+    start = F.lit(AS_OF.replace(day=1))
+    return [
+        U.with_contract_terms(part, contracts(t), "group", "CORE")
+        for part in (cost.filter(first < start), cost.filter(first >= start))
+    ]
 
 
 def rounded(df, *columns, digits: int = 4):
@@ -243,15 +257,16 @@ def dashboard(t):
 
 @query("dbu_14", S.with_sql(*FACT_CTES, CONTRACTS_SQL, terms_sql(True), SUB_CUMULATIVE_SQL) + """SELECT 'summary' AS report, NULL AS sub_group, strftime(ym, '%Y-%m-%d') AS year_month, round(sum(usage_cost), 4) AS usage_cost,
   round(avg(month_budget), 4) AS month_budget, round(avg(committed), 4) AS committed, round(CASE WHEN avg(hard_limit) = 0 THEN sum(committed) * 0.95 ELSE avg(hard_limit) END, 4) AS hard_limit,
-  round(avg(cumulative_usage_cost), 4) AS cumulative_usage_cost FROM sub_cumulated WHERE main_group = 'CORE-GROUP' GROUP BY ym
+  round(avg(cumulative_usage_cost), 7) AS cumulative_usage_cost FROM sub_cumulated WHERE main_group = 'CORE-GROUP' GROUP BY ym
   UNION ALL SELECT 'detail', ifnull(sub_group, '-1'), strftime(ym, '%Y-%m-%d'), round(sum(usage_cost), 4), round(sum(month_budget), 4), round(sum(committed), 4),
-  round(CASE WHEN sum(hard_limit) = 0 THEN sum(committed) * 0.95 ELSE sum(hard_limit) END, 4), round(sum(cumulative_usage_cost), 4) FROM sub_cumulated WHERE main_group = 'CORE-GROUP' GROUP BY sub_group, ym""")
+  round(CASE WHEN sum(hard_limit) = 0 THEN sum(committed) * 0.95 ELSE sum(hard_limit) END, 4), round(sum(cumulative_usage_cost), 7) FROM sub_cumulated WHERE main_group = 'CORE-GROUP' GROUP BY sub_group, ym""")
 def agency_report(t):
     cumulated = workspace.settle(U.cumulative_by_sub_group(*settled_terms(t, True)), "cumulated")
     columns = ["report", "sub_group", "year_month", "usage_cost", "month_budget", "committed", "hard_limit", "cumulative_usage_cost"]
     summary = U.agency_summary(cumulated, ROOT).withColumns({"report": F.lit("summary"), "sub_group": F.lit(None).cast("string")})
     detail = U.agency_detail(cumulated, ROOT).withColumn("report", F.lit("detail"))
-    both = rounded(summary.select(*columns).unionByName(detail.select(*columns)), "usage_cost", "cumulative_usage_cost")
+    both = rounded(summary.select(*columns).unionByName(detail.select(*columns)), "usage_cost")
+    both = rounded(both, "cumulative_usage_cost", digits=7)
     return rounded(both, "month_budget", "committed", "hard_limit")
 
 
@@ -271,7 +286,7 @@ def workspaces(t):
   FROM fact LEFT JOIN ws USING (workspace_id) WHERE cost_group IS NULL OR cost_group NOT LIKE '%-GROUP%' OR workspace IS NULL OR entity_type IS NULL
   GROUP BY workspace, host, workspace_id, cost_group, sku, entity_type, entity_id, project""")
 def untagged_audit(t):
-    return rounded(U.untagged_audit(fact(t), workspaces(t), "%-GROUP%"), "net_cost")
+    return rounded(U.untagged_audit(stored_fact(t), workspaces(t), "%-GROUP%"), "net_cost")
 
 
 @query("dbu_16", S.with_sql(S.USAGE_SQL, TAGS_SQL) + """SELECT 'tags' AS source, count(*) AS doubled FROM (SELECT entity_id FROM tags GROUP BY 1 HAVING count(*) > 1)
@@ -284,7 +299,7 @@ def duplicate_entities(t):
 
 @query("dbu_17", FACT + "SELECT sku, listed_rate, contract_rate, strftime(min(usage_date), '%Y-%m-%d') AS first_day, strftime(max(usage_date), '%Y-%m-%d') AS last_day FROM fact GROUP BY 1, 2, 3")
 def price_coverage(t):
-    return U.price_coverage(fact(t))
+    return U.price_coverage(stored_fact(t))
 
 
 OVERRIDES = [
@@ -300,12 +315,12 @@ OVERRIDES = [
       SELECT *, CASE WHEN hit1 THEN 'HAND-GROUP' ELSE cost_group END AS g1, CASE WHEN hit1 THEN 'HAND' ELSE agency END AS a1 FROM (
         SELECT *, strftime(usage_date, '%Y-%m-%d') AS usage_date_text, coalesce(entity_id IN ('job/3', 'cluster/17', 'warehouse/9') OR workspace_id = 'ws7', false) AND cost_group IS NULL AS hit1 FROM fact))))""")
 def overrides(t):
-    return U.apply_overrides(fact(t), OVERRIDES).select("usage_date", "workspace_id", "sku", "entity_id", "agency", "cost_group")
+    return U.apply_overrides(stored_fact(t), OVERRIDES).select("usage_date", "workspace_id", "sku", "entity_id", "agency", "cost_group")
 
 
 @query("dbu_19", BY_GROUP + """SELECT CASE main_group WHEN 'PX-GROUP' THEN 'PX-NEW' WHEN 'GAMMA' THEN 'GAMMA-GROUP' ELSE main_group END AS main_group, count(*) AS months, round(sum(usage_cost), 3) AS usage_cost FROM terms GROUP BY 1""")
 def renamed_groups(t):
-    whole = U.with_contract_terms(U.monthly_cost(fact(t), ROLLED, ROOT), contracts(t), "group", "CORE")
+    whole = U.with_contract_terms(U.monthly_cost(stored_fact(t), ROLLED, ROOT), contracts(t), "group", "CORE")
     renamed = U.rename_groups(whole, "main_group", {"PX-GROUP": "PX-NEW", "GAMMA": "GAMMA-GROUP"})
     return renamed.groupBy("main_group").agg(F.count("*").alias("months"), F.round(F.sum("usage_cost"), 3).alias("usage_cost"))
 
@@ -313,7 +328,7 @@ def renamed_groups(t):
 @query("dbu_20", FACT + f"SELECT {_main} AS main_group, cost_group, count(*) AS rows FROM fact GROUP BY 1, 2")
 def rolled_groups(t):
     main = U.parent_group(F.col("cost_group"), ROLLED, ROOT)
-    return fact(t).groupBy(main.alias("main_group"), "cost_group").agg(F.count("*").alias("rows"))
+    return stored_fact(t).groupBy(main.alias("main_group"), "cost_group").agg(F.count("*").alias("rows"))
 
 
 @query("dbu_21", """SELECT CAST(year(l_shipdate) AS BIGINT) AS year, CAST(month(l_shipdate) AS BIGINT) AS month, sum(l_quantity) AS quantity, count(*) AS records

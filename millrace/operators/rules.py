@@ -46,20 +46,20 @@ def pattern_targets(
     its ``pattern``.  With several matches the lowest priority number wins, or
     with ``on_conflict="error"`` different results stop the job.
     """
-    pairs = df.select(F.col(owner).alias("_owner"), F.col(value).alias("_value")).distinct()
+    pairs = df.select(F.col(owner).alias("_rule_owner"), F.col(value).alias("_rule_value")).distinct()
     hit = pairs.join(
         rules.select("priority", "pattern", "original", "new"),
-        (F.col("_owner") == F.col("original")) & F.expr("_value LIKE pattern"),
+        (F.col("_rule_owner") == F.col("original")) & F.expr("_rule_value LIKE pattern"),
     )
-    best = hit.groupBy("_owner", "_value").agg(
-        F.min_by("new", F.struct("priority", "new")).alias("_new"),
-        F.min("new").alias("_low"),
-        F.max("new").alias("_high"),
+    best = hit.groupBy("_rule_owner", "_rule_value").agg(
+        F.min_by("new", F.struct("priority", "new")).alias("_rule_new"),
+        F.min("new").alias("_rule_low"),
+        F.max("new").alias("_rule_high"),
     )
     if on_conflict == "error":
-        clash = F.raise_error(F.concat(F.lit("several rules match "), F.col("_value"))).cast("string")
-        best = best.withColumn("_new", F.when(F.col("_low") == F.col("_high"), F.col("_new")).otherwise(clash))
-    return best.select("_owner", "_value", "_new")
+        clash = F.raise_error(F.concat(F.lit("several rules match "), F.col("_rule_value"))).cast("string")
+        best = best.withColumn("_rule_new", F.when(F.col("_rule_low") == F.col("_rule_high"), F.col("_rule_new")).otherwise(clash))
+    return best.select("_rule_owner", "_rule_value", "_rule_new")
 
 
 def with_pattern_target(
@@ -68,17 +68,17 @@ def with_pattern_target(
     """Add the matching rule's ``new`` as ``output``, null where none matches."""
     targets = pattern_targets(df, owner, value, rules, on_conflict)
     joined = df.join(
-        targets, (F.col(owner) == F.col("_owner")) & (F.col(value) == F.col("_value")), "left"
+        targets, (F.col(owner) == F.col("_rule_owner")) & (F.col(value) == F.col("_rule_value")), "left"
     )
-    return joined.select(*df.columns, F.col("_new").alias(output))
+    return joined.select(*df.columns, F.col("_rule_new").alias(output))
 
 
 def with_exact_target(df: DataFrame, key: Column, rules: DataFrame, match: str, output: str) -> DataFrame:
     """Add ``new`` of the first rule whose ``match`` column equals ``key``."""
-    first = rules.groupBy(F.col(match).alias("_match")).agg(
-        F.min_by("new", F.struct("priority", "new")).alias("_new")
+    first = rules.groupBy(F.col(match).alias("_rule_match")).agg(
+        F.min_by("new", F.struct("priority", "new")).alias("_rule_new")
     )
-    return df.join(first, key == F.col("_match"), "left").select(*df.columns, F.col("_new").alias(output))
+    return df.join(first, key == F.col("_rule_match"), "left").select(*df.columns, F.col("_rule_new").alias(output))
 
 
 def suffix_lookup(

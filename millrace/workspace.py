@@ -43,3 +43,16 @@ def settle(df: DataFrame, label: str = "stage") -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(df_of, spark: SparkSession, label: str, source: str) -> DataFrame:
+    """A fact table that later reports read: written once per application and input folder."""
+    key = (spark.sparkContext.applicationId, label, source)
+    if key not in _STORED:
+        path = fresh_path(spark, label)
+        df_of().write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])

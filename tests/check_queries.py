@@ -22,7 +22,7 @@ def main() -> int:
         try:
             problems = compare(spark, con, root, name)
         except Exception as error:  # noqa: BLE001
-            problems = [f"{type(error).__name__}: {str(error)[:900]}"]
+            problems = [f"{type(error).__name__}: {str(error)[:500]}"]
             if "-v" in sys.argv:
                 traceback.print_exc()
         took = time.time() - start
