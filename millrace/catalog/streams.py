@@ -1 +1,254 @@
+"""Streams over files landed from the given tables; each result equals its batch twin."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from millrace import workspace
+from millrace.catalog.registry import Tables, query
+from millrace.functions.columns import batch_number
+from millrace.operators import quality as Q
+from millrace.streaming import cdc, ingest, refresh
+
+EVENT_SHAPE = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, us BIGINT"
+EVENT_SQL = "SELECT event_id, user_id, event_type, value, epoch_us(ts) AS us FROM events"
+
+
+def feed(t: Tables):
+    return t.events.select("event_id", "user_id", "event_type", "value", F.unix_micros("ts").alias("us"))
+
+
+def landed(t: Tables, kind: str = "json") -> str:
+    """Folder of event files, as a collector would leave them."""
+    path = t.out(f"landed-{kind}")
+    feed(t).write.format(kind).option("header", True).save(path)
+    return path
+
+
+def streamed(t: Tables, rows):
+    out = t.out("stream")
+    ingest.append(rows, f"{out}/data", f"{out}/checkpoint")
+    return t.spark.read.parquet(f"{out}/data")
+
+
+@query("stm_01", EVENT_SQL)
+def inferred_ingest(t):
+    path = landed(t)
+    shape = ingest.hinted_schema(t.spark, path, "json", {})
+    return streamed(t, ingest.stream_files(t.spark, path, shape))
+
+
+@query("stm_02", "SELECT event_id::VARCHAR AS event_id, user_id::VARCHAR AS user_id, event_type, value::VARCHAR AS value, epoch_us(ts)::VARCHAR AS us FROM events")
+def text_ingest(t):
+    path = landed(t)
+    return streamed(t, ingest.stream_files(t.spark, path, ingest.all_text(feed(t).schema)))
+
+
+@query("stm_03", "SELECT event_id, user_id::DOUBLE AS user_id, event_type, value, epoch_us(ts)::DOUBLE AS us FROM events")
+def hinted_ingest(t):
+    path = landed(t)
+    shape = ingest.hinted_schema(t.spark, path, "json", {"us": "double", "user_id": "double"})
+    return streamed(t, ingest.stream_files(t.spark, path, shape))
+
+
+@query("stm_04", EVENT_SQL)
+def csv_ingest(t):
+    return streamed(t, ingest.stream_files(t.spark, landed(t, "csv"), EVENT_SHAPE, "csv", header="true"))
+
+
+@query("stm_05", """SELECT event_id, event_type, CASE WHEN event_type = 'error' THEN '{"value":"' || value || '"}' END AS _rescued_data FROM events""")
+def rescued_ingest(t):
+    """Fields the schema does not know are kept as JSON text."""
+    path = t.out("landed")
+    entry = F.when(F.col("event_type") == "error", F.to_json(F.struct("event_id", "event_type", "value"))).otherwise(F.to_json(F.struct("event_id", "event_type")))
+    t.events.select(entry.alias("value")).write.text(path)
+    lines = t.spark.readStream.text(path)
+    return streamed(t, ingest.with_rescued(lines, "event_id BIGINT, event_type STRING", ["event_id", "event_type"]))
+
+
+@query("stm_06", "SELECT event_id, user_id, event_type, value, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS at FROM events")
+def silver_append(t):
+    rows = ingest.stream_files(t.spark, landed(t), EVENT_SHAPE)
+    stamped = rows.select("*", F.col("_metadata.file_path").alias("source_file"))
+    return streamed(t, stamped.select("*", F.timestamp_micros("us").alias("at")).drop("us", "source_file"))
+
+
+def rules():
+    typed = F.nullif("event_type", F.lit("view"))
+    return {"positive": F.col("value") > 1, "not_error": typed != "error"}
+
+
+@query("stm_07", "SELECT event_id, value > 1 AS positive, coalesce(nullif(event_type, 'view') <> 'error', false) AS not_error FROM events")
+def expectation_warn(t):
+    """All rows stay; a null condition counts as failed."""
+    rows = ingest.stream_files(t.spark, landed(t), EVENT_SHAPE)
+    return streamed(t, Q.expect(rows, rules())).select("event_id", "positive", "not_error")
+
+
+@query("stm_08", "SELECT event_id, event_type, value FROM events WHERE value > 1 AND nullif(event_type, 'view') <> 'error'")
+def expectation_drop(t):
+    rows = ingest.stream_files(t.spark, landed(t), EVENT_SHAPE)
+    return streamed(t, Q.expect_or_drop(rows, rules())).select("event_id", "event_type", "value")
+
+
+@query("stm_09", "SELECT event_id, value FROM events")
+def expectation_fail(t):
+    """No row breaks the rule here; one that did would stop the stream."""
+    rows = ingest.stream_files(t.spark, landed(t), EVENT_SHAPE)
+    return streamed(t, Q.expect_or_fail(rows, {"known_time": F.col("us") > 0})).select("event_id", "value")
+
+
+@query("stm_10", """SELECT 'events' AS dataset, 'positive' AS name, count(*) FILTER (WHERE value > 1) AS passed_records, count(*) FILTER (WHERE NOT value > 1) AS failed_records FROM events
+  UNION ALL SELECT 'events', 'not_error', count(*) FILTER (WHERE nullif(event_type, 'view') <> 'error'), count(*) FILTER (WHERE NOT coalesce(nullif(event_type, 'view') <> 'error', false)) FROM events""")
+def expectation_metrics(t):
+    return Q.expectation_metrics(t.events, "events", rules())
+
+
+CDC_SQL = """SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+  WHERE rn = 1 AND event_type <> 'error'"""
+
+
+def applied(t: Tables, first, second):
+    """Land and apply two deliveries of changes one after the other."""
+    path, state, checkpoint = t.out("changes"), t.out("state"), t.out("checkpoint")
+    for delivery in (first, second):
+        feed(t).filter(delivery).write.mode("append").json(path)
+        cdc.apply_changes(ingest.stream_files(t.spark, path, EVENT_SHAPE), ["user_id"], ["us", "event_id"], state, checkpoint)
+    rows = cdc.visible(cdc.read_state(t.spark, state), ["user_id"], ["us", "event_id"], F.col("event_type") == "error", ["us"])
+    return rows.select("user_id", "event_id", "event_type", "value")
+
+
+@query("stm_11", CDC_SQL)
+def change_capture(t):
+    middle = F.unix_micros(F.lit("2024-01-16").cast("timestamp"))
+    return applied(t, F.col("us") < middle, F.col("us") >= middle)
+
+
+@query("stm_12", CDC_SQL)
+def late_changes(t):
+    """The newer half is delivered first; older changes must not win or revive a deleted key."""
+    middle = F.unix_micros(F.lit("2024-01-16").cast("timestamp"))
+    return applied(t, F.col("us") >= middle, F.col("us") < middle)
+
+
+@query("jon_17", """SELECT event_id, e.user_id, c_name, c_mktsegment FROM events e LEFT JOIN customer ON e.user_id = c_custkey AND c_acctbal > 0""")
+def stream_static_join(t):
+    known = t.customer.filter("c_acctbal > 0").select(F.col("c_custkey").alias("user_id"), "c_name", "c_mktsegment")
+    rows = ingest.stream_files(t.spark, landed(t), EVENT_SHAPE)
+    return streamed(t, rows.join(known, "user_id", "left").select("event_id", "user_id", "c_name", "c_mktsegment"))
+
+
+LINE_SHAPE = "l_orderkey BIGINT, l_partkey BIGINT, l_quantity DOUBLE, shipped TIMESTAMP"
+ORDER_SHAPE = "o_orderkey BIGINT, o_custkey BIGINT, ordered TIMESTAMP"
+
+
+def landed_orders(t: Tables) -> tuple[str, str]:
+    orders, lines = t.out("orders"), t.out("lines")
+    t.orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").alias("ordered")).write.json(orders)
+    t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", F.col("l_shipdate").alias("shipped")).write.json(lines)
+    return orders, lines
+
+
+@query("jon_18", "SELECT l_orderkey, o_custkey, l_partkey, l_quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey AND l_shipdate >= o_orderdate - INTERVAL 1 DAY AND l_shipdate <= o_orderdate + INTERVAL 3000 DAY")
+def stream_stream_join(t):
+    """Both sides carry a watermark and the join a time range, so state can be dropped."""
+    orders, lines = landed_orders(t)
+    left = ingest.watermarked(ingest.stream_files(t.spark, lines, LINE_SHAPE), "shipped", "3000 days")
+    right = ingest.watermarked(ingest.stream_files(t.spark, orders, ORDER_SHAPE), "ordered", "3000 days")
+    on = F.expr("l_orderkey = o_orderkey AND shipped >= ordered - INTERVAL 1 DAY AND shipped <= ordered + INTERVAL 3000 DAY")
+    return streamed(t, left.join(right, on).select("l_orderkey", "o_custkey", "l_partkey", "l_quantity"))
+
+
+@query("stm_13", """SELECT c_mktsegment, count(*) AS events, round(sum(value), 2) AS value FROM events JOIN customer ON user_id = c_custkey GROUP BY 1""")
+def enriched_stream(t):
+    known = t.customer.select(F.col("c_custkey").alias("user_id"), "c_mktsegment")
+    rows = ingest.stream_files(t.spark, landed(t), EVENT_SHAPE)
+    joined = streamed(t, rows.join(known, "user_id").select("event_id", "c_mktsegment", "value"))
+    return joined.groupBy("c_mktsegment").agg(F.count("*").alias("events"), F.round(F.sum("value"), 2).alias("value"))
+
+
+@query("stm_14", "SELECT o_custkey, count(*) AS lines, sum(l_quantity) AS quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1")
+def joined_streams(t):
+    """Stream-stream join without a time range: every row stays in state."""
+    orders, lines = landed_orders(t)
+    left, right = ingest.stream_files(t.spark, lines, LINE_SHAPE), ingest.stream_files(t.spark, orders, ORDER_SHAPE)
+    joined = streamed(t, left.join(right, F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey", "l_quantity"))
+    return joined.groupBy("o_custkey").agg(F.count("*").alias("lines"), F.sum("l_quantity").alias("quantity"))
+
+
+@query("stm_15", "SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, round(avg(value), 4) AS mean_value FROM events GROUP BY 1, 2")
+def streaming_aggregate(t):
+    rows = ingest.stream_files(t.spark, landed(t), EVENT_SHAPE)
+    day = F.timestamp_micros("us").cast("date")
+    mean = rows.groupBy("user_id", day.alias("day")).agg(F.round(F.mean("value"), 4).alias("mean_value"))
+    out = t.out("daily")
+    ingest.aggregate(mean, f"{out}/data", f"{out}/checkpoint")
+    return t.spark.read.parquet(f"{out}/data")
+
+
+def landing(t: Tables) -> str:
+    """Orders, their status and a customer change feed as JSON files."""
+    path = t.out("landing")
+    t.orders.select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+        F.when(F.col("o_orderkey") % 3 == 0, "Y").otherwise("N").alias("notifications"), F.unix_seconds("o_orderdate").alias("order_timestamp"),
+    ).write.json(f"{path}/orders")
+    t.orders.select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"),
+        F.when(F.col("o_orderkey") % 10 != 0, F.unix_seconds("o_orderdate") + 86400).alias("status_timestamp"),
+    ).write.json(f"{path}/status")
+    email = F.when(F.col("c_custkey") % 8 == 0, "broken").otherwise(F.concat(F.lower("c_name"), F.lit("@mail.com")))
+    new = t.customer.select(
+        F.col("c_custkey").cast("string").alias("customer_id"), F.col("c_name").alias("name"), email.alias("email"),
+        F.concat(F.lit("S"), F.col("c_nationkey").cast("string")).alias("state"), F.lit("NEW").alias("operation"), F.lit("100").alias("timestamp"),
+    )
+    moved = new.filter("cast(customer_id AS bigint) % 4 = 1").withColumns({"state": F.lit("MOVED"), "operation": F.lit("UPDATE"), "timestamp": F.lit("200")})
+    gone = new.filter("cast(customer_id AS bigint) % 9 = 2").select(
+        "customer_id", F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("email"),
+        F.lit(None).cast("string").alias("state"), F.lit("DELETE").alias("operation"), F.lit("300").alias("timestamp"),
+    )
+    new.unionByName(moved).unionByName(gone).write.json(f"{path}/customers")
+    return path
+
+
+PEOPLE_SQL = """people AS (SELECT c_custkey, c_name AS name, lower(c_name) || '@mail.com' AS email, CASE WHEN c_custkey % 4 = 1 THEN 'MOVED' ELSE 'S' || c_nationkey END AS state
+  FROM customer WHERE c_custkey % 9 <> 2 AND c_custkey % 8 <> 0)"""
+
+
+@query("stm_16", f"WITH {PEOPLE_SQL} " + """SELECT 'orders' AS result, strftime(o_orderdate, '%Y-%m-%d') AS key, count(*) AS total FROM orders GROUP BY 2
+  UNION ALL SELECT 'customers', state, count(*) FROM people GROUP BY 2""")
+def gold_tables(t):
+    gold = refresh.run(t.spark, landing(t), t.out("refresh"), "2024-02-01")
+    by_date = gold["orders_by_date"].select(F.lit("orders").alias("result"), F.date_format("order_date", "yyyy-MM-dd").alias("key"), F.col("total_daily_orders").alias("total"))
+    by_state = gold["customers_by_state"].select(F.lit("customers").alias("result"), F.col("state").alias("key"), F.col("customer_count").alias("total"))
+    return by_date.unionByName(by_state)
+
+
+@query("stm_17", f"WITH {PEOPLE_SQL} " + """SELECT c_custkey::VARCHAR AS customer_id, o_orderkey AS order_id, name, email, o_orderstatus AS status FROM orders JOIN people ON o_custkey = c_custkey
+  WHERE o_orderkey % 3 = 0 AND o_orderkey % 10 <> 0""")
+def gold_join(t):
+    gold = refresh.run(t.spark, landing(t), t.out("refresh"), "2024-02-01")
+    return gold["order_updates"].select("customer_id", "order_id", "name", "email", "status")
+
+
+@query("stm_18", """SELECT user_id, strftime(make_timestamp((epoch_us(ts) // 180000000 + 1) * 180000000), '%Y-%m-%d %H:%M:%S.%f') AS window_end, round(avg(value), 4) AS mean_value
+  FROM events GROUP BY 1, 2""")
+def tumbling_window(t):
+    """Three-minute means; a window is dropped from state once it is past the watermark."""
+    rows = ingest.stream_files(t.spark, landed(t), EVENT_SHAPE).withColumn("at", F.timestamp_micros("us"))
+    rows = ingest.watermarked(rows, "at", "60 days")
+    mean = rows.groupBy("user_id", F.window("at", "3 minutes").alias("w")).agg(F.avg("value").alias("mean_value"))
+    out = t.out("windows")
+    ingest.aggregate_updates(mean.select("user_id", F.col("w.end").alias("window_end"), F.round("mean_value", 4).alias("mean_value")), f"{out}/data", f"{out}/checkpoint")
+    return ingest.newest_windows(t.spark, f"{out}/data", ["user_id", "window_end"])
+
+
+@query("stm_19", "SELECT event_id, user_id, event_type, value, epoch_us(ts) AS us FROM events WHERE day(ts) IN (1, 2, 3) OR day(ts) > 20")
+def replayed(t):
+    """Chosen batches of the month replayed one by one into a running stream's folder."""
+    folder, out = t.out("replay"), t.out("stream")
+    source = workspace.settle(feed(t).withColumn("batch", batch_number(F.timestamp_micros("us"), 21)), "batches")
+    for number in (1, 2, 3, 21):
+        ingest.replay(source.drop("batch"), source["batch"], number, folder)
+        ingest.append(ingest.stream_files(t.spark, folder, EVENT_SHAPE), f"{out}/data", f"{out}/checkpoint")
+    return t.spark.read.parquet(f"{out}/data")

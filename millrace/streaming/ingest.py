@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.newest import latest_per_key
+
 
 def stream_files(spark: SparkSession, path: str, schema: str | T.StructType, kind: str = "json", files_per_batch: int = 1000, **options: str) -> DataFrame:
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
@@ -67,6 +69,26 @@ def aggregate(df: DataFrame, out: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def aggregate_updates(df: DataFrame, out: str, checkpoint: str) -> None:
+    """Run a windowed aggregate whose state is bounded by a watermark.
+
+    Each micro-batch stores only the windows it changed, in its own folder;
+    :func:`newest_windows` reads the last value of each.
+    """
+    def store(batch: DataFrame, number: int) -> None:
+        batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{out}/update={number}")
+
+    query = (
+        df.writeStream.foreachBatch(store).outputMode("update")
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+
+
+def newest_windows(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFrame:
+    return latest_per_key(spark.read.parquet(out).drop("update"), keys, ["batch"]).drop("batch")
+
+
 def watermarked(df: DataFrame, column: str, delay: str | None) -> DataFrame:
     return df if delay is None else df.withWatermark(column, delay)
 
