@@ -25,6 +25,8 @@ class Tables:
         # (UTC) so that time filters still reach the scan.
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         spark.conf.set("spark.sql.parquet.inferTimestampNTZ.enabled", "false")
+        # see millrace.session: wide generated methods are split, not interpreted
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
         self.spark = spark
         self.root = root.rstrip("/")
 

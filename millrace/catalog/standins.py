@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace import workspace
 from millrace.catalog.registry import Tables
 
 # ---------------------------------------------------------------- shop events
@@ -19,7 +20,7 @@ STATES = ["CA", "NY", "TX", "WA"]
 
 def pick(index, values: list[str]):
     """Element of a short fixed list chosen by an integer column."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+    return F.elt((index + 1).cast("int"), *[F.lit(v) for v in values])
 
 
 def sql_pick(index: str, values: list[str]) -> str:
@@ -231,11 +232,16 @@ BILL_GROUPS = ["atlas", " Borealis", "cms core", "vega", "", "south unit"]
 
 
 def bill_source(t: Tables) -> DataFrame:
+    """The delivered bill: a table written once per application, read by every product."""
+    return workspace.stored(lambda: bill_lines(t), t.spark, "bill-source", t.root)
+
+
+def bill_lines(t: Tables) -> DataFrame:
     """Raw bill lines as a provider would deliver them: blanks, mixed case, nulls."""
     line, supp, key, order = F.col("l_linenumber"), F.col("l_suppkey"), F.col("l_partkey"), F.col("l_orderkey")
     text = lambda c: c.cast("string")
     tagged = F.col("l_returnflag") != "N"
-    return t.lineitem.select(
+    return workspace.spread(t.lineitem).select(
         F.year("l_shipdate").cast("bigint").alias("year"),
         F.month("l_shipdate").cast("bigint").alias("month"),
         F.col("l_shipdate").alias("usage_time"),

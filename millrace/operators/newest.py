@@ -47,39 +47,37 @@ def newest_value_fill(
     Columns in ``keep_nulls`` take the newest row's value even when it is null.
     An empty string counts as a value unless ``blank_as_null``.
 
-    With ``bypass_blank`` rows whose key is null or blank are returned as they
-    are and never shuffled: that group is usually the largest of all and has
-    no meaning as an entity.
+    With ``bypass_blank`` rows whose key is null or blank keep their values.
+    That group is usually the largest of all and means nothing as an entity,
+    so each of its rows gets a key of its own and the rows spread evenly over
+    the join's tasks.
     """
-    at = F.struct(F.col(order), F.col(tie))
     aggregates = []
     for name in columns:
         value = F.nullif(F.col(name), F.lit("")) if blank_as_null else F.col(name)
-        if name in keep_nulls:
-            newest = F.max_by(F.struct(F.col(order).alias("at"), value.alias("value")), at)
-        else:
-            newest = F.max_by(
-                F.struct(F.col(order).alias("at"), value.alias("value")), F.when(value.isNotNull(), at)
-            )
+        entry = F.struct(F.col(order).alias("at"), F.col(tie).alias("tie"), value.alias("value"))
+        newest = F.max(entry if name in keep_nulls else F.when(value.isNotNull(), entry))
         aggregates.append(newest.alias(f"_newest_{name}"))
 
-    has_key = F.coalesce(F.col(key) != "", F.lit(False)) if bypass_blank else F.lit(True)
-    keyed = df.filter(has_key)
-    newest = keyed.groupBy(F.col(key).alias("_key")).agg(*aggregates)
-    joined = keyed.join(newest, F.col(key).eqNullSafe(F.col("_key")), "left")
+    key_column = F.col(key)
+    if bypass_blank:
+        has_key = F.coalesce(key_column != "", F.lit(False))
+        join_key = F.when(has_key, key_column).otherwise(F.concat(F.lit("\u0000"), F.col(tie).cast("string")))
+        newest = df.filter(has_key).groupBy(key_column.alias("_key")).agg(*aggregates)
+        joined = df.withColumn("_join_key", join_key).join(newest, F.col("_join_key") == F.col("_key"), "left")
+    else:
+        has_key = F.lit(True)
+        newest = df.groupBy(key_column.alias("_key")).agg(*aggregates)
+        joined = df.join(newest, key_column.eqNullSafe(F.col("_key")), "left")
     filled = []
     for name in df.columns:
-        if name in keep_nulls and name in columns:
-            filled.append(F.col(f"_newest_{name}")["value"].alias(name))
-        elif name in columns:
-            best = F.col(f"_newest_{name}")
-            filled.append(F.when(F.col(order) <= best["at"], best["value"]).alias(name))
-        else:
+        best = F.col(f"_newest_{name}")
+        if name not in columns:
             filled.append(F.col(name))
-    result = joined.select(*filled)
-    if bypass_blank:
-        result = result.unionByName(df.filter(~has_key))
-    return result
+            continue
+        value = best["value"] if name in keep_nulls else F.when(F.col(order) <= best["at"], best["value"])
+        filled.append(F.when(has_key, value).otherwise(F.col(name)).alias(name) if bypass_blank else value.alias(name))
+    return joined.select(*filled)
 
 
 def last_value_over(

@@ -10,6 +10,9 @@ from pyspark.sql import SparkSession
 COMMON = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
+    # Wide rows (dozens of tag columns) generate methods the JVM will not compile;
+    # above this size Spark splits them instead of running them interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -45,6 +45,16 @@ def settle(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share the rows of a few input files among all cores before heavy work on each row.
+
+    A dataset with at least one file per core, as any large one has, is left
+    as it is: no shuffle is added.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 _STORED: dict[tuple[str, str, str], str] = {}
 
 
