@@ -318,11 +318,11 @@ def overrides(t):
     return U.apply_overrides(stored_fact(t), OVERRIDES).select("usage_date", "workspace_id", "sku", "entity_id", "agency", "cost_group")
 
 
-@query("dbu_19", BY_GROUP + """SELECT CASE main_group WHEN 'PX-GROUP' THEN 'PX-NEW' WHEN 'GAMMA' THEN 'GAMMA-GROUP' ELSE main_group END AS main_group, count(*) AS months, round(sum(usage_cost), 3) AS usage_cost FROM terms GROUP BY 1""")
+@query("dbu_19", BY_GROUP + """SELECT CASE main_group WHEN 'PX-GROUP' THEN 'PX-NEW' WHEN 'GAMMA' THEN 'GAMMA-GROUP' ELSE main_group END AS main_group, count(*) AS months, round(sum(usage_cost), 4) AS usage_cost FROM terms GROUP BY 1""")
 def renamed_groups(t):
     whole = U.with_contract_terms(U.monthly_cost(stored_fact(t), ROLLED, ROOT), contracts(t), "group", "CORE")
     renamed = U.rename_groups(whole, "main_group", {"PX-GROUP": "PX-NEW", "GAMMA": "GAMMA-GROUP"})
-    return renamed.groupBy("main_group").agg(F.count("*").alias("months"), F.round(F.sum("usage_cost"), 3).alias("usage_cost"))
+    return renamed.groupBy("main_group").agg(F.count("*").alias("months"), F.round(F.sum("usage_cost"), 4).alias("usage_cost"))
 
 
 @query("dbu_20", FACT + f"SELECT {_main} AS main_group, cost_group, count(*) AS rows FROM fact GROUP BY 1, 2")

@@ -99,11 +99,11 @@ def last_over_group(t):
 @query("win_08", """SELECT event_id, user_id, event_type, sum(value) OVER w AS running_value, count(*) OVER w AS running_count
   FROM (SELECT event_id, user_id, event_type, ts, floor(value)::DOUBLE AS value FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY ts)""")
 def shared_window(t):
-    """Several running columns over one window, by day blocks per user."""
+    """Several running columns over one window, by hour blocks per user."""
     events = t.events.select("event_id", "user_id", "event_type", "ts", F.floor("value").cast("double").alias("value"))
-    day = F.to_date("ts")
-    value = running.running_total_in_blocks(events, ["user_id"], "ts", day, F.col("value"), "value")
-    count = running.running_total_in_blocks(events, ["user_id"], "ts", day, F.lit(1), "rows")
+    hour = F.date_trunc("hour", "ts")
+    value = running.running_total_in_blocks(events, ["user_id"], "ts", hour, F.col("value"), "value")
+    count = running.running_total_in_blocks(events, ["user_id"], "ts", hour, F.lit(1), "rows")
     both = value.join(count, ["user_id", "ts"])
     return events.join(both.select("user_id", "ts", F.col("cumulative_value").alias("running_value"), F.col("cumulative_rows").alias("running_count")), ["user_id", "ts"]).select(
         "event_id", "user_id", "event_type", "running_value", "running_count"

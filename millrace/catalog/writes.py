@@ -69,9 +69,8 @@ def partitioned_table(t):
         F.lit("2024-02-01").cast("timestamp").alias("loaded_at"),
     )
     name = workspace.fresh_name("users")
-    # one task per partition value and hash, so that a large month is written by several tasks
-    spread = users.repartition("first_touch_month", F.pmod(F.xxhash64("user_id"), F.lit(4)))
-    T.save_table(spread, name, t.out("users"), partition_by=["first_touch_month"])
+    # AQE gathers small months into one task and splits large ones over several
+    T.save_table(users.hint("rebalance", "first_touch_month"), name, t.out("users"), partition_by=["first_touch_month"])
     t.spark.sql(f"COMMENT ON TABLE {name} IS 'Users with the month of their first visit'")
     return t.spark.table(name)
 
