@@ -97,12 +97,12 @@ def load_once(t):
     """Three loads of a growing folder: every file is taken exactly once."""
     folder, target, ledger = t.out("incoming"), t.out("loaded"), t.out("ledger")
     orders = t.orders.select("o_orderkey", "o_custkey")
-    incoming = lambda: t.spark.read.schema(orders.schema).json(folder)
+    load = lambda: T.load_once(t.spark, folder, t.spark.read.schema(orders.schema).json, target, ledger)
     orders.filter("o_orderkey % 2 = 0").write.json(folder)
-    T.load_once(t.spark, incoming(), target, ledger)
-    T.load_once(t.spark, incoming(), target, ledger)
+    load()
+    load()
     orders.filter("o_orderkey % 2 = 1").write.mode("append").json(folder)
-    T.load_once(t.spark, incoming(), target, ledger)
+    load()
     return T.loaded(t.spark, target, ledger)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,25 +55,27 @@ def with_check(df: DataFrame, name: str, condition: Column) -> DataFrame:
     return df.filter(F.when(F.coalesce(condition, F.lit(True)), F.lit(True)).otherwise(wrong))
 
 
-def load_once(spark: SparkSession, incoming: DataFrame, target: str, ledger: str) -> int:
-    """Append rows of files that were not loaded before; return the number of new files.
+def load_once(
+    spark: SparkSession, folder: str, read: Callable[[list[str]], DataFrame], target: str, ledger: str
+) -> int:
+    """Append the rows of files not loaded before; return the number of new files.
 
-    ``incoming`` must be read from files.  Rows go to a folder of their own
-    below ``target``; the ledger of (file, load) is written last and is the
-    commit.  A load lost half way has no ledger entry, so :func:`loaded` does
-    not show it and its files are taken again by the next run.
+    Only file names are listed and compared with the ledger, and only the new
+    files are read.  Rows go to a folder of their own below ``target``; the
+    ledger of (file, load) is written last and is the commit.  A load lost
+    half way has no ledger entry, so :func:`loaded` does not show it and its
+    files are taken again by the next run.
     """
-    rows = incoming.select("*", F.col("_metadata.file_path").alias("file"))
-    fresh = rows.select("file").distinct()
+    listed = spark.read.format("binaryFile").load(folder).select(F.col("path").alias("file"))
     if _exists(spark, ledger):
-        fresh = fresh.join(spark.read.parquet(ledger).select("file"), "file", "left_anti")
-    fresh = workspace.settle(fresh, "new-files")
-    count = fresh.count()
-    if count:
+        listed = listed.join(spark.read.parquet(ledger).select("file"), "file", "left_anti")
+    fresh = [row["file"] for row in listed.collect()]  # names only: a reader takes them from the driver
+    if fresh:
         load = workspace.fresh_name("load")
-        rows.join(fresh, "file", "left_semi").drop("file").write.parquet(f"{target}/load={load}")
-        fresh.select("file", F.lit(load).alias("load")).write.mode("append").parquet(ledger)
-    return count
+        read(fresh).write.parquet(f"{target}/load={load}")
+        names = spark.createDataFrame([(name, load) for name in fresh], "file string, load string")
+        names.coalesce(1).write.mode("append").parquet(ledger)
+    return len(fresh)
 
 
 def loaded(spark: SparkSession, target: str, ledger: str) -> DataFrame:
