@@ -18,7 +18,7 @@ RULES = [
     (2, "owner", "acct2", "SCOPE", "scope two"),
     (3, "owner", "acct3", "GROUP", "group three"),
     (4, "owner", "acct4", "GROUP", "group four"),
-    (5, "tag", "CostGroup", "cms core", "core"),
+    (5, "tag", "CostGroup", "hub core", "core"),
     (6, "tag", "CostGroup", "vega", "Vega-2"),
     (7, "resource", "res:1%", "acct5", "ones"),
     (8, "resource", "i-%", "acct5", "nodes"),
@@ -382,11 +382,11 @@ _rate = "CASE WHEN tag_plan LIKE 'Y%' AND family = 'Compute Instance' THEN TRY_C
 
 @query("cur_20", FACT + f"""SELECT year, month, tag_group2, name AS tag_name, tag_plan, service, family, region, round(sum(net_cost), 2) AS net_cost, round(sum(usage_amount), 4) AS usage_amount, round(sum(ondemand_cost), 2) AS ondemand_cost,
   {_rate} AS adjusted_rate, round((sum(ondemand_cost) + {_rate} * sum(usage_amount)) * 0.82::DOUBLE, 5) AS direct_usage
-  FROM (SELECT *, CASE WHEN tag_name LIKE 'OPS-%' OR tag_name LIKE 'CMS-%' THEN substring(tag_name, 11, length(tag_name) - 10) WHEN service <> 'Compute' THEN split_part(resource_id, 'res:', -1) ELSE tag_name END AS name
+  FROM (SELECT *, CASE WHEN tag_name LIKE 'RUN-%' OR tag_name LIKE 'HUB-%' THEN substring(tag_name, 11, length(tag_name) - 10) WHEN service <> 'Compute' THEN split_part(resource_id, 'res:', -1) ELSE tag_name END AS name
     FROM realloc WHERE tag_group2 IN ('CORE', 'ATLAS')) GROUP BY year, month, tag_group2, name, tag_plan, service, family, region""")
 def direct_usage_report(t):
     name = (
-        F.when(F.col("tag_name").like("OPS-%") | F.col("tag_name").like("CMS-%"), F.substring("tag_name", F.lit(11), F.length("tag_name") - 10))
+        F.when(F.col("tag_name").like("RUN-%") | F.col("tag_name").like("HUB-%"), F.substring("tag_name", F.lit(11), F.length("tag_name") - 10))
         .when(F.col("service") != "Compute", F.split_part("resource_id", F.lit("res:"), F.lit(-1))).otherwise(F.col("tag_name"))
     )
     result = B.direct_usage(stored_fact(t), F.col("tag_group2").isin("CORE", "ATLAS"), name, ["service", "family", "region"])

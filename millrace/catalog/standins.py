@@ -118,7 +118,7 @@ ITEM_LOOKUP_SQL = """item_lookup AS (
 
 # ------------------------------------------------------------ compute usage
 
-USAGE_GROUPS = ["alpha lake", "beta lab", "gamma", "delta growth", "precision x", "audience", "omega core", "zeta"]
+USAGE_GROUPS = ["alpha reef", "beta kiln", "gamma", "delta bloom", "prism x", "harbor", "omega core", "zeta"]
 
 
 def usage(t: Tables) -> DataFrame:
@@ -228,7 +228,7 @@ CONTRACT_PRICES_SQL = """contract_prices AS (
 PRODUCT_CODES = ["Compute", "Warehouse", "Database", "Search", "Cache", "Storage", "SavingsPlans", "DeskSupport"]
 PRODUCT_FAMILIES = ["Compute Instance", "Warehouse Instance", "Database Instance", "Search Instance",
                     "Cache Instance", "Storage", "None", "Help"]
-BILL_GROUPS = ["atlas", " Borealis", "cms core", "vega", "", "south unit"]
+BILL_GROUPS = ["atlas", " Borealis", "hub core", "vega", "", "south unit"]
 
 
 def bill_source(t: Tables) -> DataFrame:
@@ -274,7 +274,7 @@ def bill_lines(t: Tables) -> DataFrame:
         # tags
         F.when(tagged, F.concat(F.lit("unit "), text(supp % 3))).alias("tag_group1"),
         F.when(tagged, pick(supp % 6, BILL_GROUPS)).alias("tag_group2"),
-        F.when(key % 4 != 0, F.concat(F.when(key % 5 == 0, "OPS-000000").otherwise("node "), text(key % 120))).alias("tag_name"),
+        F.when(key % 4 != 0, F.concat(F.when(key % 5 == 0, "RUN-000000").otherwise("node "), text(key % 120))).alias("tag_name"),
         F.when(order % 3 == 0, F.concat(F.lit("Y,a,b,"), text(key % 7 / 4), F.lit(","), text(key % 9 / 2))).alias("tag_plan"),
         F.when(order % 4 == 0, " prod").alias("tag_env"),
         F.when(order % 5 == 0, F.concat(F.lit("proj"), text(key % 4))).alias("tag_project"),
@@ -318,7 +318,7 @@ BILL_SOURCE_SQL = f"""bill_source AS (
     'K' || (l_partkey % 40) AS sku,
     CASE WHEN l_returnflag <> 'N' THEN 'unit ' || (l_suppkey % 3) END AS tag_group1,
     CASE WHEN l_returnflag <> 'N' THEN {sql_pick('l_suppkey % 6', BILL_GROUPS)} END AS tag_group2,
-    CASE WHEN l_partkey % 4 <> 0 THEN CASE WHEN l_partkey % 5 = 0 THEN 'OPS-000000' ELSE 'node ' END || (l_partkey % 120) END AS tag_name,
+    CASE WHEN l_partkey % 4 <> 0 THEN CASE WHEN l_partkey % 5 = 0 THEN 'RUN-000000' ELSE 'node ' END || (l_partkey % 120) END AS tag_name,
     CASE WHEN l_orderkey % 3 = 0 THEN 'Y,a,b,' || CAST((l_partkey % 7) / 4.0::DOUBLE AS VARCHAR) || ',' || CAST((l_partkey % 9) / 2.0::DOUBLE AS VARCHAR) END AS tag_plan,
     CASE WHEN l_orderkey % 4 = 0 THEN ' prod' END AS tag_env,
     CASE WHEN l_orderkey % 5 = 0 THEN 'proj' || (l_partkey % 4) END AS tag_project,

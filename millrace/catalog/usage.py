@@ -18,26 +18,26 @@ START, BEFORE = "DATE '2000-06-01'", "DATE '2000-05-01'"
 
 # (new group, group patterns, agency patterns)
 REMAP = [
-    ("PX-GROUP", ["%PRECISION%"], ["%AG3%"]),
-    ("LAKE-GROUP", ["%LAKE%"], []),
-    ("AUDIENCE-GROUP", ["%AUDIENCE%"], []),
-    ("LAB-GROUP", ["%LAB%"], []),
-    ("GROWTH-GROUP", ["%GROWTH%"], []),
+    ("PX-GROUP", ["%PRISM%"], ["%AG3%"]),
+    ("REEF-GROUP", ["%REEF%"], []),
+    ("HARBOR-GROUP", ["%HARBOR%"], []),
+    ("KILN-GROUP", ["%KILN%"], []),
+    ("BLOOM-GROUP", ["%BLOOM%"], []),
 ]
 RULES = [
-    U.GroupRule("AUDIENCE-GROUP", ("ws1",), ("%AUDIENCE%",)),
+    U.GroupRule("HARBOR-GROUP", ("ws1",), ("%HARBOR%",)),
     U.GroupRule("PX-GROUP", ("ws2", "ws3"), ("%PX%",)),
-    U.GroupRule("LAKE-GROUP", ("ws4",)),
+    U.GroupRule("REEF-GROUP", ("ws4",)),
     U.GroupRule("OMEGA-GROUP", (), ("%OMEGA%",)),
 ]
-ROLLED = ["%LAB%", "%GROWTH%", "%ZETA%"]
+ROLLED = ["%KILN%", "%BLOOM%", "%ZETA%"]
 ROOT = "CORE-GROUP"
 CONTRACTS = [
     # id, parent, key, value, from, to, committed, annual, month, limit, active
     ("k0", "k0", "group", "CORE", "1995-01-01", "2002-12-31", 90000.0, 36000.0, 3000.0, None, 1),
     ("k1", "k0", "group", "PX", "1996-01-01", "2000-12-31", 50000.0, 12000.0, 1000.0, 60000.0, 1),
-    ("k2", "k0", "group", "LAKE", "1997-02-15", "2000-06-30", 20000.0, 6000.0, 500.0, None, 0),
-    ("k3", "k0", "group", "AUDIENCE", "1998-01-01", "2001-03-31", 30000.0, 9000.0, 750.0, None, 1),
+    ("k2", "k0", "group", "REEF", "1997-02-15", "2000-06-30", 20000.0, 6000.0, 500.0, None, 0),
+    ("k3", "k0", "group", "HARBOR", "1998-01-01", "2001-03-31", 30000.0, 9000.0, 750.0, None, 1),
     ("k4", "k0", "group", "CORE", "1999-01-01", "2001-12-31", 10000.0, 2400.0, 200.0, 15000.0, 0),
 ]
 CONTRACT_DDL = (
@@ -101,9 +101,9 @@ TAGS_SQL = f"""tags AS (SELECT entity_id, a AS agency, d AS division, CASE {_rem
     upper(replace(tag_group, ' ', '')) AS g, upper(trim(tag_project)) AS project, upper(trim(tag_client)) AS client,
     row_number() OVER (PARTITION BY entity_id ORDER BY usage_time DESC, record_id DESC) AS rn
   FROM usage WHERE tag_group IS NOT NULL) WHERE rn = 1)"""
-_group = """CASE WHEN (tg IS NULL AND workspace_id = 'ws1') OR upper(tg) LIKE '%AUDIENCE%' THEN 'AUDIENCE-GROUP'
+_group = """CASE WHEN (tg IS NULL AND workspace_id = 'ws1') OR upper(tg) LIKE '%HARBOR%' THEN 'HARBOR-GROUP'
   WHEN (tg IS NULL AND workspace_id IN ('ws2', 'ws3')) OR upper(tg) LIKE '%PX%' THEN 'PX-GROUP'
-  WHEN tg IS NULL AND workspace_id = 'ws4' THEN 'LAKE-GROUP' WHEN upper(tg) LIKE '%OMEGA%' THEN 'OMEGA-GROUP' ELSE upper(tg) END"""
+  WHEN tg IS NULL AND workspace_id = 'ws4' THEN 'REEF-GROUP' WHEN upper(tg) LIKE '%OMEGA%' THEN 'OMEGA-GROUP' ELSE upper(tg) END"""
 FACT_SQL = f"""fact AS (SELECT CAST(year(usage_date) AS BIGINT) AS year, CAST(month(usage_date) AS BIGINT) AS month, usage_date, workspace_id,
   agency, division, {_group} AS cost_group, project, client, sku, listed_rate, contract_rate, entity_type, entity_id,
   sum(quantity) AS quantity, sum(quantity) * listed_rate AS cost, sum(quantity) * contract_rate AS net_cost
@@ -126,7 +126,7 @@ CONTRACTS_SQL = "contracts AS (SELECT contract_id, parent_id, tag_key, tag_value
     "(" + ", ".join(map(_value, row)) + ")" for row in CONTRACTS
 ) + ") v(contract_id, parent_id, tag_key, tag_value, date_from, date_to, committed, annual_budget, month_budget, hard_limit, is_active))"
 
-_main = "CASE WHEN cost_group LIKE '%LAB%' OR cost_group LIKE '%GROWTH%' OR cost_group LIKE '%ZETA%' OR cost_group IS NULL THEN 'CORE-GROUP' ELSE cost_group END"
+_main = "CASE WHEN cost_group LIKE '%KILN%' OR cost_group LIKE '%BLOOM%' OR cost_group LIKE '%ZETA%' OR cost_group IS NULL THEN 'CORE-GROUP' ELSE cost_group END"
 
 
 def terms_sql(sub: bool) -> str:

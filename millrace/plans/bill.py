@@ -24,7 +24,10 @@ TAGS = [
     "tag_product", "tag_owner", "tag_scope", "tag_local_env", "tag_local_group1", "tag_local_group2", "tag_local_client",
 ]
 SCOPED_GROUP = ("SOUTHLAKE", "SOUTH LAKE")  # scope text and the group it stands for
+
+# Fixed values
 NET_SHARE = 0.82  # share of the on-demand price that is charged on
+MONTHS_PER_YEAR, HOURS_PER_MONTH = 12, 730  # to spread a price paid for a year up front
 
 
 # ------------------------------------------------------------------- bill lines
@@ -347,7 +350,7 @@ def reserved_prices(assets: DataFrame, prices: DataFrame) -> DataFrame:
         "term = 'Reserved' AND lease = '1yr' AND ((unit = 'Hrs' AND option <> 'All Upfront') OR (unit = 'Quantity' AND option = 'All Upfront'))"
     ).select("sku", "usage_type", "region", "option", "price")
     used = assets.select("service", "usage_type", "region", "ondemand_rate").distinct()
-    hourly = F.when(F.col("option") == "All Upfront", F.col("price") / 12 / 730).otherwise(F.col("price"))
+    hourly = F.when(F.col("option") == "All Upfront", F.col("price") / MONTHS_PER_YEAR / HOURS_PER_MONTH).otherwise(F.col("price"))
     return (
         used.join(ondemand, ["usage_type", "region", "ondemand_rate"])
         .join(reserved, ["sku", "usage_type", "region"])

@@ -26,7 +26,11 @@ from millrace.operators.newest import latest_per_key
 from millrace.operators.rules import matches_any, ordered_case
 from millrace.operators.validity import by_month, current_rows, valid_at
 
-TAG_COLUMNS = ["agency", "division", "cost_group", "project", "client"]
+# Fixed values
+DEFAULT_LIMIT = 95.0  # hard limit of an active contract that names none
+LIMIT_SHARE = 0.95  # share of the committed sum used as limit where the limit is zero
+ALERT_SHARE = 0.95  # share of the month's budget above which the budget alert is raised
+BUDGET_ALERT, LIMIT_ALERT = 10, 100
 
 
 @dataclass(frozen=True)
@@ -250,7 +254,7 @@ def monthly_cost(fact: DataFrame, patterns: Sequence[str], parent: str, by_sub_g
 
 
 def with_contract_terms(
-    cost: DataFrame, contracts: DataFrame, root_key: str, root_value: str, default_limit: float = 95.0
+    cost: DataFrame, contracts: DataFrame, root_key: str, root_value: str, default_limit: float = DEFAULT_LIMIT
 ) -> DataFrame:
     """Join each monthly cost to its own contract, else to the root contract.
 
@@ -325,14 +329,14 @@ def dashboard(cumulated: DataFrame) -> DataFrame:
         *[F.sum(c).alias(c) for c in ("usage_cost", "month_budget", "annual_budget", "committed", "hard_limit", "cumulative_usage_cost")]
     )
     alert = (
-        F.when(F.col("usage_cost") > F.col("month_budget") * 0.95, 10)
-        .when(F.col("cumulative_usage_cost") > F.col("hard_limit"), 100).otherwise(0)
+        F.when(F.col("usage_cost") > F.col("month_budget") * ALERT_SHARE, BUDGET_ALERT)
+        .when(F.col("cumulative_usage_cost") > F.col("hard_limit"), LIMIT_ALERT).otherwise(0)
     )
     return total.withColumn("alert", alert).withColumn("hard_limit", _limit_or_share())
 
 
 def _limit_or_share() -> Column:
-    return F.when(F.col("hard_limit") == 0, F.col("committed") * 0.95).otherwise(F.col("hard_limit"))
+    return F.when(F.col("hard_limit") == 0, F.col("committed") * LIMIT_SHARE).otherwise(F.col("hard_limit"))
 
 
 def agency_summary(cumulated: DataFrame, group: str) -> DataFrame:
@@ -342,7 +346,7 @@ def agency_summary(cumulated: DataFrame, group: str) -> DataFrame:
         F.sum("usage_cost").alias("usage_cost"), F.sum("committed").alias("_sum_committed"),
         *[F.avg(c).alias(c) for c in ("month_budget", "annual_budget", "committed", "hard_limit", "cumulative_usage_cost")],
     )
-    limit = F.when(F.col("hard_limit") == 0, F.col("_sum_committed") * 0.95).otherwise(F.col("hard_limit"))
+    limit = F.when(F.col("hard_limit") == 0, F.col("_sum_committed") * LIMIT_SHARE).otherwise(F.col("hard_limit"))
     return total.withColumn("hard_limit", limit).drop("_sum_committed")
 
 
