@@ -8,6 +8,7 @@ from millrace import workspace
 from millrace.catalog.registry import query
 from millrace.catalog.standins import SHOP_EVENTS_SQL, SHOP_USERS_SQL, shop_events, shop_users, with_sql
 from millrace.functions.columns import non_blank
+from millrace.operators.membership import not_in
 
 EVENTS = with_sql(SHOP_EVENTS_SQL)
 USERS = with_sql(SHOP_USERS_SQL)
@@ -142,14 +143,11 @@ def in_subquery(t):
   UNION ALL SELECT 'with null', c_custkey FROM customer WHERE c_custkey NOT IN (SELECT nullif(o_custkey, 0) FROM orders)""")
 def not_in_subquery(t):
     """A single null in the list removes every row of the second part."""
-    customer, orders = workspace.fresh_name("customer"), workspace.fresh_name("orders")
-    t.customer.createOrReplaceTempView(customer)
-    t.orders.createOrReplaceTempView(orders)
-    return t.spark.sql(f"""
-        SELECT 'known' AS list, c_custkey FROM {customer}
-        WHERE c_custkey NOT IN (SELECT o_custkey FROM {orders} WHERE o_orderpriority = '1-URGENT')
-        UNION ALL
-        SELECT 'with null', c_custkey FROM {customer} WHERE c_custkey NOT IN (SELECT nullif(o_custkey, 0) FROM {orders})""")
+    customer = t.customer.select("c_custkey")
+    urgent = t.orders.filter("o_orderpriority = '1-URGENT'").select("o_custkey")
+    with_null = t.orders.select(F.nullif("o_custkey", F.lit(0)).alias("o_custkey"))
+    part = lambda name, listed: not_in(customer, "c_custkey", listed, "o_custkey").select(F.lit(name).alias("list"), "c_custkey")
+    return part("known", urgent).unionByName(part("with null", with_null))
 
 
 @query("flt_10", USERS + "SELECT user_id, email FROM shop_users WHERE email IS NOT NULL")

@@ -243,3 +243,13 @@ def test_month_slice_bounds(spark):
     days = spark.createDataFrame([(dt.date(2023, 12, 31),), (dt.date(2024, 1, 1),), (dt.date(2024, 1, 31),), (dt.date(2024, 2, 1),)], "d date")
     count = lambda which: month_slice(days, "d", dt.date(2024, 2, 10), which).count()
     assert (count("current"), count("previous"), count("history")) == (1, 2, 3)
+
+
+def test_not_in_follows_sql_nulls(spark):
+    from millrace.operators.membership import not_in
+
+    df = spark.createDataFrame([(1,), (2,), (None,)], "v int")
+    listed = lambda *values: spark.createDataFrame([(v,) for v in values], "x int")
+    assert rows(not_in(df, "v", listed(1, 1), "x")) == [(2,)]
+    assert rows(not_in(df, "v", listed(1, None), "x")) == []
+    assert not_in(df, "v", listed(), "x").count() == 3
