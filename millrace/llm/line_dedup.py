@@ -5,7 +5,7 @@ number of documents that hold it and the largest document. A batch of documents
 identifiers first) is reduced to one row per line, merge-anti-joined with each run's settled lines
 (those already met in enough documents) and added as a run of level 0. When a level has
 ``fanout`` runs they are compacted into one run of the next. Runs and batches have the same
-buckets, so neither joins nor compaction shuffle the runs.
+buckets, so the joins shuffle no run; a compaction shuffles the runs it unites, once for each level.
 """
 
 from __future__ import annotations
@@ -33,17 +33,16 @@ class LineRuns:
     min_docs: int
     fanout: int = 3
     levels: dict[int, list[str]] = field(default_factory=dict)
+    paths: dict[str, str] = field(default_factory=dict)
 
     def __post_init__(self):
         # as many buckets as the session has shuffle partitions: a batch lands in its buckets by its own shuffle
         self.buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
     def _write(self, rows: DataFrame, level: int) -> None:
-        name = fresh_name("line_run")
-        (
-            rows.write.bucketBy(self.buckets, *KEY).sortBy(*KEY)
-            .option("path", fresh_path(self.spark, "line-run")).saveAsTable(name)
-        )
+        name, path = fresh_name("line_run"), fresh_path(self.spark, "line-run")
+        rows.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", path).saveAsTable(name)
+        self.paths[name] = path
         self.levels.setdefault(level, []).append(name)
 
     def runs(self) -> list[DataFrame]:
@@ -62,10 +61,9 @@ class LineRuns:
 
     def compact(self, levels: list[int], to: int) -> None:
         names = [n for level in levels for n in self.levels.pop(level, [])]
-        merged = None
-        for run in map(self.spark.table, names):
-            merged = run if merged is None else merged.unionByName(run)
-        if merged is not None:
+        if names:
+            # read as plain files: Spark 4.1 takes a union of bucketed scans for bucketed and then groups wrongly
+            merged = self.spark.read.schema(self.spark.table(names[0]).schema).parquet(*[self.paths[n] for n in names])
             self._write(merged.groupBy(*KEY).agg(F.sum("n").alias("n"), F.max("keeper").alias("keeper")), to)
             for n in names:
                 self.spark.sql(f"DROP TABLE {n}")

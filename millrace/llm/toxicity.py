@@ -33,8 +33,8 @@ class Settings:
     inputs: int = 2048
     least_docs: int = 4
     rank: int = 4
-    epochs: int = 60
-    penalty: float = 1e-4
+    epochs: int = 80
+    penalty: float = 2e-6
 
 
 def terms(text: str, buckets: int) -> set[int]:
@@ -99,9 +99,9 @@ def fit(rows: list[list[int]], labels: np.ndarray, index: dict[int, int], settin
             sums[0] += g0 * g0
             sums[1] += g1 * g1
             sums[2] += g2 * g2
-            machine.bias -= 0.1 * g0 / np.sqrt(sums[0])
-            machine.weights -= 0.1 * g1 / np.sqrt(sums[1])
-            machine.vectors -= 0.02 * g2 / np.sqrt(sums[2])
+            machine.bias -= 0.2 * g0 / np.sqrt(sums[0])
+            machine.weights -= 0.2 * g1 / np.sqrt(sums[1])
+            machine.vectors -= 0.03 * g2 / np.sqrt(sums[2])
     return machine
 
 
