@@ -49,3 +49,12 @@ def heavy_keys(df: DataFrame, key: Column, sample_rows: int, hits: int) -> list[
     picked = df.sample(fraction=min(1.0, sample_rows / rows), seed=7) if rows > sample_rows else df
     found = picked.select(key.alias("k")).groupBy("k").count().filter(F.col("count") >= hits)
     return [r["k"] for r in found.orderBy(F.col("count").desc()).limit(2 * sample_rows // hits).collect()]
+
+
+def apart(df: DataFrame) -> DataFrame:
+    """A grouped table, dealt out again before it is joined on its group key.
+
+    Without this the join takes the grouped side as it lies, and Spark splits the hot keys of the other
+    side only if both sides come fresh from a shuffle. The grouped side is the small one.
+    """
+    return df.hint("rebalance")

@@ -72,7 +72,9 @@ class LineRuns:
         """Lines met in ``min_docs`` documents or more, after a last compaction; one row each."""
         if len(self.runs()) > 1:
             self.compact(sorted(self.levels), max(self.levels) + 1)
-        return self.runs()[0].filter(F.col("n") >= self.min_docs)
+        (name,) = [n for names in self.levels.values() for n in names]
+        # as plain files, so that a join on a hot line shuffles both sides and can be split
+        return self.spark.read.schema(self.spark.table(name).schema).parquet(self.paths[name]).filter(F.col("n") >= self.min_docs)
 
 
 def _batch_edges(docs: DataFrame, id_column: str, batches: int) -> list:
@@ -128,7 +130,7 @@ def drop_repeated_lines(
     text = C.whole(F.col(text_column))
     m1, m2 = C.hash_pair(text)
     joined = docs.withColumns({"mr_l1": m1, "mr_l2": m2}).join(
-        gone, F.col(id_column).eqNullSafe(F.col("mr_id")) & (F.col("mr_l1") == F.col("mr_t1")) & (F.col("mr_l2") == F.col("mr_t2")), "left",
+        C.apart(gone), F.col(id_column).eqNullSafe(F.col("mr_id")) & (F.col("mr_l1") == F.col("mr_t1")) & (F.col("mr_l2") == F.col("mr_t2")), "left",
     )
     lines = F.split(text, "\n")
     cut = joined.withColumn("mr_text", F.when(F.col("mr_gone").isNull(), text).otherwise(_without(lines, F.col("mr_gone"))))

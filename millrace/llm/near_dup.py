@@ -123,7 +123,7 @@ class _Search:
         classes = self.features.filter("n > 0").groupBy(F.col("key").alias("node")).agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
         posts = classes.select("node", "n", F.explode("tokens").alias("token"))
         shared = posts.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-        met = posts.join(shared, "token").groupBy("node").agg(
+        met = posts.join(C.apart(shared), "token").groupBy("node").agg(
             F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"),
         )
         return met.filter(F.size("t") >= near.agree).select("node", "n", F.transform("t", lambda x: x["token"]).alias("tokens"))
@@ -159,7 +159,7 @@ class _Search:
 
         hashed = [F.struct(F.xxhash64(F.lit(r), "node").alias("h"), "node", "n") for r in range(near.leaders)]
         leaders = posts.groupBy("token").agg(F.array_distinct(F.array(*[F.min(h) for h in hashed])).alias("leaders"))
-        stars = posts.join(leaders, "token").select(F.col("node").alias("x"), "n", F.explode("leaders").alias("leader"))
+        stars = posts.join(C.apart(leaders), "token").select(F.col("node").alias("x"), "n", F.explode("leaders").alias("leader"))
         stars = stars.select("x", F.col("leader.node").alias("y"), "n", F.col("leader.n").alias("m"))
         tried = settle(_pairs(stars.filter((F.col("x") != F.col("y")) & _fits("n", "m", near.percent))), "near-stars")
         links = self.confirmed(tried)
@@ -172,7 +172,7 @@ class _Search:
         share = placed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"))
         most = share.groupBy("token").agg(F.max(F.struct("c", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
         most = most.filter("parts > 1").select("token", F.col("top.component").alias("top"))
-        open_lists = placed.join(most, "token")
+        open_lists = placed.join(C.apart(most), "token")
         outside = open_lists.filter("component != top").select(
             "token", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"),
             F.explode(F.array(F.col("size_class") - 1, "size_class", F.col("size_class") + 1)).alias("size_class"),
@@ -217,7 +217,7 @@ def near_duplicates(docs: DataFrame, near: Near = Near(), id_column: str = "doc_
     least = features.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
     placed = least.join(components, least["key"] == components["node"], "left").select("key", "least", "component")
     lowest = placed.filter("component is not null").groupBy("component").agg(F.min("least").alias("lowest"))
-    named = placed.join(lowest, "component", "left").select(F.col("key").alias("k"), F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("lowest")).alias("c"))
+    named = placed.join(C.apart(lowest), "component", "left").select(F.col("key").alias("k"), F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("lowest")).alias("c"))
     worded = features.filter("n > 0").join(named, F.col("key") == F.col("k"))
     rows = worded.select("doc_id", "n", "c").unionByName(features.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("c")))
     return rows.select(

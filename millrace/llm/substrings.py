@@ -134,7 +134,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_column: str = "doc_id",
     copies = plain.groupBy("d", "bytes").agg(F.min("id").alias("least"), (F.count(F.lit(1)) > 1).alias("copied"))
     rows = _anchor_rows(plain, window, min(ANCHOR, window))
     again = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
-    runs = rows.join(again, "anchor", "left_semi").select("d", "bytes", "start", "count").distinct()
+    runs = rows.join(C.apart(again), "anchor", "left_semi").select("d", "bytes", "start", "count").distinct()
     runs = runs.groupBy("d", "bytes").agg(F.collect_list(F.struct("start", "count")).alias("runs"))
     places = settle(runs.join(copies, ["d", "bytes"]).withColumn("place", F.monotonically_increasing_id()), "repeat-places")
 
@@ -142,7 +142,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_column: str = "doc_id",
     senders = texts.join(places, key).filter(F.col(id_column).eqNullSafe(F.col("least")))
     sent = _window_rows(senders.select("place", "runs", F.col("mr_body").alias("body")), window)
     twice = sent.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash")
-    starts = sent.join(twice, "hash", "left_semi").groupBy("place").agg(F.collect_set("start").alias("starts"))
+    starts = sent.join(C.apart(twice), "hash", "left_semi").groupBy("place").agg(F.collect_set("start").alias("starts"))
     hit = places.select("d", "bytes", "place", "copied").join(starts, "place", "left").filter("copied or starts is not null").drop("place")
 
     joined = texts.join(hit, key, "left").withColumn("mr_cut", _cut_column(window)("mr_body", "starts", F.coalesce("copied", F.lit(False))))

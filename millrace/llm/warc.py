@@ -69,7 +69,7 @@ def page_records(
     ).withColumns({"digest": F.sha2("payload", 256), "bytes": F.octet_length("payload")})
     first = rows.filter(F.col("bytes") >= least_bytes).groupBy("digest", "bytes").agg(F.min("id").alias("first"))
     first = first.select(F.col("digest").alias("fd"), F.col("bytes").alias("fb"), "first")
-    rows = rows.join(first, (F.col("digest") == F.col("fd")) & (F.col("bytes") == F.col("fb")), "left")
+    rows = rows.join(C.apart(first), (F.col("digest") == F.col("fd")) & (F.col("bytes") == F.col("fb")), "left")
     revisits = F.coalesce(F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first")), F.lit(False))
 
     # the row number keeps the records of repeated rows apart
