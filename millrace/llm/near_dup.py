@@ -6,9 +6,12 @@
    the threshold agrees in ``agree`` coordinates or more (all but about four in a million do, at the
    threshold itself, with the defaults), so classes with fewer shared tokens drop out, and two classes that
    agree so often share one of their ``shared - agree + 1`` rarest tokens: only this prefix is posted.
-3. Posting lists are not multiplied out. First every posting meets a few leaders of its list (smallest by a few
-   hashes); what is confirmed joins classes into components. Then only postings outside the largest component
-   of a list meet the rest of the list, and only classes of another component and fitting size.
+3. Posting lists are not multiplied out. First every posting meets a few leaders of its list; what is
+   confirmed joins classes into components. Lists that still hold several components are taken apart exactly, from whole
+   sets. Classes compared with the same leader (their pivot) have a core: the shingles that many of them hold. Two of them can be
+   linked only if they share a shingle outside the core, or if their sizes allow it by what each holds of the core: near copies of one
+   text that are not near each other are neither. Classes with different pivots share one of their rarest shingles. In every list only postings outside the
+   largest component (or pivot) meet the rest.
 4. For each candidate pair the agreeing coordinates are counted, then the whole shingle sets are compared.
 """
 
@@ -35,7 +38,8 @@ class Near:
     percent: int = 80
     width: int = 64
     agree: int = 36
-    leaders: int = 3
+    leaders: int = 4
+    core: int = 10
     #: A list of rows as wide as one number is broadcast up to this count (some 16 MB), and shuffled beyond it.
     broadcast_rows: int = 1_000_000
 
@@ -124,63 +128,146 @@ class _Search:
         posts = classes.select("node", "n", F.explode("tokens").alias("token"))
         shared = posts.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
         met = posts.join(C.apart(shared), "token").groupBy("node").agg(
-            F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"),
+            F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"), F.sum("df").alias("shared"),
         )
-        return met.filter(F.size("t") >= near.agree).select("node", "n", F.transform("t", lambda x: x["token"]).alias("tokens"))
+        return met.filter(F.size("t") >= near.agree).select("node", "n", "shared", F.transform("t", lambda x: x["token"]).alias("tokens"))
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that agree often enough and whose whole sets are linked."""
-        near, spark = self.near, self.docs.sparkSession
-        left = self.nodes.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
-        right = self.nodes.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
-        likely = pairs.join(left, "a").join(right, "b").filter(F.size(F.array_intersect("ta", "tb")) >= near.agree)
-        likely = settle(likely.select("a", "b"), "near-likely")
-        wanted = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        holders = self.features.select(F.col("key").alias("node"), "doc_id").join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("id"))
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """node, members of the wanted classes (node): the whole shingle sets, from the text of one holder each."""
+        near = self.near
+        holders = self.features.select(F.col("key").alias("node"), "doc_id").join(C.apart(wanted), "node").groupBy("node").agg(F.min("doc_id").alias("id"))
         ids = settle(holders.select(F.col("id").alias("mr_id")).distinct(), "near-holders")
         if ids.count() <= near.broadcast_rows:
             ids = F.broadcast(ids)
         texts = self.docs.join(ids, F.col("doc_id").eqNullSafe(F.col("mr_id")), "left_semi")
         sets = _sets(texts, near).dropDuplicates(["node"])
-        sets = settle(sets.join(wanted, "node", "left_semi"), "near-sets")
+        return settle(sets.join(wanted, "node", "left_semi"), "near-sets")
+
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        """Of the pairs (a, b) those that agree often enough: what their whole sets have in common, and whether that links them."""
+        near = self.near
+        left = self.nodes.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
+        right = self.nodes.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
+        likely = pairs.join(left, "a").join(right, "b").filter(F.size(F.array_intersect("ta", "tb")) >= near.agree)
+        likely = settle(likely.select("a", "b"), "near-likely")
+        sets = self.sets(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         one = sets.select(F.col("node").alias("a"), F.col("members").alias("ma"))
         two = sets.select(F.col("node").alias("b"), F.col("members").alias("mb"))
         both = F.size(F.array_intersect("ma", "mb")).cast("long")
-        counted = likely.join(one, "a").join(two, "b").select("a", "b", both.alias("both"), (F.size("ma") + F.size("mb")).alias("sizes"))
-        linked = 100 * F.col("both") >= near.percent * (F.col("sizes") - F.col("both"))
-        return settle(counted.filter(linked).select("a", "b"), "near-links")
+        counted = likely.join(one, "a").join(two, "b").select("a", "b", both.alias("both"), F.size("ma").alias("na"), F.size("mb").alias("nb"))
+        linked = 100 * F.col("both") >= near.percent * (F.col("na") + F.col("nb") - F.col("both"))
+        return settle(counted.withColumn("linked", linked), "near-counted")
+
+    def stars(self, posts: DataFrame) -> DataFrame:
+        """Each posting with the leaders of its list, as pairs."""
+        # in the middle of a group stands what shares most tokens with most classes: even leaders are such, odd ones are any
+        ranked = [
+            F.struct((-F.col("shared") if r % 2 == 0 else F.lit(0)).alias("rank"), F.xxhash64(F.lit(r), "node").alias("h"), "node", "n")
+            for r in range(self.near.leaders)
+        ]
+        leaders = posts.groupBy("token").agg(F.array_distinct(F.array(*[F.min(h) for h in ranked])).alias("leaders"))
+        met = posts.join(C.apart(leaders), "token").select(F.col("node").alias("x"), "n", F.explode("leaders").alias("leader"))
+        met = met.select("x", F.col("leader.node").alias("y"), "n", F.col("leader.n").alias("m"))
+        return _pairs(met.filter((F.col("x") != F.col("y")) & _fits("n", "m", self.near.percent)))
+
+    def unsettled(self, posts: DataFrame, by: str) -> DataFrame:
+        """Postings of the lists with several values of ``by``, with the most frequent value of the list (``top``)."""
+        share = posts.groupBy("token", by).agg(F.count(F.lit(1)).alias("c"))
+        most = share.groupBy("token").agg(F.max(F.struct("c", by)).alias("top"), F.count(F.lit(1)).alias("parts"))
+        return posts.join(C.apart(most.filter("parts > 1").select("token", F.col(f"top.{by}").alias("top"))), "token")
+
+    def pivots(self, counted: DataFrame) -> DataFrame:
+        """node, pivot: for each class the partner that most others were compared with, or itself."""
+        sides = counted.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("x"))
+        sides = sides.select(F.col("x.a").alias("node"), F.col("x.b").alias("pivot"))
+        degree = sides.groupBy("pivot").agg(F.count(F.lit(1)).alias("degree"))
+        met = sides.join(C.apart(degree), "pivot").unionByName(degree.select(F.col("pivot").alias("node"), "pivot", "degree"))
+        return met.groupBy("node").agg(F.max(F.struct("degree", "pivot")).alias("x")).select("node", F.col("x.pivot").alias("pivot"))
+
+    def rarest(self, held: DataFrame) -> DataFrame:
+        """Postings by the rarest shingles of whole sets: two linked sets share one of them, whatever else they share.
+
+        A set of n has at least ``percent`` % of n in common with any it is linked with, so all but
+        that many of its shingles, and one more, are enough; those of one class only need no posting.
+        """
+        shared = held.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+        ordered = held.join(C.apart(shared), "token").groupBy("node").agg(
+            F.first("n").alias("n"), F.first("component").alias("component"), F.first("pivot").alias("pivot"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
+        n = F.col("n")
+        free = n - F.ceil(n * self.near.percent / 100) + 1 - (n - F.size("t"))  # after those nobody shares
+        cut = F.slice("t", F.lit(1), F.greatest(free, F.lit(0)).cast("int"))
+        return ordered.select("node", "n", "component", "pivot", F.explode(cut).alias("x")).select("node", "n", "component", "pivot", F.col("x.token").alias("token"))
+
+    def across(self, posts: DataFrame, by: str) -> DataFrame:
+        """Pairs of fitting size, of different components and different ``by``, in a common list.
+
+        What has the most frequent ``by`` of its list meets only the rest of the list.
+        """
+        grade = F.floor(F.log(100.0 / self.near.percent, F.col("n")) + 1e-9)  # linked sets are at most one apart
+        lists = self.unsettled(posts, by).withColumn("grade", grade)
+        outside = lists.filter(F.col(by) != F.col("top")).select(
+            "token", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"), F.col(by).alias("bx"),
+            F.explode(F.array(F.col("grade") - 1, "grade", F.col("grade") + 1)).alias("grade"),
+        )
+        inside = lists.select("token", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"), F.col(by).alias("by"), "grade")
+        met = outside.join(inside, ["token", "grade"])
+        return _pairs(met.filter((F.col("cx") != F.col("cy")) & (F.col("bx") != F.col("by")) & _fits("nx", "ny", self.near.percent)))
+
+    def contained(self, classes: DataFrame) -> DataFrame:
+        """Pairs of one pivot that could be linked by what they hold of its core alone, judged by sizes.
+
+        If x and y share nothing outside the core, they share at most the smaller of their parts of it; to be linked, their sizes must not add up to more than (100 + percent) / percent times that.
+        """
+        percent, step = self.near.percent, 1.02
+        bucket = lambda c: F.floor(F.log(step, c) + 1e-9)
+        n = F.col("n")
+        most = F.floor(F.col("common") * (100 + percent) / percent - n + 1e-9)
+        least = F.greatest(F.ceil(n * percent / 100 - 1e-9), F.lit(1))
+        able = classes.select(F.col("pivot").alias("token"), "node", "n", "component", most.alias("most"), least.alias("least")).filter("most >= least")
+        lists = self.unsettled(able, "component")
+        outside = lists.filter("component != top").select(
+            "token", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"), F.col("most").alias("mx"),
+            F.explode(F.sequence(bucket(F.col("least")), bucket(F.col("most")))).alias("bucket"),
+        )
+        inside = lists.select("token", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"), F.col("most").alias("my"), bucket(n).alias("bucket"))
+        met = outside.join(inside, ["token", "bucket"])
+        return _pairs(met.filter((F.col("cx") != F.col("cy")) & (F.col("ny") <= F.col("mx")) & (F.col("nx") <= F.col("my")) & _fits("nx", "ny", percent)))
+
+    def rest(self, open_nodes: DataFrame, counted: DataFrame) -> DataFrame:
+        """Candidate pairs of classes (node, component) that the leaders left in different components.
+
+        The core of a pivot's classes is what more than one in ``core`` of them hold. Two linked classes with one pivot share a
+        shingle outside the core, or are linked by what they hold of it; with different pivots they share one of their rarest shingles.
+        """
+        near = self.near
+        placed = open_nodes.join(self.pivots(counted), "node", "left").withColumn("pivot", F.coalesce("pivot", "node"))
+        sets = self.sets(open_nodes.select("node"))
+        classes = settle(sets.join(placed, "node").withColumn("n", F.size("members").cast("long")), "near-classes")
+        held = classes.select("node", "n", "component", "pivot", F.explode("members").alias("token"))
+        size = classes.groupBy("pivot").agg(F.count(F.lit(1)).alias("size"))
+        core = held.groupBy("pivot", "token").agg(F.count(F.lit(1)).alias("c")).join(C.apart(size), "pivot")
+        core = core.filter((F.col("c") > 2) & (F.col("c") * near.core > F.col("size"))).select("pivot", "token", F.lit(True).alias("core"))
+        marked = held.join(C.apart(core), ["pivot", "token"], "left").withColumn("core", F.coalesce("core", F.lit(False)))
+        marked = settle(marked, "near-marked")
+        common = marked.groupBy("node").agg(F.count_if("core").alias("common"))
+        outside = marked.filter("not core").select("node", "n", "component", F.xxhash64("pivot", "token").alias("token"))
+        classes = classes.select("node", "n", "component", "pivot").join(common, "node")
+        found = self.across(outside, "component").unionByName(self.contained(classes))
+        return found.unionByName(self.across(self.rarest(held), "pivot")).distinct()
 
     def run(self) -> DataFrame:
         """node, component of every class that is linked with another."""
         near = self.near
         self.nodes = settle(self.posted(), "near-nodes")
         prefix = F.slice("tokens", 1, F.size("tokens") - near.agree + 1)
-        posts = settle(self.nodes.select("node", "n", F.explode(prefix).alias("token")), "near-posts")
-
-        hashed = [F.struct(F.xxhash64(F.lit(r), "node").alias("h"), "node", "n") for r in range(near.leaders)]
-        leaders = posts.groupBy("token").agg(F.array_distinct(F.array(*[F.min(h) for h in hashed])).alias("leaders"))
-        stars = posts.join(C.apart(leaders), "token").select(F.col("node").alias("x"), "n", F.explode("leaders").alias("leader"))
-        stars = stars.select("x", F.col("leader.node").alias("y"), "n", F.col("leader.n").alias("m"))
-        tried = settle(_pairs(stars.filter((F.col("x") != F.col("y")) & _fits("n", "m", near.percent))), "near-stars")
-        links = self.confirmed(tried)
-        components = connect(links)
-
-        placed = posts.join(components, "node", "left").select(
-            "token", "node", "n", F.coalesce("component", "node").alias("component"), F.floor(F.log(100.0 / near.percent, F.col("n")) + 1e-9).alias("size_class"),
-        )
-        placed = settle(placed, "near-placed")
-        share = placed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"))
-        most = share.groupBy("token").agg(F.max(F.struct("c", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
-        most = most.filter("parts > 1").select("token", F.col("top.component").alias("top"))
-        open_lists = placed.join(C.apart(most), "token")
-        outside = open_lists.filter("component != top").select(
-            "token", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"),
-            F.explode(F.array(F.col("size_class") - 1, "size_class", F.col("size_class") + 1)).alias("size_class"),
-        )
-        inside = open_lists.select("token", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"), "size_class")
-        met = outside.join(inside, ["token", "size_class"]).filter((F.col("cx") != F.col("cy")) & _fits("nx", "ny", near.percent))
-        rest = _pairs(met).join(tried, ["a", "b"], "left_anti")
-        more = self.confirmed(settle(rest, "near-rest"))
+        posts = settle(self.nodes.select("node", "n", "shared", F.explode(prefix).alias("token")), "near-posts")
+        tried = settle(self.stars(posts), "near-stars")
+        counted = self.confirmed(tried)
+        links = counted.filter("linked").select("a", "b")
+        placed = posts.join(connect(links), "node", "left").select("token", "node", F.coalesce("component", "node").alias("component"))
+        open_nodes = settle(self.unsettled(settle(placed, "near-placed"), "component").select("node", "component").distinct(), "near-open")
+        rest = self.rest(open_nodes, counted).join(tried, ["a", "b"], "left_anti")
+        more = self.confirmed(settle(rest, "near-rest")).filter("linked").select("a", "b")
         return connect(links.unionByName(more))
 
 
