@@ -6,8 +6,8 @@
    the threshold agrees in ``agree`` coordinates or more (all but about four in a million do, at the
    threshold itself, with the defaults), so classes with fewer shared tokens drop out, and two classes that
    agree so often share one of their ``shared - agree + 1`` rarest tokens: only this prefix is posted.
-3. Posting lists are not multiplied out. First every posting meets a few leaders of its list; what is
-   confirmed joins classes into components. Lists that still hold several components are taken apart exactly, from whole
+3. Posting lists are not multiplied out. In a short list all meet; in another
+   every posting meets a few leaders. What is confirmed joins classes into components. Lists that still hold several components are taken apart exactly, from whole
    sets. Classes compared with the same leader (their pivot) have a core: the shingles that many of them hold. Two of them can be
    linked only if they share a shingle outside the core, or if their sizes allow it by what each holds of the core: near copies of one
    text that are not near each other are neither. Classes with different pivots share one of their rarest shingles. In every list only postings outside the
@@ -40,6 +40,7 @@ class Near:
     agree: int = 36
     leaders: int = 4
     core: int = 10
+    short: int = 6
     #: A list of rows as wide as one number is broadcast up to this count (some 16 MB), and shuffled beyond it.
     broadcast_rows: int = 1_000_000
 
@@ -159,7 +160,13 @@ class _Search:
         return settle(counted.withColumn("linked", linked), "near-counted")
 
     def stars(self, posts: DataFrame) -> DataFrame:
-        """Each posting with the leaders of its list, as pairs."""
+        """Each posting with the leaders of its list, as pairs; in a short list, all pairs."""
+        sizes = posts.groupBy("token").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+        posts = settle(posts.join(C.apart(sizes), "token"), "near-lists")
+        few = posts.filter(F.col("size") <= self.near.short).groupBy("token").agg(F.collect_list(F.struct("node", "n")).alias("all"))
+        few = few.select(F.explode("all").alias("x"), "all").select("x", F.explode("all").alias("y"))
+        few = few.select(F.col("x.node").alias("x"), F.col("y.node").alias("y"), F.col("x.n").alias("n"), F.col("y.n").alias("m")).filter("x < y")
+        posts = posts.filter(F.col("size") > self.near.short)
         # in the middle of a group stands what shares most tokens with most classes: even leaders are such, odd ones are any
         ranked = [
             F.struct((-F.col("shared") if r % 2 == 0 else F.lit(0)).alias("rank"), F.xxhash64(F.lit(r), "node").alias("h"), "node", "n")
@@ -168,13 +175,14 @@ class _Search:
         leaders = posts.groupBy("token").agg(F.array_distinct(F.array(*[F.min(h) for h in ranked])).alias("leaders"))
         met = posts.join(C.apart(leaders), "token").select(F.col("node").alias("x"), "n", F.explode("leaders").alias("leader"))
         met = met.select("x", F.col("leader.node").alias("y"), "n", F.col("leader.n").alias("m"))
+        met = met.unionByName(few)
         return _pairs(met.filter((F.col("x") != F.col("y")) & _fits("n", "m", self.near.percent)))
 
-    def unsettled(self, posts: DataFrame, by: str) -> DataFrame:
-        """Postings of the lists with several values of ``by``, with the most frequent value of the list (``top``)."""
+    def unsettled(self, posts: DataFrame, by: str, least: int = 2) -> DataFrame:
+        """Postings of the lists of ``least`` or more with several values of ``by``, with the most frequent value of the list (``top``)."""
         share = posts.groupBy("token", by).agg(F.count(F.lit(1)).alias("c"))
-        most = share.groupBy("token").agg(F.max(F.struct("c", by)).alias("top"), F.count(F.lit(1)).alias("parts"))
-        return posts.join(C.apart(most.filter("parts > 1").select("token", F.col(f"top.{by}").alias("top"))), "token")
+        most = share.groupBy("token").agg(F.max(F.struct("c", by)).alias("top"), F.count(F.lit(1)).alias("parts"), F.sum("c").alias("size"))
+        return posts.join(C.apart(most.filter((F.col("parts") > 1) & (F.col("size") >= least)).select("token", F.col(f"top.{by}").alias("top"))), "token")
 
     def pivots(self, counted: DataFrame) -> DataFrame:
         """node, pivot: for each class the partner that most others were compared with, or itself."""
@@ -265,7 +273,7 @@ class _Search:
         counted = self.confirmed(tried)
         links = counted.filter("linked").select("a", "b")
         placed = posts.join(connect(links), "node", "left").select("token", "node", F.coalesce("component", "node").alias("component"))
-        open_nodes = settle(self.unsettled(settle(placed, "near-placed"), "component").select("node", "component").distinct(), "near-open")
+        open_nodes = settle(self.unsettled(settle(placed, "near-placed"), "component", near.short + 1).select("node", "component").distinct(), "near-open")
         rest = self.rest(open_nodes, counted).join(tried, ["a", "b"], "left_anti")
         more = self.confirmed(settle(rest, "near-rest")).filter("linked").select("a", "b")
         return connect(links.unionByName(more))
