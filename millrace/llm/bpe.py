@@ -13,6 +13,7 @@ import base64
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
@@ -41,10 +42,10 @@ def pieces(text: str, most: int) -> Iterator[str]:
     yield text[at:] if at else text
 
 
-def encode_text(enc, text: str, most: int) -> list[int]:
-    if len(text) <= most:
-        return enc.encode_ordinary(text)
-    return [i for piece in pieces(text, most) for i in enc.encode_ordinary(piece)]
+def encode_text(enc, text: str, most: int) -> np.ndarray:
+    """Ids as 32-bit numbers. The encoding has no special tokens, so their strings are ordinary text."""
+    parts = [enc.encode_to_numpy(piece, disallowed_special=()) for piece in pieces(text, most)]
+    return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
 def encode_column(text: Column, rank_file: str, pattern: str, piece_chars: int = 1 << 16) -> Column:
@@ -54,7 +55,9 @@ def encode_column(text: Column, rank_file: str, pattern: str, piece_chars: int =
     def encode(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         enc = encoding(rank_file, pattern)
         for batch in texts:
-            yield pa.array([encode_text(enc, t, piece_chars) if t else [] for t in batch.to_pylist()], pa.list_(pa.int32()))
+            ids = [encode_text(enc, t.as_py() or "", piece_chars) for t in batch]
+            ends = np.cumsum([0, *map(len, ids)])
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*ids, np.zeros(0, np.uint32)]).astype(np.int32)))
 
     return encode(text)
 
@@ -66,7 +69,8 @@ def decode_column(ids: Column, rank_file: str, pattern: str) -> Column:
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         enc = encoding(rank_file, pattern)
         for batch in batches:
-            yield pa.array([enc.decode_bytes(x) if x else b"" for x in batch.to_pylist()], pa.binary())
+            rows = (x.values.to_numpy().tolist() if x.is_valid else [] for x in batch)
+            yield pa.array([enc.decode_bytes(x) for x in rows], pa.binary())
 
     return decode(ids)
 
