@@ -172,7 +172,7 @@ def compaction(t):
     columns = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice")
     columns.repartition(24).write.parquet(path)
     scattered = t.spark.read.parquet(path)
-    layout.clustered(scattered, [F.col("l_partkey"), F.col("l_suppkey")], files=4).write.parquet(out)
+    layout.clustered(scattered, ["l_partkey", "l_suppkey"]).write.parquet(out)
     compact = t.spark.read.parquet(out)
     fewer = len(compact.inputFiles()) < len(scattered.inputFiles())
     return compact.groupBy("l_partkey", "l_suppkey").agg(

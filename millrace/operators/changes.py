@@ -39,8 +39,9 @@ def merge_into(
     ``s.x``.  ``update=None`` sets every target column from the source, as
     ``{}`` does nothing; the same holds for ``insert``.  Extra source columns
     are ignored.  Two source rows for one target row stop the job, as in a
-    table MERGE; the source is reduced to one row per key before the join, so
-    the join is one-to-one however often a key repeats.  A null key matches
+    table MERGE.  The source is reduced to one row per key.  Target rows meet it
+    in a left join and new keys are found by an anti join: Spark splits the hot
+    keys of both, which it does not for a full outer join.  A null key matches
     nothing, so it is inserted on its own terms.
     """
     columns = target.columns
@@ -54,11 +55,9 @@ def merge_into(
     for k in keys:
         same = F.col(f"t.{k}") == F.col(f"s.{k}")
         on = same if on is None else on & same
-    t = target.withColumn("_in_target", F.lit(True)).alias("t")
-    joined = t.join(unpacked.alias("s"), on, "full_outer")
-
-    both = F.col("_in_target").isNotNull() & F.col("_in_source").isNotNull()
-    only_source = F.col("_in_target").isNull()
+    unpacked = unpacked.hint("rebalance")  # both sides fresh from a shuffle, so that a hot target key can be split
+    joined = target.alias("t").join(unpacked.alias("s"), on, "left")
+    both = F.col("_in_source").isNotNull()
     yes = F.lit(True)
     from_source = {c: F.col(f"s.{c}") for c in columns if c in source.columns}
     update = from_source if update is None else update
@@ -69,15 +68,18 @@ def merge_into(
 
     doubled = F.raise_error("merge: several source rows for one target row").cast("boolean")
     checked = F.when((deleting | updating) & (F.col("_n") > 1), doubled).otherwise(F.lit(True))
-    kept = joined.filter(checked & ~deleting & (~only_source | inserting))
+    kept = joined.filter(checked & ~deleting)
     result = []
     for c in columns:
         value = F.col(f"t.{c}")
         if c in update:
             value = F.when(updating, update[c]).otherwise(value)
-        value = F.when(only_source, insert[c] if c in insert else F.lit(None)).otherwise(value)
         result.append(value.cast(target.schema[c].dataType).alias(c))
-    return kept.select(*result)
+    if not insert:
+        return kept.select(*result)
+    fresh = unpacked.alias("s").join(target.select(*keys).distinct().alias("t"), on, "left_anti").filter(inserting)
+    new = [(insert[c] if c in insert else F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in columns]
+    return kept.select(*result).unionByName(fresh.select(*new))
 
 
 def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str], only_if: Column | None = None) -> DataFrame:

@@ -37,9 +37,11 @@ def purchase_revenues(events: DataFrame) -> DataFrame:
 
 def conversions(users: DataFrame, sales: DataFrame) -> DataFrame:
     """Every user and buyer with a flag for having bought."""
-    buyers = sales.select("email").distinct().withColumn("converted", F.lit(True))
-    joined = users.join(buyers, "email", "outer").filter("email IS NOT NULL")
-    return joined.na.fill(False, ["converted"])
+    # users without a mail address are in neither part, so they do not meet in one task
+    known = users.filter("email IS NOT NULL")
+    buyers = sales.select("email").filter("email IS NOT NULL").distinct().withColumn("converted", F.lit(True))
+    strangers = buyers.join(known.select("email").distinct(), "email", "left_anti")
+    return known.join(buyers, "email", "left").unionByName(strangers, allowMissingColumns=True).na.fill(False, ["converted"])
 
 
 def carts(events: DataFrame) -> DataFrame:

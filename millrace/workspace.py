@@ -1,7 +1,8 @@
 """Scratch space for written tables, stream checkpoints and staged files.
 
 A cluster names a folder every executor can reach in ``spark.checkpoint.dir``.
-Only when that setting is absent (tests, a laptop) is a local folder made.
+Where it names none, a local folder is made if driver and executors are one process, and the job
+stops otherwise: executors would write to disks that nobody else reads.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ def base_dir(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/millrace-{spark.sparkContext.applicationId}"
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_BASE:
         _LOCAL_BASE[app] = tempfile.mkdtemp(prefix="millrace-")
@@ -45,16 +48,6 @@ def settle(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share the rows of a few input files among all cores before heavy work on each row.
-
-    A dataset with at least one file per core, as any large one has, is left
-    as it is: no shuffle is added.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 _STORED: dict[tuple[str, str, str], str] = {}
 
 

@@ -3,13 +3,16 @@
 import contextlib
 import io
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace import catalog
 from millrace.catalog import bill, registry, usage
 from millrace.catalog import standins as S
 from millrace.plans import bill as B
-from millrace.workspace import spread
+from millrace.operators.changes import merge_into
+from millrace.operators.layout import clustered
+from millrace.workspace import base_dir
 from tests.conftest import SMALL
 
 catalog.load()
@@ -63,12 +66,35 @@ def test_no_cross_joins_anywhere_in_relational_queries(tables):
             assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
 
 
-def test_spread_leaves_datasets_of_many_files_alone(spark, tables):
-    path = tables.out("many")
-    spark.range(64).repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
-    many = spark.read.parquet(path)
-    assert "Exchange" not in plan_of(spread(many))
-    assert "Exchange" in plan_of(spread(tables.lineitem))
+def test_a_cluster_needs_a_shared_folder():
+    class Session:
+        conf = {}
+
+        class sparkContext:
+            master, applicationId = "spark://host:1", "app"
+
+    with pytest.raises(ValueError):
+        base_dir(Session)
+
+
+def test_clustering_tells_large_keys_apart(spark):
+    rows = spark.range(400_000).select((F.col("id") * 7919 % 400_000).alias("a"), (F.col("id") % 1000).alias("b"))
+    placed = clustered(rows, ["a", "b"], files=16).withColumn("file", F.spark_partition_id())
+    spans = placed.groupBy("file").agg((F.max("a") - F.min("a")).alias("a"), (F.max("b") - F.min("b")).alias("b")).agg(F.avg("a"), F.avg("b")).first()
+    assert spans[0] < 240_000 and spans[1] < 600  # of 400,000 and 1,000; sampled bounds cut across cells
+
+
+def test_no_full_outer_joins_in_merges_and_flags(tables):
+    for name in ("dml_03", "dml_05", "dml_06", "shp_02"):
+        assert "FullOuter" not in plan_of(registry.REGISTRY[name].build(tables)), name
+
+
+def test_merge_with_null_target_keys(spark):
+    target = spark.range(1000).select(F.when(F.col("id") % 10 == 0, F.col("id")).alias("k"), F.lit(1).alias("v"))
+    source = spark.createDataFrame([(10, 2), (11, 3)], "k long, v int")
+    merged = merge_into(target, source, ["k"])
+    assert merged.count() == 1001 and {(r.k, r.v) for r in merged.filter("v > 1").collect()} == {(10, 2), (11, 3)}
+    assert merged.filter("k is null").count() == 900
 
 
 def test_registered_names_and_sql():
