@@ -36,7 +36,9 @@ def norm(t: Tables):
 
 
 def by_name(t: Tables):
-    return B.retag_by_name(B.retag_by_resource(norm(t)))
+    """The first retag is stored: the second reads its input twice."""
+    by_resource = workspace.stored(lambda: B.retag_by_resource(norm(t)), t.spark, "bill-by-resource", t.root)
+    return B.retag_by_name(by_resource)
 
 
 def fact(t: Tables):
@@ -349,9 +351,9 @@ def reserved_prices(t):
 
 @query("cur_18", S.with_sql(*ASSET_CHAIN, PRICE_LIST_SQL, REFERENCE_SQL) + """SELECT a.owner_id, a.tag_name, a.resource_id, a.usage_type, a.region, a.ondemand_rate,
   coalesce(a.partial_rate, (SELECT min(hourly_price) FROM reference r WHERE r.option = 'Partial Upfront' AND r.usage_type = replace(replace(a.usage_type, 't2', 'm5'), 'm4', 'm5')
-    AND r.service = a.service AND r.region = a.region AND r.ondemand_rate = a.ondemand_rate)) AS partial_rate FROM asset_fact a WHERE a.hours = 720""")
+    AND r.service = a.service AND r.region = a.region AND r.ondemand_rate = a.ondemand_rate)) AS partial_rate FROM asset_fact a""")
 def backfilled_rates(t):
-    found = B.backfill_rates(B.asset_fact(assets(t)).filter("hours = 720"), reference(t), "Partial Upfront", "partial_rate", {"t2": "m5", "m4": "m5"})
+    found = B.backfill_rates(B.asset_fact(assets(t)), reference(t), "Partial Upfront", "partial_rate", {"t2": "m5", "m4": "m5"})
     return found.select("owner_id", "tag_name", "resource_id", "usage_type", "region", "ondemand_rate", "partial_rate")
 
 

@@ -67,12 +67,12 @@ def three_way(t):
 
 
 @query("dml_06", """SELECT coalesce(t.p, s.p) AS part, coalesce(t.q, 0) + coalesce(s.q, 0) AS quantity FROM
-  (SELECT l_partkey AS p, sum(l_quantity) AS q FROM lineitem WHERE l_shipdate < TIMESTAMP '1996-01-01' GROUP BY 1) t FULL JOIN
-  (SELECT l_partkey AS p, sum(l_quantity) AS q FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-01-01' AND l_returnflag = 'R' GROUP BY 1) s ON t.p = s.p""")
+  (SELECT l_partkey AS p, sum(l_quantity) AS q FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01' GROUP BY 1) t FULL JOIN
+  (SELECT l_partkey AS p, sum(l_quantity) AS q FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01' GROUP BY 1) s ON t.p = s.p""")
 def additive(t):
     total = lambda condition: t.lineitem.filter(condition).groupBy(F.col("l_partkey").alias("part")).agg(F.sum("l_quantity").alias("quantity"))
     return C.merge_into(
-        total("l_shipdate < '1996-01-01'"), total("l_shipdate >= '2001-01-01' AND l_returnflag = 'R'"), ["part"],
+        total("l_shipdate < '1998-01-01'"), total("l_shipdate >= '1998-01-01'"), ["part"],
         update={"quantity": F.col("t.quantity") + F.col("s.quantity")},
     )
 

@@ -35,10 +35,9 @@ def inner_after_explode(t):
     )
 
 
-@query("jon_03", "SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 200000")
+@query("jon_03", "SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey")
 def inner_named_keys(t):
-    large = t.orders.filter("o_totalprice > 200000")
-    return large.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name")
+    return t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name")
 
 
 @query("jon_04", USERS + """SELECT coalesce(u.email, s.email) AS email, user_id, coalesce(s.converted, false) AS converted
@@ -81,7 +80,7 @@ RATE_SQL = """rates AS (SELECT product_code, product_family, os, region, usage_t
 
 @query("jon_07", S.with_sql(S.BILL_SOURCE_SQL, RATE_SQL) + """SELECT b.line_id, b.usage_amount, r.partial_rate FROM bill_source b LEFT JOIN rates r
   ON b.product_code = r.product_code AND b.product_family = r.product_family AND b.os = r.os AND b.region = r.region
-  AND b.usage_type = r.usage_type WHERE b.month = 3""")
+  AND b.usage_type = r.usage_type""")
 def five_key_price(t):
     bill = S.bill_source(t)
     keys = ["product_code", "product_family", "os", "region", "usage_type"]
@@ -89,7 +88,7 @@ def five_key_price(t):
         bill.filter("pricing_term = 'OnDemand' AND ondemand_rate > 6").groupBy(*keys)
         .agg(F.round(F.max("ondemand_rate") * 0.6, 4).alias("partial_rate"))
     )
-    return bill.filter("month = 3").select("line_id", "usage_amount", *keys).join(rates, keys, "left").select("line_id", "usage_amount", "partial_rate")
+    return bill.select("line_id", "usage_amount", *keys).join(rates, keys, "left").select("line_id", "usage_amount", "partial_rate")
 
 
 @query("jon_08", """SELECT a.p_partkey AS sku, a.p_retailprice AS ondemand, b.p_retailprice AS reserved FROM part a

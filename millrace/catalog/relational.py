@@ -202,11 +202,11 @@ def top_k(t):
 
 @query("ord_05", "SELECT 'first' AS action, min(o_orderkey)::BIGINT AS result FROM orders UNION ALL SELECT 'count', count(*) FROM orders UNION ALL SELECT 'take', 5")
 def actions(t):
-    """Results of first, count and take as rows; each is an action of its own."""
+    """What first, count and take give, as rows; nothing passes through the driver."""
     orders = t.orders.select("o_orderkey")
-    first = orders.orderBy("o_orderkey").first()["o_orderkey"]
-    results = [("first", first), ("count", orders.count()), ("take", len(orders.take(5)))]
-    return t.spark.createDataFrame(results, "action string, result bigint")
+    first = orders.orderBy("o_orderkey").limit(1).select(F.lit("first").alias("action"), F.col("o_orderkey").cast("bigint").alias("result"))
+    count = lambda name, rows: rows.agg(F.lit(name).alias("action"), F.count("*").alias("result"))
+    return first.unionByName(count("count", orders)).unionByName(count("take", orders.limit(5)))
 
 
 # -------------------------------------------------------------- set operations

@@ -222,11 +222,11 @@ def sized(t):
     return S.shop_events(t).filter(F.size("items") > 1).select("event_id", F.size("items").alias("items"))
 
 
-@query("arr_03", ITEMS + """SELECT event_id, max(CASE WHEN quantity = 1 THEN item_id END) AS first_item, bool_or(item_id = 'P_3_K') AS has_item FROM shop_items GROUP BY 1""")
+@query("arr_03", ITEMS + """SELECT event_id, max(CASE WHEN quantity = 1 THEN item_id END) AS first_item, bool_or(item_id = 'P_3-xl') AS has_item FROM shop_items GROUP BY 1""")
 def array_access(t):
     events = S.shop_events(t).filter(F.size("items") > 0)
     return events.select(
-        "event_id", F.element_at("items", 1)["item_id"].alias("first_item"), F.array_contains("items.item_id", "P_3_K").alias("has_item")
+        "event_id", F.element_at("items", 1)["item_id"].alias("first_item"), F.array_contains("items.item_id", "P_3-xl").alias("has_item")
     )
 
 
@@ -238,10 +238,10 @@ def distinct_flat(t):
     return events.select("event_id", F.array_join(F.array_sort(F.array_distinct(F.flatten(both))), ",").alias("distinct_ids"))
 
 
-@query("arr_05", ITEMS + """SELECT event_id, string_agg(item_id, ',' ORDER BY quantity) AS king_items FROM shop_items WHERE item_id LIKE '%K' GROUP BY 1""")
+@query("arr_05", ITEMS + """SELECT event_id, string_agg(item_id, ',' ORDER BY quantity) AS large_items FROM shop_items WHERE item_id LIKE '%-xl' GROUP BY 1""")
 def array_filter(t):
-    kings = F.filter("items", lambda i: i.item_id.like("%K"))
-    return S.shop_events(t).select("event_id", F.array_join(F.transform(kings, lambda i: i.item_id), ",").alias("king_items")).filter("king_items <> ''")
+    large = F.filter("items", lambda i: i.item_id.like("%-xl"))
+    return S.shop_events(t).select("event_id", F.array_join(F.transform(large, lambda i: i.item_id), ",").alias("large_items")).filter("large_items <> ''")
 
 
 @query("arr_06", ITEMS + """SELECT event_id, string_agg(floor(price_in_usd * 10)::BIGINT::VARCHAR, ',' ORDER BY quantity) AS tenths FROM shop_items GROUP BY 1""")
@@ -250,11 +250,11 @@ def array_transform(t):
     return S.shop_events(t).filter(F.size("items") > 0).select("event_id", F.array_join(tenths, ",").alias("tenths"))
 
 
-@query("arr_07", ITEMS + """SELECT e.event_id, coalesce(m, false) AS has_king, coalesce(c, false) AS has_coupon FROM shop_events e LEFT JOIN
-  (SELECT event_id, bool_or(item_id LIKE '%_K') AS m, bool_or(coupon IS NOT NULL) AS c FROM shop_items GROUP BY 1) i ON e.event_id = i.event_id""")
+@query("arr_07", ITEMS + """SELECT e.event_id, coalesce(m, false) AS has_large, coalesce(c, false) AS has_coupon FROM shop_events e LEFT JOIN
+  (SELECT event_id, bool_or(item_id LIKE '%-xl') AS m, bool_or(coupon IS NOT NULL) AS c FROM shop_items GROUP BY 1) i ON e.event_id = i.event_id""")
 def array_exists(t):
     return S.shop_events(t).select(
-        "event_id", F.exists("items", lambda i: i.item_id.like("%_K")).alias("has_king"),
+        "event_id", F.exists("items", lambda i: i.item_id.like("%-xl")).alias("has_large"),
         F.exists("items", lambda i: i.coupon.isNotNull()).alias("has_coupon"),
     )
 
@@ -283,11 +283,11 @@ def json_struct(t):
     return t.events.select("event_id", F.from_json("props", "k BIGINT").alias("json")).select("event_id", "json.*")
 
 
-@query("jsn_03", "SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k FROM events WHERE value > 10")
+@query("jsn_03", "SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k FROM events")
 def json_described(t):
     """Schema taken from one example text, then used for every row."""
     shape = F.schema_of_json(F.lit('{"k": 1}'))
-    return t.events.filter("value > 10").select("event_id", F.from_json("props", shape).alias("json")).select("event_id", "json.k")
+    return t.events.select("event_id", F.from_json("props", shape).alias("json")).select("event_id", "json.k")
 
 
 @query("jsn_04", """SELECT event_type, name, sum(passed)::BIGINT AS passed, sum(failed)::BIGINT AS failed FROM (
@@ -329,10 +329,10 @@ def _view(df):
     return name
 
 
-@query("udf_01", "SELECT p_partkey, 'The ' || p_name || ' is on sale for $' || round(p_retailprice * 0.8, 0)::VARCHAR AS sale FROM part")
+@query("udf_01", "SELECT p_partkey, upper(p_name) || ': ' || round(p_retailprice * 1.19, 0)::VARCHAR || ' with tax' AS tag FROM part")
 def sql_function(t):
     udfs.register(t.spark)
-    return t.spark.sql(f"SELECT p_partkey, mr_sale(p_name, p_retailprice) AS sale FROM {_view(t.part)}")
+    return t.spark.sql(f"SELECT p_partkey, mr_price_tag(p_name, p_retailprice) AS tag FROM {_view(t.part)}")
 
 
 @query("udf_02", """SELECT p_partkey, CASE WHEN p_name LIKE '%ring' THEN 'jewellery' WHEN p_size > 40 THEN 'bulky ' || p_name ELSE 'small ' || p_name END AS note FROM part""")

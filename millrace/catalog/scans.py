@@ -33,9 +33,9 @@ def catalog_table_scan(t):
 
 
 @query("src_02", """SELECT l_returnflag, count(*) AS line_count, round(sum(l_extendedprice), 2) AS revenue
-  FROM lineitem WHERE l_shipdate < TIMESTAMP '1997-01-01' GROUP BY 1""")
+  FROM lineitem GROUP BY 1""")
 def parquet_scan(t):
-    lines = t.spark.sql(f"SELECT * FROM parquet.`{t.path('lineitem')}` WHERE l_shipdate < TIMESTAMP '1997-01-01'")
+    lines = t.spark.sql(f"SELECT * FROM parquet.`{t.path('lineitem')}`")
     return lines.groupBy("l_returnflag").agg(
         F.count("*").alias("line_count"), F.round(F.sum("l_extendedprice"), 2).alias("revenue")
     )
@@ -132,11 +132,15 @@ def text_scan(t):
     return lines.groupBy(F.length("value").alias("width")).agg(F.count("*").alias("line_count"))
 
 
-@query("src_12")
+@query("src_12", "SELECT sum(strlen(p_name) + 1)::BIGINT AS bytes, sum(strlen(p_name) + 1)::BIGINT AS content_bytes, true AS has_time FROM part")
 def binary_scan(t):
-    """Path, time and size of the table files; the content column is not read."""
-    found = t.spark.read.format("binaryFile").load(t.path("orders"))
-    return found.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length", F.col("modificationTime").isNotNull().alias("has_time"))
+    """Size, content and time of the files of a text table: its names, each with a line end."""
+    path = t.out("part-lines")
+    t.part.select("p_name").write.text(path)
+    found = t.spark.read.format("binaryFile").load(path)
+    return found.agg(
+        F.sum("length").alias("bytes"), F.sum(F.octet_length("content")).alias("content_bytes"), F.bool_and(F.col("modificationTime").isNotNull()).alias("has_time")
+    )
 
 
 QUEUE_DDL = "key BINARY, offset BIGINT, partition INT, timestamp BIGINT, topic STRING, value BINARY"
@@ -183,14 +187,11 @@ def literal_rows(t):
 
 
 @query("src_17", """SELECT r.id AS bucket, count(o_orderkey) AS order_count
-  FROM (SELECT unnest(range(20)) AS id) r LEFT JOIN orders ON o_orderkey % 20 = r.id AND o_orderstatus = 'P' GROUP BY 1""")
+  FROM (SELECT unnest(range(20)) AS id) r LEFT JOIN orders ON o_orderkey % 19 = r.id GROUP BY 1""")
 def number_range(t):
-    """Every bucket appears, also one without orders."""
-    pending = t.orders.filter("o_orderstatus = 'P'")
-    return (
-        t.spark.range(20).join(pending, F.col("id") == F.col("o_orderkey") % 20, "left")
-        .groupBy(F.col("id").alias("bucket")).agg(F.count("o_orderkey").alias("order_count"))
-    )
+    """Every bucket appears, also the last one, which has no orders; orders are counted before they meet it."""
+    counted = t.orders.groupBy((F.col("o_orderkey") % 19).alias("id")).agg(F.count("o_orderkey").alias("order_count"))
+    return t.spark.range(20).join(counted, "id", "left").na.fill(0).withColumnRenamed("id", "bucket")
 
 
 @query("src_18", """SELECT 'orders.parquet' AS source_file, '2024-02-01 00:00:00.000000' AS ingested_at, count(*) AS row_count FROM orders""")
@@ -247,11 +248,16 @@ def refreshed_table(t):
 
 
 @query("src_23", """SELECT * FROM (VALUES ('o_orderkey', 'bigint'), ('o_custkey', 'bigint'), ('o_orderstatus', 'string'),
-  ('o_totalprice', 'double'), ('o_orderdate', 'timestamp'), ('o_orderpriority', 'string')) v(col_name, data_type)""")
+  ('o_totalprice', 'double'), ('o_orderdate', 'timestamp'), ('o_orderpriority', 'string')) v(col_name, data_type)
+  JOIN (UNPIVOT (SELECT count(o_orderkey) AS o_orderkey, count(o_custkey) AS o_custkey, count(o_orderstatus) AS o_orderstatus, count(o_totalprice) AS o_totalprice,
+    count(o_orderdate) AS o_orderdate, count(o_orderpriority) AS o_orderpriority FROM orders) ON COLUMNS(*) INTO NAME col_name VALUE filled) f USING (col_name)""")
 def source_metadata(t):
+    """Described columns and how many rows fill each."""
     name = workspace.fresh_name("orders")
     files.external_table(t.spark, name, t.path("orders"), "parquet", "", {})
-    return t.spark.sql(f"DESCRIBE {name}").select("col_name", "data_type")
+    described, orders = t.spark.sql(f"DESCRIBE {name}").select("col_name", "data_type"), t.spark.table(name)
+    filled = orders.agg(*[F.count(c).alias(c) for c in orders.columns]).unpivot([], orders.columns, "col_name", "filled")
+    return described.join(filled, "col_name")
 
 
 @query("src_24", "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 0")

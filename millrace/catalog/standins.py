@@ -32,7 +32,7 @@ def shop_events(t: Tables) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("bigint")
     bought = F.col("event_type") == "purchase"
     item = lambda i: F.struct(
-        F.concat(F.lit("P_"), ((k + i) % 12).cast("string"), F.when((k + i) % 3 == 0, "_K").otherwise("_S")).alias("item_id"),
+        F.concat(F.lit("P_"), ((k + i) % 12).cast("string"), F.when((k + i) % 3 == 0, "-xl").otherwise("-xs")).alias("item_id"),
         (((k + i) % 12) * 10.5 + 5).alias("price_in_usd"),
         i.alias("quantity"),
         F.when((k + i) % 4 == 0, "SAVE10").alias("coupon"),
@@ -74,7 +74,7 @@ SHOP_EVENTS_SQL = f"""shop_events AS (
 
 SHOP_ITEMS_SQL = SHOP_EVENTS_SQL + """, shop_items AS (
   SELECT e.event_id, e.user_id, e.event_name, e.state, e.city, e.event_timestamp, n.i::BIGINT AS quantity,
-         'P_' || ((k + n.i) % 12) || CASE WHEN (k + n.i) % 3 = 0 THEN '_K' ELSE '_S' END AS item_id,
+         'P_' || ((k + n.i) % 12) || CASE WHEN (k + n.i) % 3 = 0 THEN '-xl' ELSE '-xs' END AS item_id,
          ((k + n.i) % 12) * 10.5::DOUBLE + 5 AS price_in_usd,
          CASE WHEN (k + n.i) % 4 = 0 THEN 'SAVE10' END AS coupon
   FROM shop_events e JOIN (SELECT 1 AS i UNION ALL SELECT 2 UNION ALL SELECT 3) n
@@ -107,13 +107,13 @@ def item_lookup(t: Tables) -> DataFrame:
     """Twelve shop items named after parts, one per residue of the part key."""
     part = t.part.groupBy((F.col("p_partkey") % 12).alias("r")).agg(F.min("p_name").alias("name"))
     return part.select(
-        F.concat(F.lit("P_"), F.col("r").cast("string"), F.when(F.col("r") % 3 == 0, "_K").otherwise("_S")).alias("item_id"),
+        F.concat(F.lit("P_"), F.col("r").cast("string"), F.when(F.col("r") % 3 == 0, "-xl").otherwise("-xs")).alias("item_id"),
         "name",
     )
 
 
 ITEM_LOOKUP_SQL = """item_lookup AS (
-  SELECT 'P_' || r || CASE WHEN r % 3 = 0 THEN '_K' ELSE '_S' END AS item_id, name
+  SELECT 'P_' || r || CASE WHEN r % 3 = 0 THEN '-xl' ELSE '-xs' END AS item_id, name
   FROM (SELECT p_partkey % 12 AS r, min(p_name) AS name FROM part GROUP BY 1))"""
 
 # ------------------------------------------------------------ compute usage

@@ -50,11 +50,8 @@ def tags(t: Tables):
     return U.latest_tags(S.usage(t), REMAP)
 
 
-def fact(t: Tables, which: str | None = None):
-    records = S.usage(t)
-    if which:
-        records = U.month_slice(records, "usage_date", AS_OF, which)
-    return U.daily_fact(records, S.contract_prices(t), S.list_prices(t), tags(t), RULES)
+def fact(t: Tables):
+    return U.daily_fact(S.usage(t), S.contract_prices(t), S.list_prices(t), tags(t), RULES)
 
 
 def stored_fact(t: Tables):
@@ -62,13 +59,17 @@ def stored_fact(t: Tables):
     return workspace.stored(lambda: fact(t), t.spark, "usage-fact", t.root)
 
 
+def fact_slice(t: Tables, which: str):
+    return U.month_slice(stored_fact(t), "usage_date", AS_OF, which)
+
+
 def contracts(t: Tables):
     rows = t.spark.createDataFrame(CONTRACTS, CONTRACT_DDL)
     return rows.withColumn("date_from", F.to_date("date_from")).withColumn("date_to", F.to_date("date_to"))
 
 
 def terms(t: Tables, which: str, by_sub_group: bool = False):
-    cost = U.monthly_cost(fact(t, which), ROLLED, ROOT, by_sub_group)
+    cost = U.monthly_cost(fact_slice(t, which), ROLLED, ROOT, by_sub_group)
     return U.with_contract_terms(cost, contracts(t), "group", "CORE")
 
 
@@ -168,16 +169,16 @@ def latest_tags(t):
     return tags(t)
 
 
-OLD_TAGS_SQL = TAGS_SQL.replace("tags AS", "old_tags AS").replace("IS NOT NULL) WHERE", f"IS NOT NULL AND usage_date < DATE '1998-01-01' AND quantity > 20) WHERE")
-NEW_TAGS_SQL = TAGS_SQL.replace("tags AS", "new_tags AS").replace("IS NOT NULL) WHERE", f"IS NOT NULL AND usage_date >= DATE '2001-10-01') WHERE")
+OLD_TAGS_SQL = TAGS_SQL.replace("tags AS", "old_tags AS").replace("IS NOT NULL) WHERE", f"IS NOT NULL AND usage_date < DATE '2000-01-01') WHERE")
+NEW_TAGS_SQL = TAGS_SQL.replace("tags AS", "new_tags AS").replace("IS NOT NULL) WHERE", f"IS NOT NULL AND usage_date >= DATE '2000-01-01') WHERE")
 
 
 @query("dbu_03", S.with_sql(S.USAGE_SQL, OLD_TAGS_SQL, NEW_TAGS_SQL) + """SELECT * FROM old_tags o WHERE NOT EXISTS (SELECT 1 FROM new_tags n WHERE n.entity_id = o.entity_id)
   UNION SELECT * FROM new_tags""")
 def tag_history(t):
     records = S.usage(t)
-    previous = U.latest_tags(records.filter("usage_date < '1998-01-01' AND quantity > 20"), REMAP)
-    current = U.latest_tags(records.filter("usage_date >= '2001-10-01'"), REMAP)
+    previous = U.latest_tags(records.filter("usage_date < '2000-01-01'"), REMAP)
+    current = U.latest_tags(records.filter("usage_date >= '2000-01-01'"), REMAP)
     return U.tag_history(previous, current)
 
 
@@ -208,7 +209,7 @@ def daily_fact(t):
   UNION ALL SELECT 'history', count(*), sum(quantity) FROM fact WHERE usage_date < {START}""")
 def month_slices(t):
     parts = [
-        fact(t, which).agg(F.lit(which).alias("slice"), F.count("*").alias("rows"), F.sum("quantity").alias("quantity"))
+        fact_slice(t, which).agg(F.lit(which).alias("slice"), F.count("*").alias("rows"), F.sum("quantity").alias("quantity"))
         for which in ("current", "previous", "history")
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -216,7 +217,7 @@ def month_slices(t):
 
 @query("dbu_08", FACT + "SELECT year, month, cost_group, count(*) AS rows, round(sum(net_cost), 4) AS net_cost FROM fact GROUP BY 1, 2, 3")
 def full_fact(t):
-    whole = U.full_fact(fact(t, "history"), fact(t, "current"))
+    whole = U.full_fact(fact_slice(t, "history"), fact_slice(t, "current"))
     return whole.groupBy("year", "month", "cost_group").agg(F.count("*").alias("rows"), F.round(F.sum("net_cost"), 4).alias("net_cost"))
 
 

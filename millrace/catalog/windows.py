@@ -102,9 +102,5 @@ def shared_window(t):
     """Several running columns over one window, by hour blocks per user."""
     events = t.events.select("event_id", "user_id", "event_type", "ts", F.floor("value").cast("double").alias("value"))
     hour = F.date_trunc("hour", "ts")
-    value = running.running_total_in_blocks(events, ["user_id"], "ts", hour, F.col("value"), "value")
-    count = running.running_total_in_blocks(events, ["user_id"], "ts", hour, F.lit(1), "rows")
-    both = value.join(count, ["user_id", "ts"])
-    return events.join(both.select("user_id", "ts", F.col("cumulative_value").alias("running_value"), F.col("cumulative_rows").alias("running_count")), ["user_id", "ts"]).select(
-        "event_id", "user_id", "event_type", "running_value", "running_count"
-    )
+    both = running.running_columns_in_blocks(events, ["user_id"], "ts", hour, {"value": F.col("value"), "rows": F.lit(1)})
+    return both.select("event_id", "user_id", "event_type", F.col("cumulative_value").alias("running_value"), F.col("cumulative_rows").alias("running_count"))

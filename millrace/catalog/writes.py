@@ -8,6 +8,7 @@ from millrace import workspace
 from millrace.catalog.registry import query
 from millrace.catalog.standins import SHOP_USERS_SQL, shop_users, with_sql
 from millrace.operators import layout
+from millrace.operators.changes import merge_into
 from millrace.sinks import tables as T
 
 PART_SQL = "SELECT p_partkey, p_name, p_retailprice FROM part"
@@ -45,13 +46,13 @@ def append_csv(t):
     return t.spark.read.schema(rows.schema).option("header", True).csv(path)
 
 
-@query("snk_05", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'P'")
+@query("snk_05", "SELECT o_orderkey, o_totalprice FROM orders")
 def replace_table(t):
     """The second statement replaces the table of the first."""
-    name, source = workspace.fresh_name("pending"), workspace.fresh_name("orders")
+    name, source = workspace.fresh_name("prices"), workspace.fresh_name("orders")
     t.orders.createOrReplaceTempView(source)
-    T.save_table(t.orders.limit(10), name, t.out("first"))
-    return T.save_table(t.spark.sql(f"SELECT o_orderkey, o_totalprice FROM {source} WHERE o_orderstatus = 'P'"), name, t.out("second"))
+    T.save_table(t.orders, name, t.out("first"))
+    return T.save_table(t.spark.sql(f"SELECT o_orderkey, o_totalprice FROM {source}"), name, t.out("second"))
 
 
 @query("snk_06", "SELECT o_orderkey AS order_id, o_totalprice AS price FROM orders")
@@ -95,15 +96,14 @@ def insert_overwrite(t):
 @query("snk_10", "SELECT o_orderkey, o_custkey FROM orders")
 def load_once(t):
     """Three loads of a growing folder: every file is taken exactly once."""
-    folder, target, ledger = t.out("incoming"), t.out("loaded"), t.out("ledger")
+    folder, target, checkpoint = t.out("incoming"), t.out("loaded"), t.out("checkpoint")
     orders = t.orders.select("o_orderkey", "o_custkey")
-    load = lambda: T.load_once(t.spark, folder, t.spark.read.schema(orders.schema).json, target, ledger)
+    load = lambda: T.load_once(t.spark, folder, "json", orders.schema, target, checkpoint)
     orders.filter("o_orderkey % 2 = 0").write.json(folder)
     load()
     load()
     orders.filter("o_orderkey % 2 = 1").write.mode("append").json(folder)
-    load()
-    return T.loaded(t.spark, target, ledger)
+    return load()
 
 
 @query("snk_11", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS order_day FROM orders")
@@ -125,10 +125,13 @@ def check_constraint(t):
     return t.spark.read.parquet(path)
 
 
-@query("snk_13", "SELECT s_suppkey, s_name, NULL::DOUBLE AS s_acctbal FROM supplier UNION ALL SELECT s_suppkey + 1000000, NULL, s_acctbal FROM supplier")
+@query("snk_13", """SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 2 = 0 THEN s_acctbal END AS s_acctbal FROM supplier
+  UNION ALL SELECT s_suppkey + 1000000, NULL, s_acctbal FROM supplier WHERE s_suppkey % 2 = 1""")
 def schema_evolution(t):
-    new = t.supplier.select((F.col("s_suppkey") + 1000000).alias("s_suppkey"), "s_acctbal")
-    return T.append_evolving(t.supplier.select("s_suppkey", "s_name"), new)
+    """A merge whose source brings a column: the target gains it, null in rows that the source does not name."""
+    key = F.col("s_suppkey")
+    source = t.supplier.select(F.when(key % 2 == 0, key).otherwise(key + 1000000).alias("s_suppkey"), "s_acctbal")
+    return merge_into(t.supplier.select("s_suppkey", "s_name"), source, ["s_suppkey"], evolve=True)
 
 
 @query("snk_14", "SELECT 0::BIGINT AS stored, count(*) AS source FROM orders")

@@ -34,9 +34,9 @@ def register(spark: SparkSession) -> None:
     spark.udf.register("mr_first_letter", first_letter_udf)
     spark.udf.register("mr_first_letter_batch", first_letter_batch)
     spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION mr_sale(name STRING, price DOUBLE) RETURNS STRING "
-        "COMMENT 'Sale text for an item' "
-        "RETURN concat('The ', name, ' is on sale for $', round(price * 0.8, 0))"
+        "CREATE OR REPLACE TEMPORARY FUNCTION mr_price_tag(name STRING, price DOUBLE) RETURNS STRING "
+        "COMMENT 'Name of an item and its price with tax' "
+        "RETURN concat(upper(name), ': ', round(price * 1.19, 0), ' with tax')"
     )
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION mr_size_note(name STRING, size INT) RETURNS STRING "

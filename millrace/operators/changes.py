@@ -32,18 +32,22 @@ def merge_into(
     delete_if: Column | None = None,
     insert: Mapping[str, Column] | None = None,
     insert_if: Column | None = None,
+    evolve: bool = False,
 ) -> DataFrame:
     """Merge ``source`` into ``target`` on equal keys.
 
     Conditions and values name target columns as ``t.x`` and source columns as
     ``s.x``.  ``update=None`` sets every target column from the source, as
     ``{}`` does nothing; the same holds for ``insert``.  Extra source columns
-    are ignored.  Two source rows for one target row stop the job, as in a
+    are ignored, or with ``evolve`` join the target, null in its old rows.  Two source rows for one target row stop the job, as in a
     table MERGE.  The source is reduced to one row per key.  Target rows meet it
     in a left join and new keys are found by an anti join: Spark splits the hot
     keys of both, which it does not for a full outer join.  A null key matches
     nothing, so it is inserted on its own terms.
     """
+    if evolve:
+        new_fields = [f for f in source.schema.fields if f.name not in target.columns]
+        target = target.withColumns({f.name: F.lit(None).cast(f.dataType) for f in new_fields})
     columns = target.columns
     rest = [c for c in source.columns if c not in keys]
     packed = source.groupBy(*keys).agg(

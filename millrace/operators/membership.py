@@ -11,13 +11,10 @@ def not_in(df: DataFrame, column: str, listed: DataFrame, listed_column: str) ->
 
     A null in the list removes every row, an empty list none; otherwise null
     values and listed values are removed.  Spark plans a literal NOT IN as a
-    broadcast of the list whatever its size.  Two facts about the list, from
-    one small aggregate, make it a plain anti join.
+    broadcast of the list whatever its size.  Here it is an anti join, and two
+    uncorrelated subqueries of one row say whether the list holds a null or anything at all.
     """
-    facts = listed.agg(F.count("*").alias("size"), F.count_if(F.col(listed_column).isNull()).alias("nulls")).first()
-    if facts["nulls"]:
-        return df.filter(F.lit(False))
-    if not facts["size"]:
-        return df
-    values = listed.select(F.col(listed_column).alias(column)).distinct()
-    return df.filter(F.col(column).isNotNull()).join(values, column, "left_anti").select(*df.columns)
+    values = listed.select(F.col(listed_column).alias("_listed")).distinct()
+    some_null = listed.filter(F.col(listed_column).isNull()).exists()
+    kept = df.join(values, F.col(column) == F.col("_listed"), "left_anti")
+    return kept.filter(~some_null & (F.col(column).isNotNull() | ~listed.exists()))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,23 +23,25 @@ def running_totals(
     )
 
 
-def running_total_in_blocks(
-    df: DataFrame, keys: Sequence[str], order: str, block: Column, value: Column, name: str
+def running_columns_in_blocks(
+    df: DataFrame, keys: Sequence[str], order: str, block: Column, totals: Mapping[str, Column]
 ) -> DataFrame:
-    """Running sum over an order column with many distinct values per key.
+    """Every row with ``cumulative_<name>`` of each total, over an order column with many values per key.
 
-    The order range is cut into blocks (a day, a month).  Each (key, block) is
+    The order range is cut into blocks (an hour, a day, a month).  Each (key, block) is
     summed on its own; block totals are carried forward over the few blocks of
     a key and added to the running sum inside the block.  ``block`` must not
-    decrease when ``order`` increases.
+    decrease when ``order`` increases; equal order values are peers; null keys are a group.
     """
-    peers = df.groupBy(*keys, block.alias("_block"), F.col(order)).agg(F.sum(value).alias("_sum"))
-    blocks = df.groupBy(*keys, block.alias("_block")).agg(F.sum(value).alias("_total"))
+    rows = df.withColumn("_block", block)
+    sums = rows.groupBy(*keys, "_block").agg(*[F.sum(v).alias(n) for n, v in totals.items()])
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = blocks.select(*keys, "_block", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_carry"))
-    inside = Window.partitionBy(*keys, "_block").orderBy(order)
-    return (
-        peers.withColumn("_run", F.sum("_sum").over(inside))
-        .join(carried, [*keys, "_block"])
-        .select(*keys, order, F.col("_sum").alias(name), (F.col("_carry") + F.col("_run")).alias(f"cumulative_{name}"))
+    by = [*keys, "_block"]
+    carried = sums.select(
+        *[F.col(k).alias(f"_at{i}") for i, k in enumerate(by)], *[F.sum(n).over(before).alias(f"_carry_{n}") for n in totals]
     )
+    inside = Window.partitionBy(*by).orderBy(order)
+    running = rows.select("*", *[F.sum(v).over(inside).alias(f"_run_{n}") for n, v in totals.items()])
+    on = [F.col(k).eqNullSafe(F.col(f"_at{i}")) for i, k in enumerate(by)]
+    total = lambda n: F.coalesce(F.col(f"_carry_{n}") + F.col(f"_run_{n}"), f"_carry_{n}", f"_run_{n}")
+    return running.join(carried, on).select(*df.columns, *[total(n).alias(f"cumulative_{n}") for n in totals])

@@ -18,6 +18,7 @@ from millrace.functions.columns import hours_of_month, month_start, packed_rate,
 from millrace.operators import rules as R
 from millrace.operators.changes import update_from, update_where
 from millrace.operators.newest import last_value_over, newest_value_fill
+from millrace.workspace import settle
 
 TAGS = [
     "tag_group1", "tag_group2", "tag_name", "tag_plan", "tag_env", "tag_project", "tag_client", "tag_agency",
@@ -103,7 +104,7 @@ OLD_FORM_NULLS = tuple(c for c in TAGS if c not in ("tag_group1", "tag_group2",
 
 def retag_old_form(fact: DataFrame) -> DataFrame:
     """Older form: blank keys are retagged too, and only group and name tags skip nulls."""
-    return retag_by_name(retag_by_resource(fact, False, OLD_FORM_NULLS), False, OLD_FORM_NULLS)
+    return retag_by_name(settle(retag_by_resource(fact, False, OLD_FORM_NULLS), "by-resource"), False, OLD_FORM_NULLS)
 
 
 def _kind(rules: DataFrame, kind: str) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from millrace import workspace
+from millrace.streaming import ingest
 
 
 def save_table(df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = (), mode: str = "overwrite") -> DataFrame:
@@ -34,11 +35,6 @@ def overwrite_checked(df: DataFrame, spark: SparkSession, path: str) -> DataFram
     return spark.read.parquet(path)
 
 
-def append_evolving(existing: DataFrame, batch: DataFrame) -> DataFrame:
-    """Union in which a column missing on either side is null there."""
-    return existing.unionByName(batch, allowMissingColumns=True)
-
-
 def with_generated(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Computed column; a supplied value must equal the computed one."""
     if name not in df.columns:
@@ -55,38 +51,15 @@ def with_check(df: DataFrame, name: str, condition: Column) -> DataFrame:
     return df.filter(F.when(F.coalesce(condition, F.lit(True)), F.lit(True)).otherwise(wrong))
 
 
-def load_once(
-    spark: SparkSession, folder: str, read: Callable[[list[str]], DataFrame], target: str, ledger: str
-) -> int:
-    """Append the rows of files not loaded before; return the number of new files.
+def load_once(spark: SparkSession, folder: str, kind: str, schema: str | T.StructType, target: str, checkpoint: str) -> DataFrame:
+    """Append the rows of files not loaded before; return all rows loaded so far.
 
-    Only file names are listed and compared with the ledger, and only the new
-    files are read.  Rows go to a folder of their own below ``target``; the
-    ledger of (file, load) is written last and is the commit.  A load lost
-    half way has no ledger entry, so :func:`loaded` does not show it and its
-    files are taken again by the next run.
+    A stream over the folder that stops when it has read what is there: its checkpoint knows the
+    files taken, and readers of the target see only files of finished batches. A load lost half way
+    is taken again by the next run.
     """
-    listed = spark.read.format("binaryFile").load(folder).select(F.col("path").alias("file"))
-    if _exists(spark, ledger):
-        listed = listed.join(spark.read.parquet(ledger).select("file"), "file", "left_anti")
-    fresh = [row["file"] for row in listed.collect()]  # names only: a reader takes them from the driver
-    if fresh:
-        load = workspace.fresh_name("load")
-        read(fresh).write.parquet(f"{target}/load={load}")
-        names = spark.createDataFrame([(name, load) for name in fresh], "file string, load string")
-        names.coalesce(1).write.mode("append").parquet(ledger)
-    return len(fresh)
-
-
-def loaded(spark: SparkSession, target: str, ledger: str) -> DataFrame:
-    """Rows of committed loads."""
-    commits = spark.read.parquet(ledger).select("load").distinct()
-    return spark.read.parquet(target).join(commits, "load", "left_semi").drop("load")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+    ingest.append(ingest.stream_files(spark, folder, schema, kind), target, checkpoint)
+    return spark.read.schema(schema).parquet(target)
 
 
 def promote(df: DataFrame, renamed: Mapping[str, str], casts: Mapping[str, str], blanks: Mapping[str, tuple[str, str]]) -> DataFrame:

@@ -11,6 +11,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_BASE: dict[str, str] = {}
 
@@ -48,12 +49,18 @@ def settle(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_STORED: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple, str] = {}
+
+
+def _files_state(spark: SparkSession, folder: str) -> tuple:
+    """Number and digest of names, sizes and times of all files below a folder; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return tuple(files.agg(F.count("*"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first())
 
 
 def stored(df_of, spark: SparkSession, label: str, source: str) -> DataFrame:
-    """A fact table that later reports read: written once per application and input folder."""
-    key = (spark.sparkContext.applicationId, label, source)
+    """A fact table that later reports read: written once per application and state of the input folder."""
+    key = (spark.sparkContext.applicationId, label, source, _files_state(spark, source))
     if key not in _STORED:
         path = fresh_path(spark, label)
         df_of().write.parquet(path)
