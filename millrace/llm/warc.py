@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from millrace.llm import common as C
+from millrace.workspace import settle
 
 CRLF = "\r\n"
 #: Fixed by the archive format.
@@ -246,8 +247,11 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def resolve(rows: DataFrame) -> DataFrame:
-    """Sizes and digests of revisits from the response they refer to; rows as ``read_pages`` gives them, payloads left out."""
-    rows = rows.drop("payload")
+    """Sizes and digests of revisits from the response they refer to; rows as ``read_pages`` gives them, payloads left out.
+
+    The rows without payloads are written once, because both sides of the join need them: the archives are read once.
+    """
+    rows = settle(rows.drop("payload"), "warc-rows")
     target = rows.filter("record_type = 'response'").select(
         F.col("page").alias("t_page"), F.col("own_digest").alias("t_digest"), F.col("own_bytes").alias("t_bytes"),
     ).distinct()
