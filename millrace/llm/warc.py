@@ -183,8 +183,12 @@ def reassemble(records: DataFrame) -> DataFrame:
 
     Segments are grouped by the identifier of the first record and ordered by number. A block is
     complete if the numbers run from 1 without gap and the lengths add up to the stated total; the
-    block of an incomplete one is null. A record without segment number is complete.
+    block of an incomplete one is null. A record that neither has a segment number nor continues another is
+    complete as it is and is not shuffled.
     """
+    alone = F.col("segment").isNull() & F.col("origin").isNull()
+    singles = records.filter(alone & F.col("type").isNotNull()).select("id", "type", "uri", "refers", "digest", F.lit(True).alias("complete"), "block")
+    records = records.filter(~alone)
     part = F.struct(F.coalesce(F.col("segment").cast("int"), F.lit(1)).alias("n"), F.col("total").cast("long").alias("total"), "block")
     first = F.col("origin").isNull()
     one = lambda c: F.max(F.when(first, F.col(c))).alias(c)
@@ -198,9 +202,10 @@ def reassemble(records: DataFrame) -> DataFrame:
     total = F.array_max(F.transform("parts", lambda p: p["total"]))
     complete = F.when(F.col("segmented") | (F.size("parts") > 1), numbered & F.coalesce(sizes == total, F.lit(False))).otherwise(True)
     block = F.array_join(F.transform("parts", lambda p: _text(p["block"])), "").cast("binary")
-    return grouped.filter(F.col("type").isNotNull()).select(
+    joined = grouped.filter(F.col("type").isNotNull()).select(
         F.col("key").alias("id"), "type", "uri", "refers", "digest", complete.alias("complete"), F.when(complete, block).alias("block"),
     )
+    return singles.unionByName(joined)
 
 
 def unframe(block: bytes | None) -> bytes | None:
