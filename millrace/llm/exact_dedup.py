@@ -1,7 +1,7 @@
 """Exact duplicates by sorting whole texts.
 
-Sampled splitters deal the normalised bytes into ranges (``repartitionByRange``), each range is
-sorted externally so that equal texts lie side by side, and a window that compares whole
+Sampled splitters deal the normalised texts into ranges (``repartitionByRange``) by their beginning and,
+where many begin alike, by a hash; each range is sorted externally so that equal texts lie side by side, and a window that compares whole
 neighbouring texts finds the runs. A text that holds a large share of the rows would fill one
 range; such texts, met again and again in a bounded sample, are dealt by text and a part number,
 and their parts are joined again afterwards through one row for each part.
@@ -37,10 +37,11 @@ def mark_copies(
     hot = C.heavy_keys(rows, F.xxhash64("body"), sample_rows, hits)
     is_hot = F.xxhash64("body").isin(hot) if hot else F.lit(False)
     rows = rows.withColumn("part", F.when(is_hot, C.pmod(F.xxhash64("doc_id"), parts)).otherwise(-1).cast("int"))
-    rows = rows.repartitionByRange("body", "part")
+    # splitters go through the driver, so they are the text's beginning and hash; equal texts share both
+    rows = rows.withColumns({"lead": F.substring("body", 1, 32), "mark": F.xxhash64("body")}).repartitionByRange("lead", "mark", "part")
 
     best = F.col("doc_id").desc_nulls_last() if keep == "largest" else F.col("doc_id").asc_nulls_last()
-    run = Window.partitionBy("body", "part").orderBy(best)
+    run = Window.partitionBy("lead", "mark", "part", "body").orderBy(best)
     runs = rows.select(
         "doc_id", "part",
         F.first("doc_id").over(run).alias("head"),
