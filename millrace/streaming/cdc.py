@@ -1,8 +1,8 @@
 """Change-data capture, type 1: the newest change per key is the row.
 
 Every micro-batch is reduced to its newest change per key and written to its
-own folder; reading the table takes the newest change over all folders and
-hides deletions.  A deletion stays as a tombstone with its sequence, so an
+own folder, and the folders are folded as they grow; reading the table takes the newest change over
+all folders and hides deletions.  A deletion stays as a tombstone with its sequence, so an
 older change that arrives later cannot revive the key.  A repeated micro-batch
 overwrites its own folder, which makes restarts safe.
 """
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.newest import latest_per_key
+from millrace.streaming.folding import FOLD, read_all, store_newest
 
 
 def newest_changes(changes: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
@@ -30,23 +31,20 @@ def visible(state: DataFrame, keys: Sequence[str], sequence: Sequence[str], dele
     return newest.filter(~F.coalesce(delete_when, F.lit(False))).drop(*drop)
 
 
-def apply_changes(changes: DataFrame, keys: Sequence[str], sequence: Sequence[str], state: str, checkpoint: str) -> None:
+def apply_changes(changes: DataFrame, keys: Sequence[str], sequence: Sequence[str], state: str, checkpoint: str, fold: int = FOLD) -> None:
     """Run the change stream into the state folder until the input is used up."""
-    def store(batch: DataFrame, number: int) -> None:
-        newest_changes(batch, keys, sequence).write.mode("overwrite").parquet(f"{state}/batch={number}")
-
     query = (
-        changes.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        changes.writeStream.foreachBatch(lambda batch, number: store_newest(batch, number, state, keys, sequence, fold))
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
 
 
 def read_state(spark: SparkSession, state: str) -> DataFrame:
-    return spark.read.parquet(state).drop("batch")
+    return read_all(spark, state)
 
 
 def compact(spark: SparkSession, state: str, keys: Sequence[str], sequence: Sequence[str], out: str) -> DataFrame:
-    """Fold all change folders into one, tombstones kept."""
+    """A copy of the state in one folder, tombstones kept."""
     newest_changes(read_state(spark, state), keys, sequence).write.mode("overwrite").parquet(f"{out}/batch=0")
     return read_state(spark, out)

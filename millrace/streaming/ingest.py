@@ -12,8 +12,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.newest import latest_per_key
+from millrace.operators.quality import expect, expectation_metrics
+from millrace.streaming.folding import FOLD, read_all, store_newest
 
 
 def stream_files(spark: SparkSession, path: str, schema: str | T.StructType, kind: str = "json", files_per_batch: int = 1000, **options: str) -> DataFrame:
@@ -53,40 +56,41 @@ def append(df: DataFrame, out: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def aggregate(df: DataFrame, out: str, checkpoint: str) -> None:
-    """Run a streaming aggregate; each micro-batch replaces the whole result.
+def append_with_metrics(df: DataFrame, dataset: str, rules: Mapping[str, Column], out: str, metrics: str, checkpoint: str) -> None:
+    """Rows with a pass flag per rule into ``out``, and per micro-batch (``update``) the counts of each rule into ``metrics``.
 
-    The result of an aggregate is small beside its input, and replacing it is
-    safe to repeat after a failure.
+    The counts are taken from the rows as written, so the input is read once; a repeated micro-batch
+    overwrites its own rows and counts.
     """
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+    def store(batch: DataFrame, number: int) -> None:
+        written = f"{out}/update={number}"
+        expect(batch, rules).write.mode("overwrite").parquet(written)
+        flags = batch.sparkSession.read.parquet(written)
+        counts = expectation_metrics(flags, dataset, {name: F.col(name) for name in rules})
+        counts.write.mode("overwrite").parquet(f"{metrics}/update={number}")
 
-    query = (
-        df.writeStream.foreachBatch(replace).outputMode("complete")
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    query = df.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
-def aggregate_updates(df: DataFrame, out: str, checkpoint: str) -> None:
+def aggregate_updates(df: DataFrame, keys: Sequence[str], out: str, checkpoint: str, fold: int = FOLD) -> StreamingQuery:
     """Run a windowed aggregate whose state is bounded by a watermark.
 
-    Each micro-batch stores only the windows it changed, in its own folder;
-    :func:`newest_windows` reads the last value of each.
+    Each micro-batch stores only the windows it changed; :func:`newest_windows` reads the last value of each.
     """
     def store(batch: DataFrame, number: int) -> None:
-        batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{out}/update={number}")
+        store_newest(batch.withColumn("_update", F.lit(number)), number, out, keys, ["_update"], fold)
 
     query = (
         df.writeStream.foreachBatch(store).outputMode("update")
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    return query
 
 
 def newest_windows(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFrame:
-    return latest_per_key(spark.read.parquet(out).drop("update"), keys, ["batch"]).drop("batch")
+    return latest_per_key(read_all(spark, out), keys, ["_update"]).drop("_update")
 
 
 def watermarked(df: DataFrame, column: str, delay: str | None) -> DataFrame:

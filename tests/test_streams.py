@@ -51,6 +51,29 @@ def test_change_capture_cases(spark):
     assert got == [("1", "upd"), ("3", "back"), ("6", None)]
 
 
+def test_change_folders_are_folded(spark):
+    """Seven deliveries with two to a generation: every change is in, and no more than four folders are kept."""
+    path, state, checkpoint = (fresh_path(spark, n) for n in ("feed", "state", "check"))
+    for at in range(1, 8):
+        deliver(spark, path, [change("all", f"at {at}", "UPDATE", at), change(str(at), "own", "NEW", at)])
+        feed = ingest.stream_files(spark, path, SHAPE).withColumn("sequence", F.col("timestamp").cast("bigint"))
+        cdc.apply_changes(feed, ["customer_id"], ["sequence"], state, checkpoint, fold=2)
+        seen = cdc.visible(cdc.read_state(spark, state), ["customer_id"], ["sequence"], F.lit(False))
+        assert {(r["customer_id"], r["name"]) for r in seen.collect()} == {("all", f"at {at}"), *((str(n), "own") for n in range(1, at + 1))}
+    assert spark.read.parquet(state).select("slot", "batch").distinct().count() == 4
+
+
+def test_window_state_is_dropped(spark):
+    path, out = fresh_path(spark, "feed"), fresh_path(spark, "windows")
+    for day in (1, 5, 9, 13):
+        spark.createDataFrame([(day, f"2024-01-{day:02d} 00:00:00")], "n int, at string").coalesce(1).write.mode("append").json(path)
+        rows = ingest.watermarked(ingest.stream_files(spark, path, "n int, at timestamp"), "at", "2 days")
+        total = rows.groupBy(F.window("at", "1 day").alias("w")).agg(F.sum("n").alias("n")).select(F.col("w.start").alias("day"), "n")
+        run = ingest.aggregate_updates(total, ["day"], f"{out}/data", f"{out}/check", fold=2)
+        assert run.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2
+    assert sorted(r["n"] for r in ingest.newest_windows(spark, f"{out}/data", ["day"]).collect()) == [1, 5, 9, 13]
+
+
 def test_missing_id_stops_the_stream(spark):
     with pytest.raises(PySparkException):
         state_after(spark, [change(None, "x", "NEW", 1)])
