@@ -69,7 +69,7 @@ def contracts(t: Tables):
 
 
 def terms(t: Tables, which: str, by_sub_group: bool = False):
-    cost = U.monthly_cost(fact_slice(t, which), ROLLED, ROOT, by_sub_group)
+    cost = workspace.settle(U.monthly_cost(fact_slice(t, which), ROLLED, ROOT, by_sub_group), "monthly")
     return U.with_contract_terms(cost, contracts(t), "group", "CORE")
 
 
@@ -321,7 +321,8 @@ def overrides(t):
 
 @query("dbu_19", BY_GROUP + """SELECT CASE main_group WHEN 'PX-GROUP' THEN 'PX-NEW' WHEN 'GAMMA' THEN 'GAMMA-GROUP' ELSE main_group END AS main_group, count(*) AS months, round(sum(usage_cost), 4) AS usage_cost FROM terms GROUP BY 1""")
 def renamed_groups(t):
-    whole = U.with_contract_terms(U.monthly_cost(stored_fact(t), ROLLED, ROOT), contracts(t), "group", "CORE")
+    cost = workspace.settle(U.monthly_cost(stored_fact(t), ROLLED, ROOT), "monthly")
+    whole = U.with_contract_terms(cost, contracts(t), "group", "CORE")
     renamed = U.rename_groups(whole, "main_group", {"PX-GROUP": "PX-NEW", "GAMMA": "GAMMA-GROUP"})
     return renamed.groupBy("main_group").agg(F.count("*").alias("months"), F.round(F.sum("usage_cost"), 4).alias("usage_cost"))
 

@@ -259,19 +259,22 @@ def with_contract_terms(
     """Join each monthly cost to its own contract, else to the root contract.
 
     A contract applies when the group starts with its tag value and the month
-    lies in its range.  Both joins are on the month, with the text condition
-    as a residual.
+    lies in its range.  Contracts are found for the distinct months and groups, by equality
+    with the beginnings of the group's name, so ``cost`` is read twice.
     """
-    month = F.make_date("year", "month", F.lit(1))
+    base = cost.withColumn("_month", F.make_date("year", "month", F.lit(1)))
     terms = by_month(contracts, "date_from", "date_to")
-    own = terms.filter("parent_id <> contract_id").alias("own")
+    beginnings = F.transform(F.sequence(F.lit(0), F.length("main_group")), lambda n: F.left(F.col("main_group"), n))
+    named = base.select("_month", "main_group").distinct().select("*", F.explode(beginnings).alias("_start")).alias("n")
+    own = named.join(
+        terms.filter("parent_id <> contract_id").alias("t"),
+        (F.col("n._month") == F.col("t.valid_month")) & (F.col("n._start") == F.col("t.tag_value")),
+    ).select("n._month", "n.main_group", "t.*").alias("own")
     root = terms.filter((F.col("tag_key") == root_key) & (F.col("tag_value") == root_value)).alias("root")
-    base = cost.withColumn("_month", month).alias("c")
-    joined = base.join(
-        own, (F.col("c._month") == F.col("own.valid_month")) & F.startswith("c.main_group", "own.tag_value"), "left"
-    ).join(
-        root, (F.col("c._month") == F.col("root.valid_month")) & ~F.startswith("c.main_group", "root.tag_value"), "left"
-    )
+    elsewhere = F.when(~F.startswith("main_group", F.lit(root_value)), F.col("_month"))
+    joined = base.withColumn("_root_month", elsewhere).alias("c").join(
+        own, (F.col("c._month") == F.col("own._month")) & (F.col("c.main_group") == F.col("own.main_group")), "left"
+    ).join(root, F.col("c._root_month") == F.col("root.valid_month"), "left")
     status = F.coalesce("own.is_active", "root.is_active")
     limit = F.when(status == 1, F.coalesce("own.hard_limit", F.lit(default_limit))).otherwise(
         F.coalesce("own.hard_limit", "own.month_budget", "root.month_budget")
