@@ -349,12 +349,27 @@ def reserved_prices(t):
     return rounded(reference(t), "hourly_price", digits=8)
 
 
-@query("cur_18", S.with_sql(*ASSET_CHAIN, PRICE_LIST_SQL, REFERENCE_SQL) + """SELECT a.owner_id, a.tag_name, a.resource_id, a.usage_type, a.region, a.ondemand_rate,
-  coalesce(a.partial_rate, (SELECT min(hourly_price) FROM reference r WHERE r.option = 'Partial Upfront' AND r.usage_type = replace(replace(a.usage_type, 't2', 'm5'), 'm4', 'm5')
-    AND r.service = a.service AND r.region = a.region AND r.ondemand_rate = a.ondemand_rate)) AS partial_rate FROM asset_fact a""")
+RATES, NEWER = {"partial_rate": "Partial Upfront", "noupfront_rate": "No Upfront"}, {"t2": "m5", "m4": "m5"}
+
+
+def price_sql(option: str, extra: str = "") -> str:
+    return f"""(SELECT min(hourly_price) FROM reference r WHERE r.option = '{option}' AND r.usage_type = replace(replace(a.usage_type, 't2', 'm5'), 'm4', 'm5')
+    AND r.service = a.service AND r.region = a.region AND r.ondemand_rate = a.ondemand_rate {extra})"""
+
+
+@query("cur_18", S.with_sql(*ASSET_CHAIN, PRICE_LIST_SQL, REFERENCE_SQL) + f"""SELECT a.owner_id, a.tag_name, a.resource_id, a.usage_type, a.region, a.os, a.ondemand_rate,
+  coalesce(a.partial_rate, {price_sql('Partial Upfront', 'AND r.engine = a.os')}) AS partial_rate, coalesce(a.noupfront_rate, {price_sql('No Upfront', 'AND r.engine = a.os')}) AS noupfront_rate FROM asset_fact a""")
 def backfilled_rates(t):
-    found = B.backfill_rates(B.asset_fact(assets(t)), reference(t), "Partial Upfront", "partial_rate", {"t2": "m5", "m4": "m5"})
-    return found.select("owner_id", "tag_name", "resource_id", "usage_type", "region", "ondemand_rate", "partial_rate")
+    """Missing rates of assets, from prices of their own engine."""
+    found = B.backfill_rates(B.asset_fact(assets(t)), reference(t), RATES, NEWER, engine="os")
+    return found.select("owner_id", "tag_name", "resource_id", "usage_type", "region", "os", "ondemand_rate", "partial_rate", "noupfront_rate")
+
+
+@query("cur_18b", S.with_sql(*ASSET_CHAIN, PRICE_LIST_SQL, REFERENCE_SQL) + f"""SELECT service, family, os, region, usage_type, ondemand_rate, coalesce({price_sql('Partial Upfront')}, partial_rate) AS partial_rate,
+  coalesce({price_sql('No Upfront')}, noupfront_rate) AS noupfront_rate FROM (SELECT DISTINCT service, family, os, region, usage_type, partial_rate, noupfront_rate, ondemand_rate FROM asset_fact) a""")
+def repriced_rates(t):
+    """The wider pass over the rate dimension: prices of any engine replace what is there."""
+    return B.backfill_rates(B.rate_dimension(B.asset_fact(assets(t))), reference(t), RATES, NEWER, only_missing=False)
 
 
 RATE_OVERRIDES = [

@@ -360,20 +360,28 @@ def reserved_prices(assets: DataFrame, prices: DataFrame) -> DataFrame:
     )
 
 
-def backfill_rates(assets: DataFrame, reference: DataFrame, option: str, rate: str, substitutes: Mapping[str, str]) -> DataFrame:
-    """Fill a missing commitment rate from the newer family's reserved price.
-
-    ``substitutes`` renames old instance families inside the usage type.
+def backfill_rates(
+    rows: DataFrame, reference: DataFrame, rates: Mapping[str, str], substitutes: Mapping[str, str],
+    engine: str | None = None, only_missing: bool = True,
+) -> DataFrame:
+    """Commitment rates from the newer family's reserved price.
+
+    ``rates`` names the purchase option of each rate column and ``substitutes`` renames old instance
+    families inside the usage type.  With ``engine`` that column must equal the price's engine too.
+    Only missing rates are filled, or every rate that has a price is set.
     When a key has several prices the lowest is taken.
     """
     family = F.col("usage_type")
     for old, new in substitutes.items():
         family = F.replace(family, F.lit(old), F.lit(new))
-    found = reference.filter(F.col("option") == option).groupBy(
-        F.col("usage_type").alias("_type"), "service", "region", "ondemand_rate"
-    ).agg(F.min("hourly_price").alias("_price"))
-    joined = assets.withColumn("_type", family).join(found, ["_type", "service", "region", "ondemand_rate"], "left")
-    return joined.withColumn(rate, F.coalesce(rate, "_price")).select(*assets.columns)
+    keys = {"_type": F.col("usage_type")} | ({"_engine": F.col("engine")} if engine else {})
+    found = reference.groupBy(*[c.alias(k) for k, c in keys.items()], "service", "region", "ondemand_rate").agg(
+        *[F.min(F.when(F.col("option") == option, F.col("hourly_price"))).alias(f"_{rate}") for rate, option in rates.items()]
+    )
+    keyed = rows.withColumns({"_type": family} | ({"_engine": F.col(engine)} if engine else {}))
+    joined = keyed.join(found, [*keys, "service", "region", "ondemand_rate"], "left")
+    new = {rate: F.coalesce(*((rate, f"_{rate}") if only_missing else (f"_{rate}", rate))) for rate in rates}
+    return joined.withColumns(new).select(*rows.columns)
 
 
 def override_rates(prices: DataFrame, overrides: DataFrame) -> DataFrame:
