@@ -375,5 +375,5 @@ def mask_function(t):
 def function_description(t):
     """The description of a function beside the rows it is meant for."""
     udfs.register(t.spark)
-    text = " ".join(row[0] for row in t.spark.sql("DESCRIBE FUNCTION EXTENDED mr_sale").collect())
-    return t.part.agg(F.count("*").alias("parts"), F.lit("Sale text" in text).alias("described"))
+    text = " ".join(row[0] for row in t.spark.sql("DESCRIBE FUNCTION EXTENDED mr_price_tag").collect())
+    return t.part.agg(F.count("*").alias("parts"), F.lit("Name of an item" in text).alias("described"))

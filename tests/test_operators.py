@@ -255,3 +255,9 @@ def test_not_in_follows_sql_nulls(spark):
     assert rows(not_in(df, "v", listed(1, 1), "x")) == [(2,)]
     assert rows(not_in(df, "v", listed(1, None), "x")) == []
     assert not_in(df, "v", listed(), "x").count() == 3
+
+
+def test_described_function_is_registered(tables):
+    from millrace.catalog.scalars import function_description
+
+    assert function_description(tables).first().asDict() == {"parts": tables.part.count(), "described": True}
