@@ -26,10 +26,19 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word shingles at 0.8 or more, the one with the smallest doc_id."""
-    marked = near_dup.near_duplicates(docs)
-    lost = marked.filter(~F.col("kept")).select(F.col("doc_id").alias("mr_lost")).distinct()
-    return docs.join(lost, F.col("doc_id").eqNullSafe(F.col("mr_lost")), "left_anti")
+    """Of rows linked by five-word shingles at 0.8 or more, the one with the smallest doc_id; among equal ids any one.
+
+    A row is known by a key of its own: rows without doc_id come after all others and, like rows that share
+    one, are documents of their own. Rows without words are linked to nothing and stay.
+    """
+    # the key is written once with the texts, so that every later read of them finds the same one
+    keyed = settle(docs.withColumn("mr_row", F.monotonically_increasing_id()), "near-keyed")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mr_row")
+    # such places are about four times as wide as the numbers that broadcast_rows is meant for
+    near = near_dup.Near(broadcast_rows=250_000)
+    marked = near_dup.near_duplicates(keyed.withColumn("mr_place", place), near, id_column="mr_place")
+    lost = marked.filter(~F.col("kept")).select("doc_id.mr_row")
+    return keyed.join(lost, "mr_row", "left_anti").select(docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
