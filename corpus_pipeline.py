@@ -66,7 +66,7 @@ STAGES = [
     ("tokens", tokens),
 ]
 
-#: Co-training and byte-level BPE have no SQL form; tests hold the stages against brute force.
+#: Co-training and byte-level BPE have no SQL form; tests/llm/test_pipeline.py holds the stages after the first against plain Python.
 ORACLE_SQL = None
 
 
