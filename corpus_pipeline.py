@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 
 from millrace.llm import bpe, decontaminate, line_dedup, near_dup, quality
 from millrace.llm import common as C
-from millrace.llm.queries import QUALITY_LINE, RANKS, table
+from millrace.llm.queries import RANKS, stays, table
 from millrace.workspace import settle
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the co-trained classifier finds good; it is trained on the labels of these documents."""
+    """Documents that the co-trained classifier finds good; it is trained on the labels of these documents.
+
+    Without labels of both classes nothing can be told, and all documents stay.
+    """
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     scored = quality.score_documents(docs, model, score_column="mr_quality")
-    return scored.filter(F.col("mr_quality") >= QUALITY_LINE).select(docs.columns)
+    return scored.filter(stays(model, F.col("mr_quality"))).select(docs.columns)
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -147,6 +147,11 @@ class CoTrained:
     page: View | None
     prior: float
 
+    @property
+    def fitted(self) -> bool:
+        """Whether any view tells documents apart; if not, all have the same score and it says nothing of any of them."""
+        return self.text is not None and (self.text.slope > 0 or self.page.slope > 0)
+
     def score(self, texts: np.ndarray, pages: np.ndarray) -> np.ndarray:
         if self.text is None:
             return np.full(len(texts), _odds(np.array(self.prior)))
@@ -154,12 +159,15 @@ class CoTrained:
 
 
 def co_train(text: np.ndarray, page: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_page: np.ndarray, settings: Settings) -> CoTrained:
-    """Every fourth labelled row only calibrates; the others and the pseudo-labels fit."""
-    if len(set(y.tolist())) < 2 or len(y) < 40:
+    """Every fourth labelled row of a class only calibrates; the others and the pseudo-labels fit.
+
+    With fewer than four rows of a class nothing is calibrated, and all rows of that class fit.
+    """
+    if len(set(y.tolist())) < 2:
         share = float(np.clip(y.mean() if len(y) else 0.5, 0.01, 0.99))
         return CoTrained(None, None, float(np.log(share / (1 - share))))
-    check = np.arange(len(y)) % 4 == 0
-    share = float(y[check].mean().clip(0.01, 0.99))
+    check = np.where(y == 1, np.cumsum(y == 1), np.cumsum(y != 1)) % 4 == 0
+    share = float(y[check if len(set(y[check].tolist())) == 2 else ~check].mean().clip(0.01, 0.99))
     prior = float(np.log(share / (1 - share)))
     data, pools = (text, page), (pool_text, pool_page)
     extra: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, int), np.zeros(0)), (np.zeros(0, int), np.zeros(0))]
@@ -208,7 +216,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", settings:
     """Co-train on at most ``labelled_rows`` labelled and about ``unlabelled_rows`` unlabelled documents.
 
     Both are picked by a hash of the identifier. Null labels are left out; labels that differ for an
-    identifier are averaged and rounded. With fewer than 40 labels, or of one class only, every document gets the share of good ones.
+    identifier are averaged and rounded. Without labels of both classes no view is fitted, and every document gets the share of good ones.
     """
     known = labels.filter(F.col(label).isNotNull() & F.col(id_column).isNotNull())
     known = known.groupBy(F.col(id_column).alias("mr_id")).agg(F.round(F.avg(F.col(label).cast("double"))).alias("y"))

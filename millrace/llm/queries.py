@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe, chat, decontaminate, exact_dedup, line_dedup, near_dup, quality, substrings, toxicity, warc
@@ -26,6 +26,11 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def stays(model: quality.CoTrained, score: Column) -> Column:
+    """Whether a document of this score stays; all do where no model could be fitted."""
+    return score >= QUALITY_LINE if model.fitted else F.lit(True)
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(texts(spark, sf_dir))
 
@@ -35,7 +40,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     scored = quality.score_documents(docs, model)
-    return scored.select("doc_id", F.col("quality_score").alias("score"), (F.col("quality_score") >= QUALITY_LINE).alias("kept"))
+    return scored.select("doc_id", F.col("quality_score").alias("score"), stays(model, F.col("quality_score")).alias("kept"))
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

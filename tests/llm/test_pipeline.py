@@ -60,6 +60,21 @@ def test_one_row_of_each_group_of_near_copies(spark):
     assert corpus_pipeline.one_of_near_copies(spark, frame(spark, ROWS).limit(0), "").count() == 0
 
 
+def test_few_labels(spark, tmp_path):
+    """39 labels, 13 good ones: the good documents stay; labels of one class, or none, send nobody away."""
+    good = [(i, " ".join(f"The {BASE['abcdef'[i % 6]].split()[(7 * i + j) % 60]} stood near it." for j in range(30))) for i in range(30)]
+    junk = [(i, "$$$ CLICK!!! >>> " * (20 + i)) for i in range(30, 90)]
+    docs = frame(spark, good + junk)
+    kept = lambda: {r.doc_id for r in corpus_pipeline.good_quality(spark, docs, str(tmp_path)).collect()}
+    labels = [(i, 1) for i in range(13)] + [(i, 0) for i in range(40, 66)]
+    for some in (labels, labels[11:15], labels[12:14]):
+        spark.createDataFrame(some, "doc_id long, quality int").write.mode("overwrite").parquet(f"{tmp_path}/labels.parquet")
+        assert kept() == {i for i, _ in good}, some
+    for some in (labels[13:], labels[:13], []):
+        spark.createDataFrame(some, "doc_id long, quality int").write.mode("overwrite").parquet(f"{tmp_path}/labels.parquet")
+        assert kept() == set(range(90))
+
+
 LOW = {i: i + 32 for i in range(65, 91)}
 
 
