@@ -232,3 +232,19 @@ def test_repeated_passages(docs, empty, window):
     got = substrings.remove_repeats(docs, window).collect()
     assert sorted((str(r.doc_id), r.mr_words, sha(r.mr_kept)) for r in got) == sorted(want)
     assert substrings.remove_repeats(empty, window).count() == 0
+
+
+def test_toxicity_learns_a_planted_pair_through_train(spark):
+    """An insult beside a group is toxic, either alone is not; other words stand in both kinds."""
+    fill = [f"filler{i}" for i in range(40)]
+    rows, labels = [], []
+    for i in range(480):
+        cue = ["grumbert", "zolvians", "grumbert zolvians", ""][i % 4]
+        n = i // 4
+        rows.append((i, f"{fill[n % 40]} {cue} {fill[(7 * n + 3) % 40]} {fill[(11 * n + 5) % 40]}"))
+        labels.append((i, int(i % 4 == 2)))
+    machine = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"), "toxic")
+    texts = ["the grumbert zolvians here", "the grumbert here", "the zolvians here", "nothing here"]
+    scored = toxicity.score_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), machine)
+    p = [r.toxicity for r in scored.orderBy("doc_id").collect()]
+    assert p[0] > 0.7 > 0.3 > max(p[1:])
