@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace import workspace
 from millrace.catalog.registry import Tables, query
-from millrace.functions.columns import batch_number
 from millrace.operators import quality as Q
 from millrace.streaming import cdc, ingest, refresh
 
@@ -258,10 +256,9 @@ def tumbling_window(t):
 
 @query("stm_19", "SELECT event_id, user_id, event_type, value, epoch_us(ts) AS us FROM events")
 def replayed(t):
-    """Three batches of the month landed one by one into a running stream's folder."""
-    folder, out = t.out("replay"), t.out("stream")
-    source = workspace.settle(feed(t).withColumn("batch", batch_number(F.timestamp_micros("us"), 3)), "batches")
-    for number in (1, 2, 3):
-        ingest.replay(source.drop("batch"), source["batch"], number, folder)
-        ingest.append(ingest.stream_files(t.spark, folder, EVENT_SHAPE), f"{out}/data", f"{out}/checkpoint")
+    """The files of the written table as a stream: Spark forms the micro-batches, of two files each."""
+    table, out = t.out("events"), t.out("stream")
+    feed(t).repartition(6).write.parquet(table)
+    files = ingest.stream_files(t.spark, table, EVENT_SHAPE, "parquet", files_per_batch=2)
+    ingest.append(files, f"{out}/data", f"{out}/checkpoint")
     return t.spark.read.parquet(f"{out}/data")

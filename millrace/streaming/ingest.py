@@ -95,8 +95,3 @@ def newest_windows(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFr
 
 def watermarked(df: DataFrame, column: str, delay: str | None) -> DataFrame:
     return df if delay is None else df.withWatermark(column, delay)
-
-
-def replay(source: DataFrame, batch: Column, number: int, folder: str) -> None:
-    """Land the rows of one batch number as JSON files for a stream to pick up."""
-    source.filter(batch == number).write.mode("append").json(folder)

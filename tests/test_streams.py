@@ -95,3 +95,15 @@ def test_second_refresh_reads_only_new_files(spark):
     second = refresh.run(spark, landing, out, "2024-01-02")
     assert sorted((r["order_id"], r["name"]) for r in second["order_updates"].collect()) == [(1, "Anna"), (2, "Anna")]
     assert second["orders_by_date"].agg(F.sum("total_daily_orders")).first()[0] == 3
+
+
+def test_written_table_is_streamed_in_micro_batches(tables):
+    from urllib.parse import urlparse
+    from pathlib import Path
+
+    from millrace.catalog.streams import replayed
+
+    out = replayed(tables)
+    log = Path(urlparse(out.inputFiles()[0]).path).parent / "_spark_metadata"
+    assert [p.name for p in sorted(log.iterdir()) if not p.name.startswith(".")] == ["0", "1", "2"]
+    assert out.count() == tables.events.count() and not hasattr(ingest, "replay")
