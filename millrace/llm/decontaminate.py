@@ -9,11 +9,14 @@ in that block is compared word by word.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.workspace import settle
+
 #: Lower-case A-Z; bytes outside 0-9, a-z and the non-ASCII range part words.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -118,31 +121,37 @@ def find_benchmark(
 
     Windows are ``window`` words of an item; an item of fewer words, but not none, is one window.
     The benchmark is sent to the workers in blocks of at most about ``block_bytes`` of text (one item
-    more at most), each searched against every document and the finds united: any size of benchmark
-    works, in bounded memory. Null and empty texts have no words and no hits; null items hit without being listed;
-    repeated items count once. Documents are taken row by row, without a shuffle; an empty benchmark hits nothing.
+    more at most). One block alone is searched row by row, without a shuffle. Of several, each is searched against every
+    document and its finds are written to the shared folder before the next is read, so that driver and workers hold one
+    block at a time; the finds are united by a key that is written with the documents. Null and empty texts have no words and
+    no hits; null items hit without being listed;
+    repeated items count once; an empty benchmark hits nothing.
     """
     text = F.col(text_column).cast("string")
     size = benchmark.agg(F.sum(F.octet_length(F.col(item_text).cast("string"))).alias("b")).first()["b"] or 0
     blocks = int(size // block_bytes) + 1
     items = benchmark.select(F.col(item_column).cast("string").alias("item"), F.col(item_text).cast("string").alias("words"))
-    found: list[Column] = []
-    out = docs
-    for b in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == b)
-        taken = [(r["item"], r["words"]) for r in part.distinct().collect()]
-        name = f"mr_found_{b}"
-        out = out.withColumn(name, _searched(text, taken, window))
-        found.append(F.col(name))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+
+    def searched(rows: DataFrame, block: int) -> DataFrame:
+        part = items.filter(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == block)
+        return rows.withColumn("mr_found", _searched(text, [(r["item"], r["words"]) for r in part.distinct().collect()], window))
+
     if blocks == 1:
-        united = found[0]
-        spans, hits = united["spans"], united["items"]
-    else:
-        spans = merged_spans(F.flatten(F.array(*[f["spans"] for f in found])))
-        hits = F.array_sort(F.array_distinct(F.flatten(F.array(*[f["items"] for f in found]))))
-    return out.select(
-        *[F.col(f"`{c}`") for c in docs.columns], found[0]["n_words"].alias("mr_words"), spans.alias("mr_spans"), hits.alias("mr_items"),
+        found = F.col("mr_found")
+        return searched(docs, 0).select(*columns, found["n_words"].alias("mr_words"), found["spans"].alias("mr_spans"), found["items"].alias("mr_items"))
+    keyed = settle(docs.withColumn("mr_row", F.monotonically_increasing_id()), "benchmark-keyed")
+    finds = []
+    for b in range(blocks):
+        hit = searched(keyed.select("mr_row", text.alias(text_column)), b).filter(F.size("mr_found.spans") > 0)
+        finds.append(settle(hit.select("mr_row", "mr_found.spans", "mr_found.items"), "benchmark-finds"))
+    every = reduce(DataFrame.unionByName, finds).groupBy("mr_row").agg(
+        F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
+    every = every.select("mr_row", merged_spans(F.col("spans")).alias("mr_spans"), F.col("items").alias("mr_items"))
+    counted = keyed.withColumn("mr_found", _searched(text, [], window)).join(every, "mr_row", "left")
+    empty = lambda c: F.coalesce(c, F.array().cast(every.schema[c].dataType))
+    return counted.select(*columns, F.col("mr_found.n_words").alias("mr_words"), empty("mr_spans").alias("mr_spans"), empty("mr_items").alias("mr_items"))
 
 
 def merged_spans(spans: Column) -> Column:

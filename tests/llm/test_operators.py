@@ -176,6 +176,14 @@ def test_benchmark_passages(spark, docs, empty, block_bytes):
     assert decontaminate.find_benchmark(docs, bench.limit(0)).filter(F.size("mr_spans") > 0).count() == 0
 
 
+def test_benchmark_blocks_are_held_one_at_a_time(spark, docs):
+    """With many blocks the plan of the result searches for none of them any more: only words are counted in it."""
+    bench = spark.createDataFrame([(f"i{i}", f"item number {i} of them " * 3) for i in range(20)], "item_id string, text string")
+    out = decontaminate.find_benchmark(docs, bench, block_bytes=200)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("search(") <= 1
+    assert out.count() == len(TEXTS)
+
+
 def shingles(text, k):
     ws = [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").translate(LOW)) if w]
     return {tuple(ws[i : i + k]) for i in range(max(1, len(ws) - k + 1))} if ws else set()
