@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontaminate, exact_dedup, line_dedup, near_dup, quality, substrings, toxicity, warc
+from millrace.llm import (
+    bpe, chat, decontaminate, exact_dedup, line_dedup, near_dup, quality, search, sharding, spelling, substrings, toxicity, warc,
+)
 from millrace.llm import common as C
 from millrace.llm.sql import SQL
 from millrace.workspace import fresh_path
@@ -112,11 +115,44 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", F.col("mr_words").alias("n_words"), removed.alias("n_removed"), C.sha256(F.col("mr_kept")).alias("kept_sha256"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of the curve through source, language and length; equal texts of one place lie side by side.
+
+    Only these columns, the size and the checksum are sorted and written; ``sharding.write_shards`` writes whole rows.
+    """
+    body = F.col("text").cast("string").cast("binary")
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "lang", "n_chars", (F.coalesce(F.octet_length(body), F.lit(0)) + 8).cast("long").alias("size"),
+        F.crc32(F.coalesce(body, F.lit(b""))).alias("text_crc32"),
+    )
+    placed = sharding.assign_shards(rows, ["source", "lang", "n_chars"], shards=24, law="rows", ties=["size", "text_crc32", "doc_id"])
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("mr_shard").alias("shard"), F.col("mr_slot").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"), F.col("mr_curve").alias("curve"),
+    )
+
+
+def _mistyped(doc_id: str, run: str) -> str:
+    """One run in 31 loses a code point, both chosen by a checksum."""
+    h = zlib.crc32(f"{doc_id}:{run}".encode())
+    at = h % len(run)
+    return run if h % 31 else run[:at] + run[at + 1 :]
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(texts(spark, sf_dir), change=_mistyped)
+    return spelling.group_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(texts(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_quality, op3_line_dedup, op4_byte_bpe, op5_chat, op6_toxicity, op7_warc, op8_decontaminate,
-        op9_near_dup, op10_substrings,
+        op9_near_dup, op10_substrings, op11_sharding, op12_spelling, op13_search,
     )
 }
 

@@ -8,6 +8,51 @@ def _low(text: str) -> str:
     return f"translate({text}, '{_UP}', '{_LOW}')"
 
 
+#: The table of the common 32-bit checksum, from its polynomial.
+_CRC_TABLE = """SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS crc_table"""
+
+
+def _crc32(points: str) -> str:
+    """Unsigned checksum of the UTF-8 bytes of a list of code points; needs crc_table in reach."""
+    many = f"""flatten(list_transform({points}, lambda p: CASE
+        WHEN p < 128 THEN [p] WHEN p < 2048 THEN [192 + (p >> 6), 128 + (p & 63)]
+        WHEN p < 65536 THEN [224 + (p >> 12), 128 + ((p >> 6) & 63), 128 + (p & 63)]
+        ELSE [240 + (p >> 18), 128 + ((p >> 12) & 63), 128 + ((p >> 6) & 63), 128 + (p & 63)] END))"""
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, {many}), lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])))"
+
+
+def _points(text: str) -> str:
+    return f"list_transform(regexp_extract_all({text}, '(?s).'), lambda x: unicode(x)::BIGINT)"
+
+
+def _curve(columns: list[str], bits: int) -> str:
+    """Steps from table ``cells`` (doc and cells c0, c1, ...) to the place on the Hilbert curve, one bit and dimension after the other."""
+    steps, at, last = [], "cells", len(columns) - 1
+    names = [f"c{i}" for i in range(len(columns))]
+    for bit in range(bits - 1, 0, -1):
+        q, p = 1 << bit, (1 << bit) - 1
+        for i in range(len(columns)):
+            swap = f"xor(c0, c{i}) & {p}"
+            new = {0: f"CASE WHEN c{i} & {q} > 0 THEN xor(c0, {p}) ELSE xor(c0, {swap}) END"}
+            if i:
+                new[i] = f"CASE WHEN c{i} & {q} > 0 THEN c{i} ELSE xor(c{i}, {swap}) END"
+            picked = ", ".join(f"{new[k]} AS {n}" if k in new else n for k, n in enumerate(names))
+            steps.append(f"s{bit}_{i} AS (SELECT mr, {picked} FROM {at})")
+            at = f"s{bit}_{i}"
+    for i in range(1, len(columns)):
+        steps.append(f"g{i} AS (SELECT mr, {', '.join(f'xor(c{i}, c{i - 1}) AS c{i}' if k == i else n for k, n in enumerate(names))} FROM {at})")
+        at = f"g{i}"
+    flip = "0"
+    for bit in range(1, bits):
+        flip = f"xor({flip}, CASE WHEN c{last} & {1 << bit} > 0 THEN {(1 << bit) - 1} ELSE 0 END)"
+    steps.append(f"f AS (SELECT mr, {', '.join(names)}, {flip} AS flip FROM {at})")
+    places = [(bit, n) for bit in range(bits - 1, -1, -1) for n in names]
+    sum_ = " + ".join(f"(((xor({n}, flip) >> {bit}) & 1) << {len(places) - 1 - k})" for k, (bit, n) in enumerate(places))
+    steps.append(f"curve AS (SELECT mr, ({sum_})::BIGINT AS curve FROM f)")
+    return ", ".join(steps)
+
+
 SQL = {
     "op1_exact_dedup": f"""
         WITH n AS (SELECT doc_id, {_low("coalesce(text, '')")} AS body FROM documents)
@@ -96,4 +141,66 @@ SQL = {
         SELECT w.doc_id, len(any_value(ws))::BIGINT AS n_words, count(*) FILTER (gone) AS n_removed,
                sha256(coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
         FROM w LEFT JOIN m USING (doc_id) GROUP BY w.doc_id""",
+    "op11_sharding": f"""
+        WITH crc AS ({_CRC_TABLE}),
+        d AS (
+            SELECT row_number() OVER () AS mr, doc_id, source, lang, n_chars, coalesce(strlen(text), 0) + 8 AS size,
+                   {_crc32(_points("coalesce(text, '')"))} AS text_crc32
+            FROM documents, crc),
+        cells AS (
+            SELECT mr, (64 * (rank() OVER (ORDER BY left(source, 64) NULLS FIRST) - 1)) // count(*) OVER () AS c0,
+                   (64 * (rank() OVER (ORDER BY left(lang, 64) NULLS FIRST) - 1)) // count(*) OVER () AS c1,
+                   (64 * (rank() OVER (ORDER BY n_chars NULLS FIRST) - 1)) // count(*) OVER () AS c2
+            FROM d),
+        {_curve(["source", "lang", "n_chars"], 6)},
+        r AS (
+            SELECT d.*, curve, row_number() OVER (ORDER BY curve, size NULLS FIRST, text_crc32 NULLS FIRST, doc_id NULLS FIRST) - 1 AS place,
+                   count(*) OVER () AS n
+            FROM d JOIN curve USING (mr))
+        SELECT doc_id, size, text_crc32, 'rows' AS law, ((24 * place) // n)::INTEGER AS shard,
+               place - ((24 * place) // n * n + 23) // 24 AS slot, NULL::INTEGER AS grown_shard, curve
+        FROM r""",
+    "op12_spelling": f"""
+        WITH RECURSIVE crc AS ({_CRC_TABLE}),
+        t AS (
+            SELECT doc_id, unnest(regexp_extract_all({_low("text")}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+        u AS (SELECT doc_id, run, count(*) AS n FROM t GROUP BY ALL),
+        h AS (SELECT *, {_crc32(_points("coalesce(doc_id::VARCHAR, '') || ':' || run"))} AS h FROM u, crc),
+        c AS (
+            SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+        w AS (
+            SELECT word, sum(n)::BIGINT AS n FROM c WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+        -- a word without its code point i; words of one length that agree in it differ only there
+        v AS (
+            SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM w, unnest(generate_series(1, length(word))) AS g(i)),
+        p AS (
+            SELECT a.word AS x, b.word AS y, b.n AS m FROM v a JOIN v b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM v a JOIN w b ON a.rest = b.word
+            UNION SELECT b.word, a.word, a.n FROM v a JOIN w b ON a.rest = b.word),
+        o AS (SELECT x, count(*) AS n_near, first(y ORDER BY m DESC, y) AS other, max(m) AS m FROM p GROUP BY x),
+        f AS (
+            SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN other END AS form, CASE WHEN m >= 10 * n THEN m END AS form_n
+            FROM w LEFT JOIN o ON x = word),
+        k AS (
+            SELECT word, word AS root, 0 AS step FROM f UNION ALL SELECT k.word, f.form, step + 1 FROM k JOIN f ON f.word = k.root WHERE f.form IS NOT NULL)
+        SELECT f.word, n, n_near, form, form_n, r.root FROM f JOIN (SELECT word, arg_max(root, step) AS root FROM k GROUP BY word) r USING (word)""",
+    "op13_search": rf"""
+        WITH t AS (
+            SELECT doc_id, row_number() OVER () AS mr, regexp_extract_all({_low("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+        d AS (SELECT mr, doc_id, len(ts)::BIGINT AS n, ts FROM t WHERE len(ts) > 0),
+        s AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM d),
+        q AS (
+            SELECT DISTINCT item_id, text, unnest(regexp_extract_all({_low("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        p AS (
+            SELECT mr, term, count(*)::BIGINT AS tf FROM (SELECT mr, unnest(ts) AS term FROM d) SEMI JOIN q USING (term) GROUP BY ALL),
+        w AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, s GROUP BY term, docs),
+        i AS (
+            SELECT p.mr, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))) AS impact
+            FROM p JOIN w USING (term) JOIN d USING (mr), s),
+        r AS (
+            SELECT item_id, q.text, mr, doc_id, sum(impact)::BIGINT AS score FROM q JOIN i USING (term) JOIN d USING (mr)
+            GROUP BY ALL HAVING sum(impact) > 0),
+        o AS (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM r)
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM o WHERE rank <= 10""",
 }
