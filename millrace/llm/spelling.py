@@ -2,15 +2,14 @@
 
 1. Words are counted over all texts, summed in the tasks before they are shuffled.
 2. The gram dictionary is pruned by frequency: a gram of ``shortest`` characters is lengthened, up to
-   ``longest``, only while it stands in more than ``1 / lists`` of all places, so that frequent beginnings are told
-   apart and rare ones stay short. Only the frequent grams have to be known to decompose a word, and there
+   ``longest`` (and a third of the word), only while it stands in more than ``1 / lists`` of all places, so that frequent beginnings are
+   told apart and rare ones stay short. Only the frequent grams have to be known to decompose a word, and there
    are at most ``lists`` of each length.
-3. A word, between marks for its beginning and end, becomes the grams that start at each of its places. An edit
-   spoils only grams that cover its place; the most of them over all places is the word's bound. Two words one
-   edit apart share all their other grams, so when lists are merged only the ``bound + 1`` rarest grams of a word
-   have to be looked up: one of them is unspoilt, and it stands at the same place or one further on, in a word of
-   the same length or one longer.
-4. Each pair that meets in such a list is verified by its edit distance.
+3. An edit spoils only the grams that cover its place. Of grams without a common character that is one at most: the
+   bound of three such grams is one, so a word one edit away holds two of them, at their place or one further on
+   behind the edit. Each word asks for the three grams that together are rarest, and lists are merged by two: the
+   index holds pairs of grams with their places and the word's length, and a word meets what holds two of its three.
+4. Each pair of words that meets so is verified by its edit distance.
 """
 
 from __future__ import annotations
@@ -28,7 +27,6 @@ from pyspark.sql import functions as F
 from millrace.llm import common as C
 from millrace.workspace import settle
 
-RUN = re.compile("[A-Za-zÀ-ÿ]+")
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _NOT_LETTER = re.compile("[^A-Za-zÀ-ÿ]")
 _PIECE = 1 << 20  # characters of a text that are split into words at once
@@ -37,13 +35,13 @@ HEAD, TAIL = "\x02", "\x03"
 _BUCKETS = 1 << 20  # hashed counts by which grams are ordered
 
 
-def runs_of(text: str) -> Iterator[str]:
-    """Maximal runs of letters of a whole text, A to Z lower-cased, in pieces of bounded length."""
-    at = 0
+def runs_of(text: str, least: int = 1) -> Iterator[list[str]]:
+    """Maximal runs of ``least`` letters or more of a whole text, A to Z lower-cased; lists for pieces of bounded length."""
+    run, at = re.compile(f"[A-Za-zÀ-ÿ]{{{least},}}"), 0
     while at < len(text):
         cut = _NOT_LETTER.search(text, at + _PIECE)
         end = cut.start() if cut else len(text)
-        yield from RUN.findall(text[at:end].encode().translate(_LOWER).decode())
+        yield run.findall(text[at:end].encode().translate(_LOWER).decode())
         at = end
 
 
@@ -53,27 +51,23 @@ def count_words(
 ) -> DataFrame:
     """word, n: how often each word of at least ``least_length`` code points stands in all texts, if ``least_count`` times or more.
 
-    ``change(doc_id, run)`` may rewrite a run first; a null identifier is the empty text to it. Null texts have no words.
+    ``change(doc_id, run)`` may rewrite a run first, but not lengthen it; a null identifier is the empty text to it. Null texts have no words.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter[str] = Counter()
-
-        def flush() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], ["word", "n"])
-            total.clear()
-            return batch
-
         for batch in batches:
             for ident, text in zip(batch.column("id"), batch.column("body")):
                 name = ident.as_py() or ""
-                for run, n in Counter(runs_of(text.as_py())).items():
-                    word = change(name, run) if change else run
-                    if len(word) >= least_length:
-                        total[word] += n
-                if len(total) >= _FLUSH:
-                    yield flush()
-        yield flush()
+                for runs in runs_of(text.as_py(), least_length):
+                    for run in runs:
+                        word = change(name, run) if change else run
+                        if len(word) >= least_length:
+                            total[word] += 1
+                    if len(total) >= _FLUSH:
+                        yield _counted("word", total)
+        if total:
+            yield _counted("word", total)
 
     texts = docs.select(F.col(id_column).cast("string").alias("id"), C.whole(F.col(text_column)).alias("body"))
     found = texts.mapInArrow(count, "word string, n long")
@@ -81,34 +75,70 @@ def count_words(
 
 
 class Grams:
-    """Variable-length grams of a word under a pruned dictionary (its frequent grams)."""
-
-    def __init__(self, shortest: int, longest: int, frequent: frozenset[str]):
-        self.shortest, self.longest, self.frequent = shortest, longest, frequent
-
-    def split(self, word: str) -> list[str]:
-        """The gram at each place of the marked word."""
-        marked, low, high, frequent = f"{HEAD}{word}{TAIL}", self.shortest, self.longest, self.frequent
-        out = []
-        for at in range(len(marked) - low + 1):
-            size = low
-            while size < high and marked[at : at + size] in frequent and at + size < len(marked):
-                size += 1
-            out.append(marked[at : at + size])
-        return out
-
-    def bound(self, grams: list[str]) -> int:
-        """The most grams that one edit can spoil: those that cover one place of the word, marks left out."""
-        cover = np.zeros(len(grams) + self.longest + 1, np.int64)
-        for at, g in enumerate(grams):
-            cover[at] += 1
-            cover[at + len(g)] -= 1
-        inside = np.cumsum(cover)[1 : len(grams) + self.shortest - 2]
-        return int(inside.max())
-
-
-def _bucket(gram: str) -> int:
-    return xxhash.xxh32_intdigest(gram) % _BUCKETS
+    """Variable-length grams of a word under a pruned dictionary (its frequent grams), and those by which it is looked up."""
+
+    def __init__(self, shortest: int, longest: int, spread: int, frequent: frozenset[str]):
+        self.shortest, self.longest, self.spread, self.frequent = shortest, longest, spread, frequent
+
+    def third(self, length: int) -> int:
+        return (length + 2) // 3
+
+    def at(self, marked: str, place: int, limit: int) -> str:
+        """The gram that starts at a place: lengthened while it is frequent, up to ``limit`` and ``longest``."""
+        size, limit = self.shortest, min(limit, self.longest, len(marked) - place)
+        while size < limit and marked[place : place + size] in self.frequent:
+            size += 1
+        return marked[place : place + size]
+
+    def windows(self, length: int) -> tuple[range, range]:
+        """Where the second and the third gram of a word of this length may start."""
+        q, last = self.third(length), length + 3 - self.shortest
+        return range(q, min(q + self.spread, last)), range(2 * q, min(2 * q + self.spread, last))
+
+    def asked(self, word: str, rarity: Callable[[int, str], int]) -> tuple[tuple[int, str], ...]:
+        """Three grams (place, gram) that share no character, together the rarest; one edit spoils at most one of them."""
+        marked, q = f"{HEAD}{word}{TAIL}", self.third(len(word))
+        seconds, thirds = ([(p, g, rarity(p, g)) for p in window for g in [self.at(marked, p, q)]] for window in self.windows(len(word)))
+        head = self.at(marked, 0, q)
+        a = rarity(0, head)
+        _, b, c = min((a * (nb + nc) + nb * nc, b, c) for b, g, nb in seconds if b >= len(head) for c, _, nc in thirds if c >= b + len(g))
+        return (0, head), (b, self.at(marked, b, q)), (c, self.at(marked, c, q))
+
+    def lookups(self, word: str, rarity: Callable[[int, str], int]) -> set[int]:
+        """Keys under which words of the same length or one longer are met: two of the three grams are in them, moved on by one behind the edit."""
+        (_, a), (pb, b), (pc, c) = self.asked(word, rarity)
+        n = len(word)
+        found = {_key(n, 0, a, pb, b), _key(n, 0, a, pc, c), _key(n, pb, b, pc, c)}
+        for moved in (0, 1):
+            found |= {_key(n + 1, 0, a, pb + moved, b), _key(n + 1, 0, a, pc + moved, c), _key(n + 1, pb + moved, b, pc + 1, c)}
+        return found | {_key(n + 1, pb, b, pc, c)}
+
+    def posts(self, word: str) -> set[int]:
+        """Keys of all pairs of grams that a word of the same length or one shorter may ask for."""
+        marked, n, found = f"{HEAD}{word}{TAIL}", len(word), set()
+        for length in (n, n - 1):
+            q, longer = self.third(length), n - length
+            if length < 3 * self.shortest - 2:
+                continue
+            head = self.at(marked, 0, q)
+            seconds, thirds = ([(p, self.at(marked, p, q)) for p in range(w.start, w.stop + longer)] for w in self.windows(length))
+            found |= {_key(n, 0, head, p, g) for p, g in (*seconds, *thirds) if p >= len(head)}
+            found |= {_key(n, b, g, c, h) for b, g in seconds for c, h in thirds if c >= b + len(g)}
+        return found
+
+
+def _key(length: int, p: int, g: str, r: int, h: str) -> int:
+    return xxhash.xxh64_intdigest(f"{length}:{p}:{g}:{r}:{h}")
+
+
+def _bucket(place: int, gram: str) -> int:
+    return xxhash.xxh32_intdigest(f"{place}:{gram}") % _BUCKETS
+
+
+def _counted(column: str, total: Counter) -> pa.RecordBatch:
+    batch = pa.RecordBatch.from_arrays([pa.array(total.keys()), pa.array(total.values(), pa.int64())], [column, "n"])
+    total.clear()
+    return batch
 
 
 def frequent_grams(words: DataFrame, shortest: int, longest: int, lists: int, least: int) -> frozenset[str]:
@@ -122,9 +152,9 @@ def frequent_grams(words: DataFrame, shortest: int, longest: int, lists: int, le
                 for size in range(shortest, longest):
                     total.update(marked[at : at + size] for at in range(len(marked) - size + 1))
                 if len(total) >= _FLUSH:
-                    yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], ["gram", "n"])
-                    total.clear()
-        yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], ["gram", "n"])
+                    yield _counted("gram", total)
+        if total:
+            yield _counted("gram", total)
 
     places = words.agg(F.sum(F.length("word") + 3 - shortest)).first()[0] or 0
     line = max(least, places // lists)
@@ -133,60 +163,56 @@ def frequent_grams(words: DataFrame, shortest: int, longest: int, lists: int, le
 
 
 def _rarity(words: DataFrame, grams: Grams) -> np.ndarray:
-    """Hashed counts of the grams that the dictionary gives: any order would be right, this one keeps lists short."""
+    """Hashed counts of grams by their place: any choice among the grams would be right, this one keeps lists short."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(_BUCKETS, np.int64)
         for batch in batches:
             for word in batch.column("word").to_pylist():
-                for g in grams.split(word):
-                    total[_bucket(g)] += 1
+                marked, q = f"{HEAD}{word}{TAIL}", grams.third(len(word))
+                for place in (0, *(p for w in grams.windows(len(word)) for p in w)):
+                    total[_bucket(place, grams.at(marked, place, q))] += 1
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], ["bucket", "n"])
 
     found = words.select("word").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(_BUCKETS, np.int32)
+    out = np.ones(_BUCKETS, np.int32)
     out[found.column("bucket").to_numpy()] = np.minimum(found.column("n").to_numpy(), np.iinfo(np.int32).max)
     return out
 
 
-def near_words(words: DataFrame, shortest: int = 3, longest: int = 6, lists: int = 100_000, least: int = 16) -> DataFrame:
+def near_words(words: DataFrame, shortest: int = 3, longest: int = 8, lists: int = 20_000, least: int = 16, spread: int = 2) -> DataFrame:
     """x, nx, y, ny: pairs of the given words (word, n; distinct) that are one inserted, deleted or replaced code point apart, once each.
 
-    Of words of one length x is the smaller, else the shorter. A word needs more code points than ``longest``: then its places
-    outnumber those that one edit can spoil, and no pair is missed. Shorter words are refused (ValueError).
+    Of words of one length x is the smaller, else the shorter. A word needs ``3 * shortest - 2`` code points, so that three
+    grams find room in it; shorter words are refused (ValueError).
     """
-    if not words.filter(F.char_length("word") <= longest).isEmpty():
-        raise ValueError(f"words of {longest} code points or fewer need a smaller `longest`")
-    grams = Grams(shortest, longest, frequent_grams(words, shortest, longest, lists, least))
+    room = 3 * shortest - 2
+    if not words.filter(F.char_length("word") < room).isEmpty():
+        raise ValueError(f"words of fewer than {room} code points need a smaller `shortest`")
+    grams = Grams(shortest, longest, spread, frequent_grams(words, shortest, longest, lists, least))
     counts = words.sparkSession.sparkContext.broadcast(_rarity(words, grams))  # 4 MB
 
-    def posts(probe: bool) -> Callable:
+    def keyed(asks: bool) -> Callable:
         def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            rarity = counts.value
+            seen = counts.value
+            rarity = lambda place, gram: int(seen[_bucket(place, gram)])
             for batch in batches:
-                keys, rows = [], []
-                for row, word in enumerate(batch.column("word").to_pylist()):
-                    found = grams.split(word)
-                    places: dict[str, list[int]] = {}
-                    for at, g in enumerate(found):
-                        places.setdefault(g, []).append(at)
-                    rare = sorted(places, key=lambda g: (rarity[_bucket(g)], g))[: grams.bound(found) + 1]
-                    size = len(word)
-                    for g in rare:
-                        for at in places[g]:
-                            meets = ((size, at), (size + 1, at), (size + 1, at + 1)) if probe else ((size, at),)
-                            keys += [xxhash.xxh64_intdigest(f"{n}:{p}:{g}") for n, p in meets]
-                            rows += [row] * len(meets)
-                picked = batch.take(pa.array(rows, pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.uint64).view(np.int64)), picked.column("word"), picked.column("n")], ["key", "word", "n"])
+                keys: list[int] = []
+                sizes = []
+                for word in batch.column("word").to_pylist():
+                    found = grams.lookups(word, rarity) if asks else grams.posts(word)
+                    keys += found
+                    sizes.append(len(found))
+                rows = batch.take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.uint64).view(np.int64)), rows.column("word"), rows.column("n")], ["key", "word", "n"])
 
         return compute
 
     schema = "key long, word string, n long"
     narrow = words.select("word", "n")
-    x = narrow.mapInArrow(posts(True), schema).select("key", F.col("word").alias("x"), F.col("n").alias("nx"))
-    y = narrow.mapInArrow(posts(False), schema).select("key", F.col("word").alias("y"), F.col("n").alias("ny"))
+    x = narrow.mapInArrow(keyed(True), schema).select("key", F.col("word").alias("x"), F.col("n").alias("nx"))
+    y = narrow.mapInArrow(keyed(False), schema).select("key", F.col("word").alias("y"), F.col("n").alias("ny"))
     once = (F.length("x") < F.length("y")) | (F.col("x") < F.col("y"))
     met = x.join(y, "key").filter(once & (F.levenshtein("x", "y", 1) == 1))
     return met.groupBy("x", "y").agg(F.first("nx").alias("nx"), F.first("ny").alias("ny"))
