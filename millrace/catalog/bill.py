@@ -72,15 +72,17 @@ NORM_SQL = f"""norm AS (SELECT line_id, year, month, usage_time, billing_entity,
 
 
 def retag_sql(name: str, source: str, key: str, keep_nulls=(), bypass: bool = True, originals: bool = False) -> str:
-    filled = ", ".join(
-        f"first_value({c}) OVER w AS {c}" if c in keep_nulls
-        else f"CASE WHEN usage_time <= max(CASE WHEN {c} IS NOT NULL THEN usage_time END) OVER k THEN first_value({c} IGNORE NULLS) OVER w END AS {c}"
-        for c in B.TAGS
+    """The newest value of each tag and its time per key, joined back; rows newer than it see nothing."""
+    keyed = f"coalesce({key} <> '', false)" if bypass else "true"
+    newest = ", ".join(
+        f"{'arg_max_null' if c in keep_nulls else 'arg_max'}({c}, row(usage_time, line_id)) AS v_{c}, max(usage_time) FILTER ({c} IS NOT NULL) AS t_{c}" for c in B.TAGS
     )
+    filled = ", ".join(f"v_{c} AS {c}" if c in keep_nulls else f"CASE WHEN usage_time <= t_{c} THEN v_{c} END AS {c}" for c in B.TAGS)
     extra = ", tag_group2 AS original_group2, tag_project AS original_project" if originals else ""
-    keyed = f"coalesce({key} <> '', false)" if bypass else "true"
-    text = f"""{name} AS (SELECT * REPLACE ({filled}){extra} FROM {source} WHERE {keyed}
-      WINDOW k AS (PARTITION BY {key}), w AS (PARTITION BY {key} ORDER BY usage_time DESC, line_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""
+    helpers = ", ".join(["n_key", *[f"{h}_{c}" for c in B.TAGS for h in "vt"]])
+    rows = f"(SELECT *{extra} FROM {source})"
+    text = f"""{name} AS (SELECT * EXCLUDE ({helpers}) REPLACE ({filled}) FROM {rows} s
+      JOIN (SELECT {key} AS n_key, {newest} FROM {source} WHERE {keyed} GROUP BY 1) n ON s.{key} IS NOT DISTINCT FROM n_key WHERE {keyed}"""
     if bypass:
         text += f" UNION ALL SELECT *{extra} FROM {source} WHERE NOT {keyed}"
     return text + ")"

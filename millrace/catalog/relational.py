@@ -178,15 +178,19 @@ def blank_safe(t):
 # --------------------------------------------------------------- sort and limit
 
 
-@query("ord_01", "SELECT c_mktsegment, c_acctbal, c_custkey FROM customer ORDER BY c_mktsegment DESC, c_acctbal, c_custkey LIMIT 500")
+@query("ord_01", "SELECT c_mktsegment, c_acctbal, c_custkey FROM customer")
 def sorted_rows(t):
-    return t.customer.select("c_mktsegment", "c_acctbal", "c_custkey").sort(F.col("c_mktsegment").desc(), "c_acctbal", "c_custkey").limit(500)
+    return t.customer.select("c_mktsegment", "c_acctbal", "c_custkey").sort(F.col("c_mktsegment").desc(), "c_acctbal", "c_custkey")
 
 
-@query("ord_02", EVENTS + "SELECT event_id, revenue FROM shop_events WHERE device = 'macOS' ORDER BY revenue DESC NULLS LAST, event_id LIMIT 100")
+@query("ord_02", EVENTS + "SELECT event_id, revenue, row_number() OVER (ORDER BY revenue DESC NULLS LAST, event_id) > count(revenue) OVER () AS at_end FROM shop_events")
 def nulls_last(t):
-    events = shop_events(t).filter("device = 'macOS'").select("event_id", F.col("ecommerce.purchase_revenue_in_usd").alias("revenue"))
-    return events.orderBy(F.col("revenue").desc_nulls_last(), "event_id").limit(100)
+    """A whole sort; a row after the last known revenue is one without."""
+    events = shop_events(t).select("event_id", F.col("ecommerce.purchase_revenue_in_usd").alias("revenue"))
+    # the order is seen in the written parts: none begins before an earlier one's revenues are at an end
+    sorted_ = workspace.settle(events.orderBy(F.col("revenue").desc_nulls_last(), "event_id").withColumn("place", F.monotonically_increasing_id()), "sorted")
+    end = sorted_.filter("revenue is null").agg(F.min("place").alias("place")).first()["place"]
+    return sorted_.select("event_id", "revenue", F.coalesce(F.col("place") >= F.lit(end).cast("bigint"), F.lit(False)).alias("at_end"))
 
 
 @query("ord_03", "SELECT 100::BIGINT AS kept")

@@ -9,7 +9,6 @@ from millrace.catalog.registry import Tables, query
 from millrace.plans import shop
 
 EVENT_NAMES = ["click", "error", "purchase", "signup", "view"]
-ITEM_IDS = [f"P_{n}_{'K' if n % 3 == 0 else 'S'}" for n in range(12)]
 SALES_SQL = """sales AS (SELECT o_orderkey AS order_id, lower(c_name) || '@mail' || (c_nationkey % 5) || '.com' AS email, o_custkey::VARCHAR AS user_id, o_totalprice AS revenue
   FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '1-URGENT' AND o_custkey % 3 = 0)"""
 
@@ -73,15 +72,15 @@ def clean_users(t):
     return shop.clean_users(dirty)
 
 
-_items = ", ".join(f'sum(CASE WHEN item_id = \'{i}\' THEN quantity END)::BIGINT AS "{i}"' for i in ITEM_IDS)
+_items = ", ".join(f'sum(CASE WHEN item_id = \'{i}\' THEN quantity END)::BIGINT AS "{i}"' for i in S.ITEM_IDS)
 
 
 @query("shp_05", S.with_sql(S.SHOP_ITEMS_SQL, S.ITEM_LOOKUP_SQL) + f"""SELECT event_id, user_id, {_items} FROM shop_items WHERE event_name = 'purchase' AND item_id IN (SELECT item_id FROM item_lookup) GROUP BY 1, 2""")
 def item_purchases(t):
-    return shop.item_purchases(S.shop_events(t), S.item_lookup(t), ITEM_IDS)
+    return shop.item_purchases(S.shop_events(t), S.item_lookup(t), S.ITEM_IDS)
 
 
-@query("shp_06", S.with_sql(S.SHOP_EVENTS_SQL) + "SELECT event_id, device, traffic_source, revenue FROM shop_events WHERE revenue IS NOT NULL ORDER BY revenue DESC, event_id LIMIT 200")
+@query("shp_06", S.with_sql(S.SHOP_EVENTS_SQL) + "SELECT event_id, device, traffic_source, revenue FROM shop_events WHERE revenue IS NOT NULL")
 def purchase_revenues(t):
     events = shop.purchase_revenues(S.shop_events(t))
-    return events.select("event_id", "device", "traffic_source", "revenue").orderBy(F.col("revenue").desc_nulls_last(), "event_id").limit(200)
+    return events.select("event_id", "device", "traffic_source", "revenue").orderBy(F.col("revenue").desc_nulls_last(), "event_id")

@@ -28,11 +28,24 @@ def sql_pick(index: str, values: list[str]) -> str:
     return f"list_extract([{listed}], CAST({index} AS INTEGER) + 1)"
 
 
+#: Sizes of the twelve shop items, every third one large; all item names are made here.
+LARGE, SMALL = "-xl", "-xs"
+ITEM_IDS = [f"P_{n}{LARGE if n % 3 == 0 else SMALL}" for n in range(12)]
+
+
+def item_name(n: Column) -> Column:
+    return F.concat(F.lit("P_"), n.cast("string"), F.when(n % 3 == 0, LARGE).otherwise(SMALL))
+
+
+def item_name_sql(n: str) -> str:
+    return f"'P_' || {n} || CASE WHEN {n} % 3 = 0 THEN '{LARGE}' ELSE '{SMALL}' END"
+
+
 def shop_events(t: Tables) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("bigint")
     bought = F.col("event_type") == "purchase"
     item = lambda i: F.struct(
-        F.concat(F.lit("P_"), ((k + i) % 12).cast("string"), F.when((k + i) % 3 == 0, "-xl").otherwise("-xs")).alias("item_id"),
+        item_name((k + i) % 12).alias("item_id"),
         (((k + i) % 12) * 10.5 + 5).alias("price_in_usd"),
         i.alias("quantity"),
         F.when((k + i) % 4 == 0, "SAVE10").alias("coupon"),
@@ -72,9 +85,9 @@ SHOP_EVENTS_SQL = f"""shop_events AS (
          CASE WHEN event_type = 'purchase' THEN CAST(json_extract_string(props, '$.k') AS BIGINT) % 5 + 1 END AS item_quantity
   FROM events)"""
 
-SHOP_ITEMS_SQL = SHOP_EVENTS_SQL + """, shop_items AS (
+SHOP_ITEMS_SQL = SHOP_EVENTS_SQL + f""", shop_items AS (
   SELECT e.event_id, e.user_id, e.event_name, e.state, e.city, e.event_timestamp, n.i::BIGINT AS quantity,
-         'P_' || ((k + n.i) % 12) || CASE WHEN (k + n.i) % 3 = 0 THEN '-xl' ELSE '-xs' END AS item_id,
+         {item_name_sql("((k + n.i) % 12)")} AS item_id,
          ((k + n.i) % 12) * 10.5::DOUBLE + 5 AS price_in_usd,
          CASE WHEN (k + n.i) % 4 = 0 THEN 'SAVE10' END AS coupon
   FROM shop_events e JOIN (SELECT 1 AS i UNION ALL SELECT 2 UNION ALL SELECT 3) n
@@ -105,20 +118,17 @@ SHOP_USERS_SQL = """shop_users AS (
 
 def item_lookup(t: Tables) -> DataFrame:
     """Twelve shop items named after parts, one per residue of the part key."""
-    part = t.part.groupBy((F.col("p_partkey") % 12).alias("r")).agg(F.min("p_name").alias("name"))
-    return part.select(
-        F.concat(F.lit("P_"), F.col("r").cast("string"), F.when(F.col("r") % 3 == 0, "-xl").otherwise("-xs")).alias("item_id"),
-        "name",
-    )
+    part = t.part.groupBy((F.col("p_partkey") % 12).alias("r")).agg(F.min_by("p_name", "p_partkey").alias("name"))
+    return part.select(item_name(F.col("r")).alias("item_id"), F.concat_ws(" ", "name", "r").alias("name"))
 
 
-ITEM_LOOKUP_SQL = """item_lookup AS (
-  SELECT 'P_' || r || CASE WHEN r % 3 = 0 THEN '-xl' ELSE '-xs' END AS item_id, name
-  FROM (SELECT p_partkey % 12 AS r, min(p_name) AS name FROM part GROUP BY 1))"""
+ITEM_LOOKUP_SQL = f"""item_lookup AS (
+  SELECT {item_name_sql("r")} AS item_id, name || ' ' || r AS name
+  FROM (SELECT p_partkey % 12 AS r, arg_min(p_name, p_partkey) AS name FROM part GROUP BY 1))"""
 
 # ------------------------------------------------------------ compute usage
 
-USAGE_GROUPS = ["alpha reef", "beta kiln", "gamma", "delta bloom", "prism x", "harbor", "omega core", "zeta"]
+USAGE_GROUPS = ["alpha reef", "beta kiln", "gamma", "delta bloom", "prism x", "harbor", "omega core", "zeta", "core-group"]
 
 
 def usage(t: Tables) -> DataFrame:
@@ -134,7 +144,7 @@ def usage(t: Tables) -> DataFrame:
         F.col("l_quantity").alias("quantity"),
         pick(line % 4, ["JOBS", "SQL", "MODEL_SERVING", "VECTOR_SEARCH"]).alias("product"),
         F.create_map(
-            F.lit("group"), F.when(tagged, pick(supp % 8, USAGE_GROUPS)),
+            F.lit("group"), F.when(tagged, pick(supp % 9, USAGE_GROUPS)),
             F.lit("agency"), F.concat(F.lit("ag "), as_id(supp % 5)),
             F.lit("division"), F.concat(F.lit("div "), as_id(supp % 3)),
             F.lit("project"), F.concat(F.lit(" pr"), as_id(key % 6), F.lit(" ")),
@@ -164,7 +174,7 @@ USAGE_SQL = f"""usage AS (
   FROM (SELECT 'ws' || (l_suppkey % 10) AS workspace_id, CAST(l_partkey AS VARCHAR) AS sku,
          CAST(l_shipdate AS DATE) AS usage_date, l_shipdate AS usage_time, l_quantity AS quantity,
          {sql_pick('l_linenumber % 4', ['JOBS', 'SQL', 'MODEL_SERVING', 'VECTOR_SEARCH'])} AS product,
-         CASE WHEN l_returnflag <> 'N' THEN {sql_pick('l_suppkey % 8', USAGE_GROUPS)} END AS tag_group,
+         CASE WHEN l_returnflag <> 'N' THEN {sql_pick('l_suppkey % 9', USAGE_GROUPS)} END AS tag_group,
          'ag ' || (l_suppkey % 5) AS tag_agency, 'div ' || (l_suppkey % 3) AS tag_division,
          ' pr' || (l_partkey % 6) || ' ' AS tag_project, 'cl' || (l_partkey % 9) AS tag_client,
          CASE WHEN l_linenumber = 2 AND l_partkey % 3 = 0 THEN 'm' || (l_partkey % 50) END AS model,
@@ -264,7 +274,7 @@ def bill_lines(t: Tables) -> DataFrame:
         F.when(key % 8 == 5, "GB-Mo").otherwise("Hrs").alias("pricing_unit"),
         F.when(line == 1, F.concat(F.lit("HeavyUsage:"), pick(key % 3, ["m4", "m5", "t2"]), F.lit(".large")))
         .otherwise(F.concat(F.lit("BoxUsage:"), pick(key % 3, ["m4", "m5", "t2"]), F.lit(".large"))).alias("usage_type"),
-        (F.col("l_quantity") / F.when(order % 5 == 0, 50).otherwise(1)).alias("usage_amount"),
+        (F.col("l_quantity") / F.when(order % 5 == 0, 50).otherwise(1) * F.when(order % 11 == 0, 24).otherwise(1)).alias("usage_amount"),
         F.when(F.col("l_discount") == 0, 0.0).otherwise(F.col("l_extendedprice")).alias("net_cost"),
         F.when(F.col("l_tax") < 0.02, 0.0).otherwise(F.col("l_extendedprice") + F.col("l_quantity")).alias("ondemand_cost"),
         ((key % 100) / 8).alias("ondemand_rate"),
@@ -309,7 +319,7 @@ BILL_SOURCE_SQL = f"""bill_source AS (
     CASE WHEN l_orderkey % 13 = 0 THEN 'Spot' WHEN l_linenumber = 1 THEN 'Reserved' ELSE 'OnDemand' END AS pricing_term,
     CASE WHEN l_partkey % 8 = 5 THEN 'GB-Mo' ELSE 'Hrs' END AS pricing_unit,
     CASE WHEN l_linenumber = 1 THEN 'HeavyUsage:' ELSE 'BoxUsage:' END || {sql_pick('l_partkey % 3', ['m4', 'm5', 't2'])} || '.large' AS usage_type,
-    l_quantity / CASE WHEN l_orderkey % 5 = 0 THEN 50 ELSE 1 END AS usage_amount,
+    l_quantity / CASE WHEN l_orderkey % 5 = 0 THEN 50 ELSE 1 END * CASE WHEN l_orderkey % 11 = 0 THEN 24 ELSE 1 END AS usage_amount,
     CASE WHEN l_discount = 0 THEN 0.0::DOUBLE ELSE l_extendedprice END AS net_cost,
     CASE WHEN l_tax < 0.02 THEN 0.0::DOUBLE ELSE l_extendedprice + l_quantity END AS ondemand_cost,
     (l_partkey % 100) / 8.0::DOUBLE AS ondemand_rate,

@@ -10,6 +10,7 @@ from millrace import workspace
 from millrace.catalog import standins as S
 from millrace.catalog.registry import Tables, query
 from millrace.operators import changes
+from millrace.plans import monthly
 from millrace.plans import usage as U
 from millrace.sources import files
 
@@ -32,13 +33,15 @@ RULES = [
 ]
 ROLLED = ["%KILN%", "%BLOOM%", "%ZETA%"]
 ROOT = "CORE-GROUP"
+# budgets above and below a month's cost, and limits far off, so that every alert occurs; a limit of zero
 CONTRACTS = [
     # id, parent, key, value, from, to, committed, annual, month, limit, active
     ("k0", "k0", "group", "CORE", "1995-01-01", "2002-12-31", 90000.0, 36000.0, 3000.0, None, 1),
-    ("k1", "k0", "group", "PX", "1996-01-01", "2000-12-31", 50000.0, 12000.0, 1000.0, 60000.0, 1),
+    ("k1", "k0", "group", "PX", "1996-01-01", "2000-12-31", 50000.0, 12000000.0, 1000000.0, 60000.0, 1),
     ("k2", "k0", "group", "REEF", "1997-02-15", "2000-06-30", 20000.0, 6000.0, 500.0, None, 0),
-    ("k3", "k0", "group", "HARBOR", "1998-01-01", "2001-03-31", 30000.0, 9000.0, 750.0, None, 1),
-    ("k4", "k0", "group", "CORE", "1999-01-01", "2001-12-31", 10000.0, 2400.0, 200.0, 15000.0, 0),
+    ("k3", "k0", "group", "HARBOR", "1998-01-01", "2001-03-31", 30000.0, 9000.0, 750.0, 1000000000.0, 1),
+    ("k4", "k0", "group", "CORE", "1999-01-01", "2000-06-30", 10000.0, 2400.0, 200.0, 15000.0, 0),
+    ("k5", "k0", "group", "CORE", "2000-07-01", "2001-12-31", 8000.0, 1200.0, 100.0, 0.0, 0),
 ]
 CONTRACT_DDL = (
     "contract_id string, parent_id string, tag_key string, tag_value string, date_from string, date_to string, "
@@ -303,6 +306,39 @@ def price_coverage(t):
     return U.price_coverage(stored_fact(t))
 
 
+RUNS = (dt.date(2000, 6, 1), dt.date(2000, 7, 1))
+
+
+def _known_at(end: str, tags: str, fact: str, months: str) -> tuple[str, str]:
+    """Tags from the records before a day, and the fact of some months with these tags."""
+    known = TAGS_SQL.replace("tags AS", f"{tags} AS", 1).replace("IS NOT NULL) WHERE", f"IS NOT NULL AND usage_date < DATE '{end}') WHERE")
+    cut = FACT_CTES[4].replace("fact AS", f"{fact} AS", 1).replace("LEFT JOIN tags g", f"LEFT JOIN {tags} g").replace(
+        "ON u.entity_id = g.entity_id)", f"ON u.entity_id = g.entity_id WHERE {months})")
+    return known, cut
+
+
+RUN_SQL = S.with_sql(
+    *FACT_CTES[:3], *_known_at("2000-07-01", "june_tags", "june_fact", "u.usage_date < DATE '2000-06-01'"),
+    *_known_at("2000-08-01", "july_tags", "july_fact", "u.usage_date >= DATE '2000-06-01' AND u.usage_date < DATE '2000-08-01'"),
+    "fact AS (SELECT * FROM june_fact UNION ALL SELECT * FROM july_fact)", CONTRACTS_SQL, terms_sql(False), CUMULATIVE_SQL,
+)
+
+
+@query("dbu_run", RUN_SQL + f"""SELECT year, month, main_group, round(usage_cost, 4) AS usage_cost, {TERM_COLUMNS}, round(cumulative_usage_cost, 4) AS cumulative_usage_cost,
+  round(balance, 4) AS balance FROM cumulated""")
+def monthly_runs(t):
+    """The job for June, broken off once, again, and twice for July: the running cost that is published in the end."""
+    store = monthly.Published(t.spark, t.out("cost"))
+    inputs = monthly.Inputs(S.usage(t), S.contract_prices(t), S.list_prices(t), contracts(t), REMAP, RULES, ROLLED, ROOT)
+    try:
+        monthly.run_month(store, inputs, RUNS[0], fail_before_switch=True)
+    except RuntimeError:
+        pass
+    for as_of in (*RUNS, RUNS[1]):
+        monthly.run_month(store, inputs, as_of)
+    return rounded(store.table("cumulative").drop("year_month"), "usage_cost", "cumulative_usage_cost", "balance")
+
+
 OVERRIDES = [
     U.Override("HAND-GROUP", "HAND", entities=("job/3", "cluster/17", "warehouse/9"), workspace="ws7", only_if_null=True),
     U.Override("POOL-GROUP", patterns=("pool/1%", "flow/%2")),

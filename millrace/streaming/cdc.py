@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.newest import latest_per_key
 from millrace.streaming.folding import FOLD, read_all, store_newest
@@ -31,13 +32,14 @@ def visible(state: DataFrame, keys: Sequence[str], sequence: Sequence[str], dele
     return newest.filter(~F.coalesce(delete_when, F.lit(False))).drop(*drop)
 
 
-def apply_changes(changes: DataFrame, keys: Sequence[str], sequence: Sequence[str], state: str, checkpoint: str, fold: int = FOLD) -> None:
-    """Run the change stream into the state folder until the input is used up."""
+def apply_changes(changes: DataFrame, keys: Sequence[str], sequence: Sequence[str], state: str, checkpoint: str, fold: int = FOLD) -> StreamingQuery:
+    """Run the change stream into the state folder until the input is used up; the ended query has its progress."""
     query = (
         changes.writeStream.foreachBatch(lambda batch, number: store_newest(batch, number, state, keys, sequence, fold))
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    return query
 
 
 def read_state(spark: SparkSession, state: str) -> DataFrame:

@@ -9,13 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.newest import latest_per_key
-from millrace.operators.quality import expect, expectation_metrics
 from millrace.streaming.folding import FOLD, read_all, store_newest
 
 
@@ -47,30 +46,14 @@ def with_rescued(lines: DataFrame, schema: str, known: Sequence[str], column: st
     return parsed.select("_row.*", rescued.alias("_rescued_data"))
 
 
-def append(df: DataFrame, out: str, checkpoint: str) -> None:
-    """Run a stateless stream into Parquet until the input is used up."""
+def append(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Run a stream into Parquet until the input is used up; the ended query has its progress."""
     query = (
         df.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
         .outputMode("append").trigger(availableNow=True).start()
     )
     query.awaitTermination()
-
-
-def append_with_metrics(df: DataFrame, dataset: str, rules: Mapping[str, Column], out: str, metrics: str, checkpoint: str) -> None:
-    """Rows with a pass flag per rule into ``out``, and per micro-batch (``update``) the counts of each rule into ``metrics``.
-
-    The counts are taken from the rows as written, so the input is read once; a repeated micro-batch
-    overwrites its own rows and counts.
-    """
-    def store(batch: DataFrame, number: int) -> None:
-        written = f"{out}/update={number}"
-        expect(batch, rules).write.mode("overwrite").parquet(written)
-        flags = batch.sparkSession.read.parquet(written)
-        counts = expectation_metrics(flags, dataset, {name: F.col(name) for name in rules})
-        counts.write.mode("overwrite").parquet(f"{metrics}/update={number}")
-
-    query = df.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+    return query
 
 
 def aggregate_updates(df: DataFrame, keys: Sequence[str], out: str, checkpoint: str, fold: int = FOLD) -> StreamingQuery:

@@ -1,16 +1,19 @@
 """A whole refresh: landed files to bronze, silver, gold, in a fixed order.
 
 Bronze and silver are incremental: a second run reads only new files.  Gold is
-computed again from silver each time.
+computed again from silver each time. What the rules of each silver table let pass is counted in the streams and
+kept as events of the update.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.quality import expect, expect_or_drop, expect_or_fail
-from millrace.streaming import cdc, ingest
+from millrace.streaming import cdc, ingest, metrics
 
 ORDER_SHAPE = "order_id BIGINT, customer_id BIGINT, notifications STRING, order_timestamp BIGINT"
 STATUS_SHAPE = "order_id BIGINT, status STRING, status_timestamp BIGINT"
@@ -28,19 +31,27 @@ def _read_stream(spark: SparkSession, table: str) -> DataFrame:
     return spark.readStream.schema(spark.read.parquet(f"{table}/data").schema).parquet(f"{table}/data")
 
 
-def silver_orders(spark: SparkSession, bronze_table: str, out: str) -> None:
+def order_rules() -> dict[str, Column]:
+    return {"valid_date": F.timestamp_seconds("order_timestamp") > F.lit("1990-01-01").cast("timestamp")}
+
+
+def status_rules() -> dict[str, Column]:
+    return {"valid_timestamp": F.timestamp_seconds("status_timestamp") > F.lit("1990-01-01").cast("timestamp")}
+
+
+def silver_orders(spark: SparkSession, bronze_table: str, out: str, log: str, update: str) -> None:
     """An order without a usable time stops the refresh."""
-    rows = _read_stream(spark, bronze_table)
-    good = expect_or_fail(rows, {"valid_date": F.timestamp_seconds("order_timestamp") > F.lit("1990-01-01").cast("timestamp")})
+    rows = metrics.observed(_read_stream(spark, bronze_table), "orders", order_rules())
+    good = expect_or_fail(rows, order_rules())
     typed = good.withColumn("order_timestamp", F.timestamp_seconds("order_timestamp")).drop("source_file")
-    ingest.append(typed, f"{out}/data", f"{out}/checkpoint")
+    metrics.record(ingest.append(typed, f"{out}/data", f"{out}/checkpoint"), "orders", log, update)
 
 
-def silver_status(spark: SparkSession, bronze_table: str, out: str) -> None:
-    rows = _read_stream(spark, bronze_table)
-    good = expect_or_drop(rows, {"valid_timestamp": F.timestamp_seconds("status_timestamp") > F.lit("1990-01-01").cast("timestamp")})
+def silver_status(spark: SparkSession, bronze_table: str, out: str, log: str, update: str) -> None:
+    rows = metrics.observed(_read_stream(spark, bronze_table), "status", status_rules())
+    good = expect_or_drop(rows, status_rules())
     typed = good.withColumn("status_timestamp", F.timestamp_seconds("status_timestamp")).drop("source_file")
-    ingest.append(typed, f"{out}/data", f"{out}/checkpoint")
+    metrics.record(ingest.append(typed, f"{out}/data", f"{out}/checkpoint"), "status", log, update)
 
 
 def customer_rules() -> dict[str, dict]:
@@ -65,9 +76,18 @@ def clean_changes(changes: DataFrame) -> DataFrame:
     return expect(kept, rules["warn"])
 
 
-def silver_customers(spark: SparkSession, bronze_table: str, out: str) -> None:
-    changes = clean_changes(_read_stream(spark, bronze_table)).withColumn("sequence", F.col("timestamp").cast("bigint"))
-    cdc.apply_changes(changes, ["customer_id"], ["sequence", "operation"], f"{out}/state", f"{out}/checkpoint")
+def silver_customers(spark: SparkSession, bronze_table: str, out: str, log: str, update: str) -> None:
+    every: Mapping[str, Column] = {name: rule for rules in customer_rules().values() for name, rule in rules.items()}
+    rows = metrics.observed(_read_stream(spark, bronze_table), "customers", every)
+    changes = clean_changes(rows).withColumn("sequence", F.col("timestamp").cast("bigint"))
+    query = cdc.apply_changes(changes, ["customer_id"], ["sequence", "operation"], f"{out}/state", f"{out}/checkpoint")
+    metrics.record(query, "customers", log, update)
+
+
+def expectation_counts(spark: SparkSession, out: str, update: str | None = None) -> DataFrame:
+    """Passed and failed records by dataset and rule, of one update or of all so far."""
+    events = spark.read.schema(metrics.EVENT).parquet(f"{out}/events")
+    return metrics.expectation_counts(events if update is None else events.filter(F.col("origin.update_id") == update))
 
 
 def customers(spark: SparkSession, silver: str) -> DataFrame:
@@ -96,13 +116,15 @@ def order_updates(subscribed: DataFrame, status: DataFrame) -> DataFrame:
     return subscribed.join(status.select("order_id", "status", "status_timestamp"), "order_id")
 
 
-def run(spark: SparkSession, landing: str, out: str, loaded_at: str) -> dict[str, DataFrame]:
-    """One refresh of all tables; returns the gold results."""
+def run(spark: SparkSession, landing: str, out: str, loaded_at: str, update: str | None = None) -> dict[str, DataFrame]:
+    """One refresh of all tables; returns the gold results. ``update`` names it in the events (default: ``loaded_at``)."""
+    metrics.remember(spark)
+    log, update = f"{out}/events", update or loaded_at
     for name, shape in (("orders", ORDER_SHAPE), ("status", STATUS_SHAPE), ("customers", CUSTOMER_SHAPE)):
         bronze(spark, f"{landing}/{name}", shape, f"{out}/bronze-{name}", loaded_at)
-    silver_orders(spark, f"{out}/bronze-orders", f"{out}/silver-orders")
-    silver_status(spark, f"{out}/bronze-status", f"{out}/silver-status")
-    silver_customers(spark, f"{out}/bronze-customers", f"{out}/silver-customers")
+    silver_orders(spark, f"{out}/bronze-orders", f"{out}/silver-orders", log, update)
+    silver_status(spark, f"{out}/bronze-status", f"{out}/silver-status", log, update)
+    silver_customers(spark, f"{out}/bronze-customers", f"{out}/silver-customers", log, update)
     orders = spark.read.parquet(f"{out}/silver-orders/data")
     status = spark.read.parquet(f"{out}/silver-status/data")
     people = customers(spark, f"{out}/silver-customers")

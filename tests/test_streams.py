@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from millrace.streaming import cdc, ingest, refresh
+from millrace.streaming import cdc, ingest, joins, metrics, refresh
 from millrace.workspace import fresh_path
 
 SHAPE = refresh.CUSTOMER_SHAPE
@@ -74,6 +74,52 @@ def test_window_state_is_dropped(spark):
     assert sorted(r["n"] for r in ingest.newest_windows(spark, f"{out}/data", ["day"]).collect()) == [1, 5, 9, 13]
 
 
+def test_state_of_a_stream_join_stays_bounded(spark):
+    """Twelve months in twelve deliveries, a range of ten days: state stops growing, all matches inside the range are found and none outside."""
+    left, right, out = (fresh_path(spark, n) for n in ("left", "right", "joined"))
+    span = joins.Range(before="0 days", after="10 days", delay="31 days")
+    held = []
+    for month in range(1, 13):
+        day = lambda d: f"2023-{month:02d}-{d:02d} 00:00:00"  # noqa: B023, E731
+        orders = [(month * 100 + i, day(1 + i)) for i in range(20)]
+        # shipped at once, after ten days, after twenty, in the next month (never in range), and without a time
+        lines = [(key, at) for key, at in orders]
+        lines += [(month * 100 + i, day(11 + i)) for i in range(10)] + [(month * 100 + 1, day(22)), (month * 100 - 100, day(28)), (month * 100 + 2, None)]
+        spark.createDataFrame(lines, "line string, at string").coalesce(1).write.mode("append").json(left)
+        spark.createDataFrame(orders, "key string, ordered string").coalesce(1).write.mode("append").json(right)
+        a = ingest.stream_files(spark, left, "line string, at timestamp")
+        b = ingest.stream_files(spark, right, "key string, ordered timestamp")
+        query = ingest.append(joins.join_in_range(a, b, [("line", "key")], "at", "ordered", span), f"{out}/data", f"{out}/check")
+        held.append(joins.state_rows(query)[-1])
+    assert spark.read.parquet(f"{out}/data").count() == 12 * 30
+    assert max(held[4:]) <= max(held[:4]) and held[-1] < 4 * 53
+
+
+def test_expectations_of_a_refresh_are_observed(spark):
+    """Counts of each dataset, rule and update; a second update counts only what is new, and dropped rows count as failed."""
+    landing, out = fresh_path(spark, "landing"), fresh_path(spark, "refresh")
+
+    def land(orders, status, people):
+        spark.createDataFrame(orders, refresh.ORDER_SHAPE).write.mode("append").json(f"{landing}/orders")
+        spark.createDataFrame(status, refresh.STATUS_SHAPE).write.mode("append").json(f"{landing}/status")
+        spark.createDataFrame(people, SHAPE).write.mode("append").json(f"{landing}/customers")
+
+    def counts(update=None):
+        return {(r["dataset"], r["name"]): (r["passed_records"], r["failed_records"]) for r in refresh.expectation_counts(spark, out, update).collect()}
+
+    day = 1_700_000_000
+    land([(1, 1, "Y", day)], [(1, "placed", day), (1, "lost", None)], [change("1", "Ann", "NEW", 1), change("2", None, "NEW", 1), change("3", "C", "NEW", 1, "nope")])
+    refresh.run(spark, landing, out, "2024-01-01", update="a")
+    first = counts("a")
+    assert first["orders", "valid_date"] == (1, 0) and first["status", "valid_timestamp"] == (1, 1)
+    assert first["customers", "valid_email"] == (2, 1) and first["customers", "valid_name"] == (2, 1) and first["customers", "valid_id"] == (3, 0)
+    land([(2, 1, "Y", day)], [(2, "placed", day)], [change("1", "Anna", None, 2)])
+    refresh.run(spark, landing, out, "2024-01-02", update="b")
+    assert counts("a") == first and counts("b")["customers", "valid_operation"] == (0, 1) and counts("b")["status", "valid_timestamp"] == (1, 0)
+    assert counts()["status", "valid_timestamp"] == (2, 1)
+    assert spark.read.schema(metrics.EVENT).parquet(f"{out}/events").filter("event_type = 'flow_progress'").select("origin.update_id").distinct().count() == 2
+
+
 def test_missing_id_stops_the_stream(spark):
     with pytest.raises(PySparkException):
         state_after(spark, [change(None, "x", "NEW", 1)])
