@@ -340,9 +340,11 @@ def monthly_runs(t):
 
 
 OVERRIDES = [
-    U.Override("HAND-GROUP", "HAND", entities=("job/3", "cluster/17", "warehouse/9"), workspace="ws7", only_if_null=True),
-    U.Override("POOL-GROUP", patterns=("pool/1%", "flow/%2")),
-    U.Override("WS5-GROUP", "W5", workspace="ws5", only_if_null=True),
+    # step, kind, value, cost group, agency, only where there is none
+    *[(1, "entity", e, "HAND-GROUP", "HAND", True) for e in ("job/3", "cluster/17", "warehouse/9")],
+    (1, "workspace", "ws7", "HAND-GROUP", "HAND", True),
+    *[(2, "pattern", p, "POOL-GROUP", None, False) for p in ("pool/1%", "flow/%2")],
+    (3, "workspace", "ws5", "WS5-GROUP", "W5", True),
 ]
 
 
@@ -352,7 +354,7 @@ OVERRIDES = [
       SELECT *, CASE WHEN hit1 THEN 'HAND-GROUP' ELSE cost_group END AS g1, CASE WHEN hit1 THEN 'HAND' ELSE agency END AS a1 FROM (
         SELECT *, strftime(usage_date, '%Y-%m-%d') AS usage_date_text, coalesce(entity_id IN ('job/3', 'cluster/17', 'warehouse/9') OR workspace_id = 'ws7', false) AND cost_group IS NULL AS hit1 FROM fact))))""")
 def overrides(t):
-    return U.apply_overrides(stored_fact(t), OVERRIDES).select("usage_date", "workspace_id", "sku", "entity_id", "agency", "cost_group")
+    return U.apply_overrides(stored_fact(t), t.spark.createDataFrame(OVERRIDES, U.OVERRIDES)).select("usage_date", "workspace_id", "sku", "entity_id", "agency", "cost_group")
 
 
 @query("dbu_19", BY_GROUP + """SELECT CASE main_group WHEN 'PX-GROUP' THEN 'PX-NEW' WHEN 'GAMMA' THEN 'GAMMA-GROUP' ELSE main_group END AS main_group, count(*) AS months, round(sum(usage_cost), 4) AS usage_cost FROM terms GROUP BY 1""")

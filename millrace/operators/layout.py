@@ -20,20 +20,44 @@ def z_value(columns: Sequence[Column], bits: int) -> Column:
     return result
 
 
+def sortable(df: DataFrame, column: str) -> Column:
+    """The column as a number in the same order: texts by their first seven bytes, times in microseconds, the rest as doubles."""
+    kind, value = df.schema[column].dataType.typeName(), F.col(column)
+    if kind in ("string", "char", "varchar", "binary"):
+        lead = F.rpad(F.hex(F.substring(value.cast("binary"), 1, 7)), 14, "0")
+        return F.conv(lead, 16, 10).cast("double")
+    if kind in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(value.cast("timestamp")).cast("double")
+    if kind == "date":
+        return F.unix_date(value).cast("double")
+    return value.cast("double")
+
+
+def ranks(df: DataFrame, columns: Sequence[str], bits: int, accuracy: int = 10_000) -> list[Column]:
+    """For each column the number of its quantiles, out of ``2**bits - 1``, that a value reaches; nulls are 0.
+
+    One pass keeps a quantile sketch of fixed size for each column. A rank depends on how many rows are smaller and not
+    on how much smaller they are, so single far values take no room.
+    """
+    shares = [i / 2**bits for i in range(1, 2**bits)]
+    found = df.agg(*[F.percentile_approx(sortable(df, c), shares, accuracy).alias(f"q{i}") for i, c in enumerate(columns)]).first()
+    out = []
+    for i, c in enumerate(columns):
+        cuts = sorted(set(found[f"q{i}"] or []))
+        reached = F.size(F.filter(F.lit(cuts), lambda q: q <= sortable(df, c))) if cuts else F.lit(0)  # noqa: B023
+        # equal quantiles count as one; the ranks are spread over all bits again
+        out.append(F.coalesce(F.floor(reached * ((2**bits - 1) / max(len(cuts), 1))), F.lit(0)))
+    return out
+
+
 def clustered(df: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:
     """Rows range-partitioned and sorted on their z-value, ready to be written.
 
-    Each column is placed in its own range of values (found first, in one pass), so the z-value
-    tells small and large values apart alike. Without ``files`` Spark sizes the parts by bytes. Range
+    Each column counts by its rank among 256 quantiles (found first, in one pass), so outliers, texts and dates do as well as
+    even numbers. Without ``files`` Spark sizes the parts by bytes. Range
     bounds come from a sample; the row hash spreads equal z-values over files. Nulls lie first.
     """
-    bits = min(20, 63 // len(columns))
-    ends = df.agg(*[f(c).cast("double").alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("low", F.min), ("high", F.max))]).first()
-    scaled = []
-    for i, c in enumerate(columns):
-        low, high = ends[f"low{i}"] or 0.0, ends[f"high{i}"] or 0.0
-        part = (F.col(c).cast("double") - low) / ((high - low) or 1.0)
-        scaled.append(F.coalesce(F.floor(part * (2**bits - 1)), F.lit(0)))
-    shaped = df.withColumn("_z", z_value(scaled, bits)).withColumn("_spread", F.xxhash64(*df.columns))
+    bits = min(8, 63 // len(columns))
+    shaped = df.withColumn("_z", z_value(ranks(df, columns, bits), bits)).withColumn("_spread", F.xxhash64(*df.columns))
     ranged = shaped.repartitionByRange("_z", "_spread") if files is None else shaped.repartitionByRange(files, "_z", "_spread")
     return ranged.sortWithinPartitions("_z").drop("_z", "_spread")

@@ -3,7 +3,8 @@
 A rule table has the columns ``priority, kind, pattern, original, new``.
 Patterns are SQL LIKE patterns.  Rules are matched against the *distinct*
 values of the data, never row by row, and reach the rows by an equality join,
-so neither side has to be small.
+so neither side has to be small.  A value does not meet every rule of its owner either: each
+pattern is filed under a literal piece of it, and LIKE is tried on values that hold the piece.
 """
 
 from __future__ import annotations
@@ -37,6 +38,49 @@ def matches_any(column: Column, patterns: Sequence[str]) -> Column:
     return result
 
 
+#: Longest piece by which a pattern is filed: at its beginning or end, or anywhere.
+EDGE, INNER = 8, 4
+
+
+def _piece(pattern: Column) -> Column:
+    """Where (start, end, any, none) and by which literal text a pattern is filed: its longest sure piece."""
+    plain = ~F.contains(pattern, F.lit("\\"))  # an escaped wildcard is no piece; such patterns are tried on everything
+    head = F.left(F.regexp_extract(pattern, "^[^%_]*", 0), F.lit(EDGE))
+    tail = F.right(F.regexp_extract(pattern, "[^%_]*$", 0), F.lit(EDGE))
+    inner = F.left(F.reduce(F.split(pattern, "[%_]"), F.lit(""), lambda best, p: F.when(F.length(p) > F.length(best), p).otherwise(best)), F.lit(INNER))
+    filed = lambda place, text: F.struct(F.lit(place).alias("place"), text.alias("text"))
+    return (
+        F.when(plain & (F.length(head) > 0) & (F.length(head) >= F.length(tail)), filed("start", head))
+        .when(plain & (F.length(tail) > 0), filed("end", tail))
+        .when(plain & (F.length(inner) > 0), filed("any", inner))
+        .otherwise(filed("none", F.lit("")))
+    )
+
+
+def like_candidates(values: DataFrame, owner: str, value: str, rules: DataFrame, rule_owner: str, pattern: str) -> DataFrame:
+    """Each (owner, value) with the rules of that owner whose filed piece it holds; all columns of both, no pair twice.
+
+    A value is looked up under its beginnings, ends and inner pieces of the lengths that are in use (at most
+    ``2 * EDGE + INNER + 1`` of them).
+    """
+    filed = rules.withColumn("_piece", _piece(F.col(pattern)))
+    used = filed.select("_piece.place", F.length("_piece.text").alias("n")).distinct().collect()
+    pieces = []
+    for place, n in ((r["place"], r["n"]) for r in used):
+        text = F.col(value)
+        if place == "any":
+            found = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))), lambda i: F.substring(text, i, F.lit(n)))  # noqa: B023
+            pieces.append(F.transform(F.array_distinct(found), lambda p: F.struct(F.lit("any").alias("place"), p.alias("text"))))
+        else:
+            cut = {"start": F.left(text, F.lit(n)), "end": F.right(text, F.lit(n)), "none": F.lit("")}[place]
+            pieces.append(F.array(F.struct(F.lit(place).alias("place"), cut.alias("text"))))
+    if not pieces:
+        pieces = [F.array(F.struct(F.lit("none").alias("place"), F.lit("").alias("text")))]
+    asked = values.withColumn("_held", F.explode(F.array_distinct(F.concat(*pieces))))
+    same = (F.col(owner) == F.col(rule_owner)) & (F.col("_held.place") == F.col("_piece.place")) & (F.col("_held.text") == F.col("_piece.text"))
+    return asked.join(filed, same).drop("_held", "_piece")
+
+
 def pattern_targets(
     df: DataFrame, owner: str, value: str, rules: DataFrame, on_conflict: str = "priority"
 ) -> DataFrame:
@@ -47,10 +91,8 @@ def pattern_targets(
     with ``on_conflict="error"`` different results stop the job.
     """
     pairs = df.select(F.col(owner).alias("_rule_owner"), F.col(value).alias("_rule_value")).distinct()
-    hit = pairs.join(
-        rules.select("priority", "pattern", "original", "new"),
-        (F.col("_rule_owner") == F.col("original")) & F.expr("_rule_value LIKE pattern"),
-    )
+    rules = rules.select("priority", "pattern", "original", "new")
+    hit = like_candidates(pairs, "_rule_owner", "_rule_value", rules, "original", "pattern").filter(F.expr("_rule_value LIKE pattern"))
     best = hit.groupBy("_rule_owner", "_rule_value").agg(
         F.min_by("new", F.struct("priority", "new")).alias("_rule_new"),
         F.min("new").alias("_rule_low"),

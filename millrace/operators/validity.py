@@ -7,22 +7,39 @@ the join is an equality join with the exact range as a residual condition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _bin(time: Column, width: str) -> Column:
+    return F.to_date(time) if width == "day" else F.trunc(time, width)
+
+
 def valid_at(
     facts: DataFrame, dimension: DataFrame, key: str, at: str, start: str = "start_date",
-    end: str = "end_date", how: str = "left",
+    end: str = "end_date", how: str = "left", width: str = "month", until: dt.date | None = None,
 ) -> DataFrame:
-    """Join each fact to the dimension rows of its key valid on its date; null end = open."""
-    other = dimension.withColumnRenamed(key, "_key")
+    """Join each fact to the dimension rows of its key valid on its date; null end = open.
+
+    Both sides meet by key and time bin (``width``: day, month or year): a dimension row stands in every bin that it covers, a
+    fact in one, and the exact range decides. So a fact is compared with the rows of its key around its date and not with the key's whole
+    history, and a key that holds much of the facts is spread over its bins. Open rows reach up to ``until``,
+    by default the last date of the facts, which is looked up first.
+    """
+    if until is None:
+        until = facts.agg(F.max(at)).first()[0]
+    last = F.coalesce(F.col(end), F.lit(until).cast(dimension.schema[end].dataType))
+    steps = F.sequence(_bin(F.col(start), width), _bin(last, width), F.expr(f"INTERVAL 1 {width}"))
+    covered = dimension.filter(F.col(start) <= last).withColumn("_bin", F.explode(steps))
+    other = covered.withColumnRenamed(key, "_key")
     on = (
-        (F.col(key) == F.col("_key"))
+        (F.col(key) == F.col("_key")) & (_bin(F.col(at), width) == F.col("_bin"))
         & (F.col(at) >= F.col(start))
         & (F.col(end).isNull() | (F.col(at) <= F.col(end)))
     )
-    return facts.join(other, on, how).drop("_key")
+    return facts.join(other, on, how).drop("_key", "_bin")
 
 
 def current_rows(dimension: DataFrame, end: str = "end_date") -> DataFrame:

@@ -16,6 +16,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import squeezed, tidy
 from millrace.operators.changes import update_where
 from millrace.operators.newest import latest_per_key
-from millrace.operators.rules import matches_any, ordered_case
+from millrace.operators.rules import like_candidates, matches_any, ordered_case
 from millrace.operators.validity import by_month, current_rows, valid_at
 
 # Fixed values
@@ -42,16 +43,8 @@ class GroupRule:
     patterns: tuple[str, ...] = ()
 
 
-@dataclass(frozen=True)
-class Override:
-    """Hand-written correction of the cost group of some entities."""
-
-    cost_group: str
-    agency: str | None = None
-    entities: tuple[str, ...] = ()
-    patterns: tuple[str, ...] = ()
-    workspace: str | None = None
-    only_if_null: bool = False
+#: Hand-written corrections, a row for each entity, pattern or workspace of a step: ``kind`` says which one ``value`` is.
+OVERRIDES = "step int, kind string, value string, cost_group string, agency string, only_if_null boolean"
 
 
 # -------------------------------------------------------------------- entities
@@ -214,24 +207,31 @@ def full_fact(archive: DataFrame, current: DataFrame) -> DataFrame:
     return archive.unionByName(current)
 
 
-def apply_overrides(fact: DataFrame, overrides: Sequence[Override]) -> DataFrame:
-    """Apply hand-written corrections in order; a later one sees the earlier results."""
-    for rule in overrides:
-        hit = F.lit(False)
-        if rule.entities:
-            hit = hit | F.col("entity_id").isin(*rule.entities)
-        if rule.patterns:
-            hit = hit | matches_any(F.col("entity_id"), rule.patterns)
-        if rule.workspace:
-            hit = hit | (F.col("workspace_id") == rule.workspace)
-        hit = F.coalesce(hit, F.lit(False))
-        if rule.only_if_null:
-            hit = hit & F.col("cost_group").isNull()
-        values = {"cost_group": F.lit(rule.cost_group)}
-        if rule.agency:
-            values["agency"] = F.lit(rule.agency)
-        fact = update_where(fact, hit, values)
-    return fact
+def apply_overrides(fact: DataFrame, overrides: DataFrame) -> DataFrame:
+    """Apply the rows of an override table in the order of their steps; a later step sees the result of the earlier ones.
+
+    A step hits a row whose entity or workspace is one of its values or whose entity is LIKE one of its patterns, with
+    ``only_if_null`` only while the row has no cost group; an agency that is null is not changed. The table is matched
+    against the distinct entities and workspaces, by equality or a piece of the pattern, so it may be long.
+    """
+    keys = ["entity_id", "workspace_id"]
+    pairs = fact.select(*keys).distinct()
+    step = F.struct("step", "cost_group", "agency", "only_if_null").alias("step")
+    by = lambda kind: overrides.filter(F.col("kind") == kind).select("value", step)
+    found = [pairs.join(by(kind), F.col(c) == F.col("value")).select(*keys, "step") for kind, c in (("entity", "entity_id"), ("workspace", "workspace_id"))]
+    every = by("pattern").withColumn("_every", F.lit(1))
+    held = like_candidates(pairs.withColumn("_all", F.lit(1)), "_all", "entity_id", every, "_every", "value")
+    found.append(held.filter(F.expr("entity_id LIKE value")).select(*keys, "step"))
+    # at most one entry a step of the table, in order
+    steps = reduce(DataFrame.unionByName, found).groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.array_sort(F.collect_set("step")).alias("_steps"))
+    joined = fact.join(steps, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left")
+    state = lambda group, agency: F.struct(group.alias("cost_group"), agency.alias("agency"))
+    folded = F.aggregate(
+        F.coalesce("_steps", F.array().cast(steps.schema["_steps"].dataType)), state(F.col("cost_group"), F.col("agency")),
+        lambda now, s: F.when(s["only_if_null"] & now["cost_group"].isNotNull(), now).otherwise(state(s["cost_group"], F.coalesce(s["agency"], now["agency"]))),
+    )
+    done = joined.withColumn("_done", folded)
+    return done.select(*[F.col("_done")[c].alias(c) if c in ("cost_group", "agency") else F.col(c) for c in fact.columns])
 
 
 def rename_groups(df: DataFrame, column: str, names: Mapping[str, str]) -> DataFrame:
