@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.plans import usage as U
+from millrace.workspace import exists
 
 LEDGER = "version bigint, as_of date, name string, path string"
 
@@ -45,8 +46,7 @@ class Published:
 
     def entries(self) -> list:
         """Rows of the newest version; none before the first run. A version has a row a part, so a few a month."""
-        fs_path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/ledger")
-        if not fs_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(fs_path):
+        if not exists(self.spark, f"{self.folder}/ledger"):
             return []
         ledger = self.spark.read.schema(LEDGER).parquet(f"{self.folder}/ledger")
         return ledger.join(ledger.agg(F.max("version").alias("version")), "version", "left_semi").collect()

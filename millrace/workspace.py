@@ -33,6 +33,12 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{base_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file is there, asked of the file system that the path belongs to."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def fresh_name(label: str) -> str:
     """A table, view or function name nobody has used yet."""
     return f"mr_{label}_{uuid.uuid4().hex[:12]}"

@@ -153,3 +153,23 @@ def test_written_table_is_streamed_in_micro_batches(tables):
     log = Path(urlparse(out.inputFiles()[0]).path).parent / "_spark_metadata"
     assert [p.name for p in sorted(log.iterdir()) if not p.name.startswith(".")] == ["0", "1", "2"]
     assert out.count() == tables.events.count() and not hasattr(ingest, "replay")
+
+
+def test_schema_lives_across_runs(spark):
+    """A later file adds a column, known types stay, what does not fit is rescued, and a run without new files changes nothing."""
+    path, out = fresh_path(spark, "landed"), fresh_path(spark, "ingested")
+
+    def land(*lines):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(path)
+        return {r["id"]: r for r in ingest.ingest_json(spark, path, out, hints={"when": "timestamp"}).collect()}
+
+    def versions():
+        return spark.read.parquet(f"{out}/schema").count()
+
+    got = land('{"id": 1, "n": 5, "when": "2024-01-01 00:00:00"}', '{"id": 2}')
+    assert got[1]["n"] == 5 and got[2]["_rescued_data"] is None and versions() == 1
+    got = land('{"id": 3, "n": "many", "m": {"a": 1}, "when": "soon"}')
+    assert got[3]["n"] is None and got[3]["m"]["a"] == 1 and got[1]["m"] is None and versions() == 2
+    assert got[3]["_rescued_data"] == '{"n":"many","when":"soon"}'
+    assert [f.dataType.simpleString() for f in ingest.logged_schema(spark, path, f"{out}/schema").fields if f.name == "n"] == ["bigint"]
+    assert versions() == 2 and len(ingest.ingest_json(spark, path, out).collect()) == 3
