@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace import workspace
 from millrace.catalog import standins as S
 from millrace.catalog.registry import query
+from millrace.operators import sketches
 
 EVENTS = S.with_sql(S.SHOP_EVENTS_SQL)
 ITEMS = S.with_sql(S.SHOP_ITEMS_SQL)
@@ -34,13 +36,15 @@ def named_aggregates(t):
     )
 
 
-@query("agg_04", "SELECT l_returnflag, true AS within_five_percent FROM lineitem GROUP BY 1")
+@query("agg_04", "SELECT l_returnflag, l_linestatus, count(DISTINCT l_partkey) AS parts, true AS within_bound FROM lineitem GROUP BY 1, 2")
 def approximate_distinct(t):
-    """The sketch against the exact count, five per cent allowed."""
-    counts = t.lineitem.groupBy("l_returnflag").agg(
-        F.approx_count_distinct("l_partkey", 0.01).alias("about"), F.count_distinct("l_partkey").alias("exact")
-    )
-    return counts.select("l_returnflag", (F.abs(F.col("about") - F.col("exact")) <= F.col("exact") * 0.05).alias("within_five_percent"))
+    """Sketches by day and group, united over the days, against the exact count of each group; three standard errors are allowed."""
+    keys = ["l_returnflag", "l_linestatus"]
+    daily = sketches.distinct_sketches(t.lineitem, [*keys, F.to_date("l_shipdate").alias("day")], "l_partkey")
+    about = sketches.distinct_of(daily, keys)
+    exact = t.lineitem.groupBy(*keys).agg(F.count_distinct("l_partkey").alias("parts"))
+    bound = F.abs(F.col("about") - F.col("parts")) <= F.col("parts") * 0.05
+    return exact.join(about, keys).select(*keys, "parts", bound.alias("within_bound"))
 
 
 @query("agg_05", USERS + "SELECT count(*) AS row_count, count(email) AS emails, count(user_id) AS users FROM shop_users")
@@ -186,6 +190,26 @@ def described(t):
     return t.lineitem.select("l_quantity", F.abs("l_discount").alias("l_discount")).summary("count", "min", "max")
 
 
+SUMMED = ["l_quantity", "l_extendedprice", "l_tax", "l_partkey"]
+
+
+@query("agg_23b", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS count, min({c})::DOUBLE AS min, max({c})::DOUBLE AS max, unnest([0.25, 0.5, 0.75])::DOUBLE AS share, true AS within_bound FROM lineitem" for c in SUMMED))
+def described_by_sketches(t):
+    """A summary from sketches kept by month: of each quantile the share of smaller and of equal values is looked up; 3 % are allowed."""
+    shares = [0.25, 0.5, 0.75]
+    monthly = workspace.settle(sketches.quantile_sketches(t.lineitem, [F.trunc("l_shipdate", "month").alias("month")], SUMMED), "sketches")
+    found = sketches.summary_of(monthly, SUMMED, shares)
+    about = found.select("column", "count", "min", "max", F.explode(F.arrays_zip(F.array(*map(F.lit, shares)).alias("share"), F.col("quantiles").alias("value"))).alias("q"))
+    about = workspace.settle(about.select("column", "count", "min", "max", "q.share", "q.value"), "quantiles")
+    marks = {(r["column"], r["share"]): r["value"] for r in about.collect()}  # three a column
+    ranks = t.lineitem.agg(*[
+        F.struct((F.count_if(F.col(c) < v) / F.count(c)).alias("below"), (F.count_if(F.col(c) <= v) / F.count(c)).alias("upto")).alias(f"{c}@{s}") for (c, s), v in marks.items()
+    ])
+    rows = [F.struct(F.lit(c).alias("column"), F.lit(s).alias("share"), ((F.col(f"`{c}@{s}`.below") - 0.03 <= s) & (F.col(f"`{c}@{s}`.upto") + 0.03 >= s)).alias("within_bound")) for c, s in marks]
+    return about.join(ranks.select(F.inline(F.array(*rows))), ["column", "share"]).select("column", "count", "min", "max", "share", "within_bound")
+
+
 @query("agg_24", ITEMS + """SELECT city, strftime(make_timestamp(event_timestamp), '%Y-%m-%d') AS day, round(sum(price_in_usd), 2) AS price, sum(quantity)::BIGINT AS quantity, count(*) AS items
   FROM shop_items GROUP BY 1, 2""")
 def explode_then_aggregate(t):

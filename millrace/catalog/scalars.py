@@ -341,17 +341,17 @@ def sql_function_case(t):
     return t.spark.sql(f"SELECT p_partkey, mr_size_note(p_name, p_size) AS note FROM {_view(t.part)}")
 
 
-FIRST_SQL = "SELECT s_suppkey, s_name[1] AS letter FROM supplier"
+FIRST_SQL = "SELECT c_custkey, c_mktsegment[1] AS letter FROM customer"
 
 
 @query("udf_03", FIRST_SQL)
 def python_function(t):
-    return t.supplier.select("s_suppkey", udfs.first_letter_udf("s_name").alias("letter"))
+    return t.customer.select("c_custkey", udfs.first_letter_udf("c_mktsegment").alias("letter"))
 
 
 @query("udf_04", FIRST_SQL)
 def python_function_typed(t):
-    return t.supplier.select("s_suppkey", udfs.first_letter_typed("s_name").alias("letter"))
+    return t.customer.select("c_custkey", udfs.first_letter_typed("c_mktsegment").alias("letter"))
 
 
 @query("udf_05", "SELECT o_orderkey, o_orderpriority[1] AS letter FROM orders")
@@ -362,7 +362,7 @@ def batch_function(t):
 @query("udf_06", FIRST_SQL)
 def function_from_sql(t):
     udfs.register(t.spark)
-    return t.spark.sql(f"SELECT s_suppkey, mr_first_letter_batch(s_name) AS letter FROM {_view(t.supplier)}")
+    return t.spark.sql(f"SELECT c_custkey, mr_first_letter_batch(c_mktsegment) AS letter FROM {_view(t.customer)}")
 
 
 @query("udf_07", "SELECT c_custkey, repeat('*', length(c_name) - 2) || right(c_name, 2) AS masked FROM customer")

@@ -16,7 +16,7 @@ def first_letter(text: str) -> str | None:
     return text[0] if text else None
 
 
-first_letter_udf = F.udf(first_letter)
+first_letter_udf = F.udf(first_letter, useArrow=False)
 
 
 @F.udf(T.StringType())

@@ -28,12 +28,15 @@ def history(log: DataFrame) -> DataFrame:
 def restore(log: DataFrame, keys: Sequence[str], version: int, new_version: int) -> DataFrame:
     """Changes that bring the newest state back to ``version``, as new log rows."""
     rest = [c for c in log.columns if c not in (*keys, "version", "op")]
-    old = as_of_version(log, keys, version).select(*keys, F.struct(*rest).alias("_old"))
-    newest = latest_per_key(log, keys, ["version"]).filter("op <> 'delete'")
-    now = newest.select(*keys, F.struct(*rest).alias("_now"))
-    both = old.join(now, list(keys), "full_outer")
+    # both states of a key from one pass over the log: its newest entry, and its newest one up to the version
+    entry = F.struct("op", F.struct(*rest).alias("row"))
+    upto = F.when(F.col("version") <= version, F.col("version"))
+    states = log.groupBy(*keys).agg(F.max_by(entry, "version").alias("now"), F.max_by(entry, upto).alias("old"))
+    shown = lambda c: F.when(F.col(f"{c}.op") != "delete", F.col(f"{c}.row"))
+    both = states.select(*keys, shown("old").alias("_old"), shown("now").alias("_now"))
     op = (
-        F.when(F.col("_now").isNull(), "insert")
+        F.when(F.col("_now").isNull() & F.col("_old").isNull(), F.lit(None))  # gone then and now
+        .when(F.col("_now").isNull(), "insert")
         .when(F.col("_old").isNull(), "delete")
         .when(~F.col("_old").eqNullSafe(F.col("_now")), "update")
     )
