@@ -1,13 +1,14 @@
 """Near duplicates: an inverted join on the coordinates of MinHash signatures.
 
-1. Every document gives its number of distinct shingles, a key of its set and a signature of
+1. Every document gives its number of distinct shingles, a 128-bit key of its set and a signature of
    ``width`` minima. Documents with equal sets are one class from here on.
 2. A coordinate and its value are a token. Tokens met in one class only can link nothing. A pair at
    the threshold agrees in ``agree`` coordinates or more (all but about four in a million do, at the
    threshold itself, with the defaults), so classes with fewer shared tokens drop out, and two classes that
    agree so often share one of their ``shared - agree + 1`` rarest tokens: only this prefix is posted.
 3. Posting lists are not multiplied out. In a short list all meet; in another
-   every posting meets a few leaders. What is confirmed joins classes into components. Lists that still hold several components are taken apart exactly, from whole
+   every posting meets a few leaders. Each class is first compared with the partner that it meets in most lists; what is confirmed joins
+   classes into components, and of the other pairs only those between components follow. Lists that still hold several components are taken apart exactly, from whole
    sets. Classes compared with the same leader (their pivot) have a core: the shingles that many of them hold. Two of them can be
    linked only if they share a shingle outside the core, or if their sizes allow it by what each holds of the core: near copies of one
    text that are not near each other are neither. Classes with different pivots share one of their rarest shingles. In every list only postings outside the
@@ -62,9 +63,12 @@ def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     return out
 
 
-def set_key(values: np.ndarray) -> int:
-    total = mix(values).sum(dtype=np.uint64) + np.uint64(len(values))
-    return int(mix(np.array([total], np.uint64)).view(np.int64)[0])
+def set_key(values: np.ndarray) -> tuple[int, int]:
+    """128 bits that name a set of shingles."""
+    n = np.uint64(len(values))
+    totals = [mix(values ^ salt).sum(dtype=np.uint64) + n for salt in (np.uint64(0), np.uint64(0x5851F42D4C957F2D))]
+    first, second = mix(np.array(totals, np.uint64)).view(np.int64).tolist()
+    return first, second
 
 
 def signature(values: np.ndarray, factors: np.ndarray, masks: np.ndarray) -> np.ndarray:
@@ -77,7 +81,7 @@ def signature(values: np.ndarray, factors: np.ndarray, masks: np.ndarray) -> np.
 
 
 def _features(docs: DataFrame, near: Near) -> DataFrame:
-    """doc_id, n, key, tokens of every row; no tokens without words."""
+    """doc_id, n, key and key2 (its set), tokens of every row; no key and no tokens without words."""
     rng = np.random.default_rng(20)
     factors = rng.integers(0, 1 << 63, near.width, np.uint64) * np.uint64(2) + np.uint64(1)
     masks = rng.integers(0, 1 << 63, near.width, np.uint64)
@@ -88,12 +92,13 @@ def _features(docs: DataFrame, near: Near) -> DataFrame:
             for part in slices(batch, "body"):
                 sets = shingle_sets(part.column("body"), near.shingle)
                 tokens = [signature(s, factors, masks).view(np.int64) if len(s) else None for s in sets]
+                keys = [set_key(s) if len(s) else (None, None) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()), pa.array(tokens, pa.list_(pa.int64()))],
-                    ["doc_id", "n", "key", "tokens"],
+                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(k, pa.int64()) for k in zip(*keys)), pa.array(tokens, pa.list_(pa.int64()))],
+                    ["doc_id", "n", "key", "key2", "tokens"],
                 )
 
-    return docs.mapInArrow(compute, f"doc_id {kind}, n long, key long, tokens array<long>")
+    return docs.mapInArrow(compute, f"doc_id {kind}, n long, key long, key2 long, tokens array<long>")
 
 
 def _sets(docs: DataFrame, near: Near) -> DataFrame:
@@ -101,12 +106,13 @@ def _sets(docs: DataFrame, near: Near) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "body"):
                 sets = [s for s in shingle_sets(part.column("body"), near.shingle) if len(s)]
+                keys = np.array([set_key(s) for s in sets], np.int64).reshape(len(sets), 2)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([set_key(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                    ["node", "members"],
+                    [pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
+                    ["key", "key2", "members"],
                 )
 
-    return docs.select("body").mapInArrow(compute, "node long, members array<long>")
+    return docs.select("body").mapInArrow(compute, "key long, key2 long, members array<long>")
 
 
 def _fits(a: str, b: str, percent: int):
@@ -120,13 +126,15 @@ def _pairs(rows: DataFrame) -> DataFrame:
 
 class _Search:
     def __init__(self, docs: DataFrame, features: DataFrame, near: Near):
-        self.docs, self.features, self.near = docs, features, near
+        self.docs, self.near = docs, near
+        # a class is known by a number of its own, given once, so that no two sets can share it
+        classes = features.filter("n > 0").groupBy("key", "key2").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.min("doc_id").alias("least"))
+        self.classes = settle(classes.withColumn("node", F.monotonically_increasing_id()), "near-all")
 
     def posted(self) -> DataFrame:
         """Classes that can have a partner: node, n, tokens (shared ones, rarest first)."""
         near = self.near
-        classes = self.features.filter("n > 0").groupBy(F.col("key").alias("node")).agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
-        posts = classes.select("node", "n", F.explode("tokens").alias("token"))
+        posts = self.classes.select("node", "n", F.explode("tokens").alias("token"))
         shared = posts.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
         met = posts.join(C.apart(shared), "token").groupBy("node").agg(
             F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"), F.sum("df").alias("shared"),
@@ -136,13 +144,13 @@ class _Search:
     def sets(self, wanted: DataFrame) -> DataFrame:
         """node, members of the wanted classes (node): the whole shingle sets, from the text of one holder each."""
         near = self.near
-        holders = self.features.select(F.col("key").alias("node"), "doc_id").join(C.apart(wanted), "node").groupBy("node").agg(F.min("doc_id").alias("id"))
-        ids = settle(holders.select(F.col("id").alias("mr_id")).distinct(), "near-holders")
+        named = settle(self.classes.select("node", "key", "key2", "least").join(wanted, "node", "left_semi"), "near-wanted")
+        ids = settle(named.select(F.col("least").alias("mr_id")).distinct(), "near-holders")
         if ids.count() <= near.broadcast_rows:
             ids = F.broadcast(ids)
         texts = self.docs.join(ids, F.col("doc_id").eqNullSafe(F.col("mr_id")), "left_semi")
-        sets = _sets(texts, near).dropDuplicates(["node"])
-        return settle(sets.join(wanted, "node", "left_semi"), "near-sets")
+        sets = _sets(texts, near).join(named.select("node", "key", "key2"), ["key", "key2"])
+        return settle(sets.select("node", "members").dropDuplicates(["node"]), "near-sets")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Of the pairs (a, b) those that agree often enough: what their whole sets have in common, and whether that links them."""
@@ -160,7 +168,7 @@ class _Search:
         return settle(counted.withColumn("linked", linked), "near-counted")
 
     def stars(self, posts: DataFrame) -> DataFrame:
-        """Each posting with the leaders of its list, as pairs; in a short list, all pairs."""
+        """Each posting (x) with the leaders (y) of its list, in a short list with all others, and the number of lists where they meet."""
         sizes = posts.groupBy("token").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
         posts = settle(posts.join(C.apart(sizes), "token"), "near-lists")
         few = posts.filter(F.col("size") <= self.near.short).groupBy("token").agg(F.collect_list(F.struct("node", "n")).alias("all"))
@@ -176,7 +184,14 @@ class _Search:
         met = posts.join(C.apart(leaders), "token").select(F.col("node").alias("x"), "n", F.explode("leaders").alias("leader"))
         met = met.select("x", F.col("leader.node").alias("y"), "n", F.col("leader.n").alias("m"))
         met = met.unionByName(few)
-        return _pairs(met.filter((F.col("x") != F.col("y")) & _fits("n", "m", self.near.percent)))
+        met = met.filter((F.col("x") != F.col("y")) & _fits("n", "m", self.near.percent))
+        return met.groupBy("x", "y").agg(F.count(F.lit(1)).alias("lists"))
+
+    def apart(self, pairs: DataFrame, components: DataFrame) -> DataFrame:
+        """Pairs (a, b) whose classes are not in one component yet."""
+        of = lambda c: components.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
+        placed = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+        return placed.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
     def unsettled(self, posts: DataFrame, by: str, least: int = 2) -> DataFrame:
         """Postings of the lists of ``least`` or more with several values of ``by``, with the most frequent value of the list (``top``)."""
@@ -269,12 +284,18 @@ class _Search:
         self.nodes = settle(self.posted(), "near-nodes")
         prefix = F.slice("tokens", 1, F.size("tokens") - near.agree + 1)
         posts = settle(self.nodes.select("node", "n", "shared", F.explode(prefix).alias("token")), "near-posts")
-        tried = settle(self.stars(posts), "near-stars")
-        counted = self.confirmed(tried)
+        met = settle(self.stars(posts), "near-stars")
+        # one partner of each class first; of the other pairs only those that this leaves in different components
+        closest = met.groupBy("x").agg(F.max(F.struct("lists", "y")).alias("t")).select("x", F.col("t.y").alias("y"))
+        first = settle(_pairs(closest), "near-first")
+        counted = self.confirmed(first)
+        others = self.apart(_pairs(met).join(first, ["a", "b"], "left_anti"), connect(counted.filter("linked").select("a", "b")))
+        others = settle(others, "near-others")
+        counted, tried = counted.unionByName(self.confirmed(others)), first.unionByName(others)
         links = counted.filter("linked").select("a", "b")
         placed = posts.join(connect(links), "node", "left").select("token", "node", F.coalesce("component", "node").alias("component"))
         open_nodes = settle(self.unsettled(settle(placed, "near-placed"), "component", near.short + 1).select("node", "component").distinct(), "near-open")
-        rest = self.rest(open_nodes, counted).join(tried, ["a", "b"], "left_anti")
+        rest = self.rest(open_nodes, counted).join(tried, ["a", "b"], "left_anti")  # pairs left out of both are in one component
         more = self.confirmed(settle(rest, "near-rest")).filter("linked").select("a", "b")
         return connect(links.unionByName(more))
 
@@ -308,12 +329,12 @@ def near_duplicates(docs: DataFrame, near: Near = Near(), id_column: str = "doc_
     """
     docs = docs.select(F.col(id_column).alias("doc_id"), C.whole(F.col(text_column)).alias("body"))
     features = settle(_features(docs, near), "near-features")
-    components = _Search(docs, features, near).run()
-    least = features.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
-    placed = least.join(components, least["key"] == components["node"], "left").select("key", "least", "component")
+    search = _Search(docs, features, near)
+    components = search.run()
+    placed = search.classes.select("node", "key", "key2", "least").join(components, "node", "left")
     lowest = placed.filter("component is not null").groupBy("component").agg(F.min("least").alias("lowest"))
-    named = placed.join(C.apart(lowest), "component", "left").select(F.col("key").alias("k"), F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("lowest")).alias("c"))
-    worded = features.filter("n > 0").join(named, F.col("key") == F.col("k"))
+    named = placed.join(C.apart(lowest), "component", "left").select("key", "key2", F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("lowest")).alias("c"))
+    worded = features.filter("n > 0").join(named, ["key", "key2"])
     rows = worded.select("doc_id", "n", "c").unionByName(features.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("c")))
     return rows.select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("c").alias("component_id"), F.col("doc_id").eqNullSafe(F.col("c")).alias("kept"),

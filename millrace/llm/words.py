@@ -5,7 +5,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-_BASE, _ROLL = 0x9E3779B97F4A7C15 | 1, 0xD1342543DE82EF95 | 1
+_ROLL = 0xD1342543DE82EF95 | 1
+_SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _SLICE = 1 << 21  # bytes or words whose 8-byte arrays are held at once
 
 #: Byte tables: blanks split words; A to Z lowered.
@@ -63,13 +64,18 @@ class Words:
     def __len__(self) -> int:
         return len(self.starts)
 
-    def hashes(self) -> np.ndarray:
-        """A polynomial of the bytes of each word, with its bits spread."""
+    def hashes(self, family: int = 0) -> np.ndarray:
+        """The sum of each word's bytes, each times a random factor of its place, with its bits spread.
+
+        Factors that are powers of one base would give long words of two letters in the Thue-Morse order the
+        hash of their complement. ``family`` (0 or 1) picks the factors; both together are a 128-bit hash.
+        """
         out = np.zeros(len(self), np.uint64)
         if not len(self):
             return out
         lengths = self.ends - self.starts
-        power = powers(_BASE, int(lengths.max()) + 1)
+        with np.errstate(over="ignore"):
+            power = mix(np.arange(1, int(lengths.max()) + 2, dtype=np.uint64) * np.uint64(_SEEDS[family]))
         at = 0
         while at < len(self):
             to = max(at + 1, int(np.searchsorted(self.ends, self.starts[at] + _SLICE)))
@@ -83,7 +89,7 @@ class Words:
                 np.cumsum((self.data[low:high].astype(np.uint64) + np.uint64(1)) * power[place] * inside, out=total[1:])
                 out[at:to] = total[self.ends[at:to] - low] - total[begin]
             at = to
-        return mix(out ^ (lengths.astype(np.uint64) << np.uint64(40)))
+        return mix(out ^ (lengths.astype(np.uint64) << np.uint64(40)) ^ np.uint64(family))
 
 
 def rolling(values: np.ndarray, length: int, base: int = _ROLL) -> np.ndarray:
