@@ -92,6 +92,7 @@ def drop_repeated_lines(
     min_docs: int = 3,
     batches: int = 4,
     fanout: int = 3,
+    batch_rows: int = 100_000_000,
 ) -> DataFrame:
     """All columns of ``docs`` with the text cut, plus ``mr_lines`` and ``mr_dropped`` (longs).
 
@@ -99,9 +100,11 @@ def drop_repeated_lines(
     code points or more found in ``min_docs`` rows or more go from all rows but those with the
     largest identifier that hold them (a null identifier is smaller than any other). A null text is
     one empty line and comes back as the empty text. Rows with equal identifiers are documents of their own.
-    An empty table gives no rows.
+    An empty table gives no rows. ``batches`` is the least number of batches; a larger table has one for each
+    ``batch_rows`` rows, so that a batch stays as large as it is and levels grow instead. Names that begin with ``mr_`` are reserved.
     """
     spark = docs.sparkSession
+    batches = max(batches, -(-docs.count() // batch_rows))  # of files only the footers are read
     row = docs.select(F.col(id_column).alias("doc_id"), C.whole(F.col(text_column)).alias("body"))
     long_lines = F.filter(F.transform(F.split("body", "\n"), line_key), lambda k: F.char_length(k) >= min_chars)
     k1, k2 = C.hash_pair(F.col("key"))

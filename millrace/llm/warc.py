@@ -80,8 +80,10 @@ def page_records(
         F.when(revisits, F.concat(F.lit("<urn:page:"), F.col("first").cast("string"), F.lit(">"))).alias("refers"),
         F.when(revisits, F.lit(HTTP_HEAD)).otherwise(F.concat(F.lit(HTTP_HEAD), chunked(F.col("payload"), chunk_bytes))).cast("binary").alias("block"),
     )
-    cut = rows.select("*", F.posexplode(_pieces(F.col("block"), segment_bytes)).alias("n", "part"))
-    total = F.octet_length("block")
+    # the length is taken before the pieces are dealt out, so that no piece carries the whole block
+    rows = rows.withColumns({"total": F.octet_length("block"), "parts": _pieces(F.col("block"), segment_bytes)}).drop("block")
+    cut = rows.select("own", "url", "digest", "revisits", "refers", "total", F.posexplode("parts").alias("n", "part"))
+    total = F.col("total")
     segments = F.ceil(total / F.lit(segment_bytes))
     start, last, several = F.col("n") == 0, F.col("n") == segments - 1, segments > 1
     head = F.concat(
@@ -134,7 +136,11 @@ def _inflated(content: bytes, step: int = 1 << 20) -> Iterator[bytes]:
 
 
 def parse_records(content: bytes) -> Iterator[dict]:
-    """Records of one archive file, by content length; a file cut short ends with its last whole record."""
+    """Records of one archive file, by content length; a file cut short ends with its last whole record.
+
+    A record whose content length is missing, negative or no number is left out, because nobody knows where
+    it ends; reading goes on at the next line that begins a record.
+    """
     data, source = bytearray(), _inflated(content)
 
     def fill(n: int) -> bool:
@@ -151,7 +157,16 @@ def parse_records(content: bytes) -> Iterator[dict]:
                 return
         head = bytes(data[:end]).decode("utf-8", "replace").strip().split(CRLF)
         fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in head[1:])}
-        length = int(fields.get("content-length", 0))
+        stated = fields.get("content-length", "")
+        if not (stated.isascii() and stated.isdigit() and len(stated) < 16):
+            at = max(end, 0)
+            while (next_ := data.find(b"\r\nWARC/", at)) < 0:
+                at = max(len(data) - 6, 0)
+                if not fill(len(data) + 1):
+                    return
+            del data[: next_ + 2]
+            continue
+        length = int(stated)
         if not fill(end + 4 + length):
             return
         yield {f: fields.get(k) for k, f in _FIELDS.items()} | {"block": bytes(data[end + 4 : end + 4 + length])}
@@ -160,7 +175,10 @@ def parse_records(content: bytes) -> Iterator[dict]:
 
 
 def read_records(spark: SparkSession, path: str, most: int = 8 << 20) -> DataFrame:
-    """Every record of the archives in ``path``, one row each, in batches of about ``most`` bytes."""
+    """Every record of the archives in ``path``, one row each, in batches of about ``most`` bytes.
+
+    A folder without records gives no rows. A file is one value to Spark and must be smaller than 2 GB, as archives usually are.
+    """
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
@@ -183,19 +201,20 @@ def reassemble(records: DataFrame) -> DataFrame:
 
     Segments are grouped by the identifier of the first record and ordered by number. A block is
     complete if the numbers run from 1 without gap and the lengths add up to the stated total; the
-    block of an incomplete one is null. A record that neither has a segment number nor continues another is
+    block of an incomplete one is null. A segment that is there twice, in two archives say, counts once; a number or total that is no
+    number makes its block incomplete. A record that neither has a segment number nor continues another is
     complete as it is and is not shuffled.
     """
     alone = F.col("segment").isNull() & F.col("origin").isNull()
     singles = records.filter(alone & F.col("type").isNotNull()).select("id", "type", "uri", "refers", "digest", F.lit(True).alias("complete"), "block")
     records = records.filter(~alone)
-    part = F.struct(F.coalesce(F.col("segment").cast("int"), F.lit(1)).alias("n"), F.col("total").cast("long").alias("total"), "block")
+    part = F.struct(F.when(F.col("segment").isNull(), 1).otherwise(F.coalesce(F.col("segment").try_cast("int"), F.lit(-1))).alias("n"), F.col("total").try_cast("long").alias("total"), "block")
     first = F.col("origin").isNull()
     one = lambda c: F.max(F.when(first, F.col(c))).alias(c)
     grouped = records.groupBy(F.coalesce("origin", "id").alias("key")).agg(
         one("type"), one("uri"), one("refers"), one("digest"),
         F.max(F.when(first, F.col("segment"))).isNotNull().alias("segmented"),
-        F.sort_array(F.collect_list(part)).alias("parts"),
+        F.sort_array(F.array_distinct(F.collect_list(part))).alias("parts"),
     )
     sizes = F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + F.octet_length(p["block"]))
     numbered = F.transform("parts", lambda p: p["n"]) == F.sequence(F.lit(1), F.size("parts"))
