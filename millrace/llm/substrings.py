@@ -4,7 +4,8 @@ All windows are hashed, but only those that can repeat are shuffled: equal windo
 short run of words at the same place (their anchor), so a window whose anchor value occurs once in the corpus occurs
 once itself. Windows that share an anchor are one row in that first count. The hashes of the remaining
 windows are counted in Spark, and the repeated ones cut their words out of the texts. Of documents with
-equal texts one sends its windows; the others are known to repeat.
+equal texts one sends its windows; the others are known to repeat. Texts without such windows, or without repeated ones, are
+told by a filter of fixed size and skip the shuffles that bring windows and texts together.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import common as C
+from millrace.llm.sieve import sieve
 from millrace.llm.words import Words, rolling, slices
 from millrace.workspace import settle
 
@@ -56,37 +58,37 @@ def _anchor_rows(texts: DataFrame, window: int, gram: int) -> DataFrame:
                 if found:
                     doc, value, start, count = (np.concatenate(x) for x in zip(*found))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(value.view(np.int64)), part.column("d").take(pa.array(doc)), part.column("bytes").take(pa.array(doc)), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))],
-                        ["anchor", "d", "bytes", "start", "count"],
+                        [pa.array(value.view(np.int64)), part.column("d").take(pa.array(doc)), part.column("d2").take(pa.array(doc)), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))],
+                        ["anchor", "d", "d2", "start", "count"],
                     )
 
-    return texts.select("d", "bytes", "body").mapInArrow(compute, "anchor long, d long, bytes int, start int, count int")
+    return texts.select("d", "d2", "body").mapInArrow(compute, "anchor long, d long, d2 long, start int, count int")
 
 
 def _window_rows(texts: DataFrame, window: int) -> DataFrame:
-    """hash, place of the text and first word of each window in the text's runs."""
+    """hash (128 bits), place of the text and first word of each window in the text's runs."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "body"):
                 words = Words(part.column("body"), lower=False)
-                hashes, runs, text = words.hashes(), part.column("runs"), part.column("place")
-                values, places, starts = [], [], []
+                hashes, runs, text = (words.hashes(0), words.hashes(1)), part.column("runs"), part.column("place")
+                values, places, starts = ([], []), [], []
                 for i, (a, b) in enumerate(zip(words.first[:-1], words.first[1:])):
-                    rolled = rolling(hashes[a:b], window)
                     spans = runs[i].values.flatten()
                     first, count = (np.asarray(x) for x in spans)
                     at = np.concatenate([np.arange(f, f + c) for f, c in zip(first, count)])
-                    values.append(rolled[at])
+                    for family in (0, 1):
+                        values[family].append(rolling(hashes[family][a:b], window)[at])
                     places.append(np.full(len(at), text[i].as_py()))
                     starts.append(at)
-                if values:
+                if places:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(values).view(np.int64)), pa.array(np.concatenate(places)), pa.array(np.concatenate(starts).astype(np.int32))],
-                        ["hash", "place", "start"],
+                        [*(pa.array(np.concatenate(v).view(np.int64)) for v in values), pa.array(np.concatenate(places)), pa.array(np.concatenate(starts).astype(np.int32))],
+                        ["hash", "hash2", "place", "start"],
                     )
 
-    return texts.select("place", "runs", "body").mapInArrow(compute, "hash long, place long, start int")
+    return texts.select("place", "runs", "body").mapInArrow(compute, "hash long, hash2 long, place long, start int")
 
 
 CUT = "struct<n_words: long, kept: string, spans: array<struct<start: int, end: int>>>"
@@ -124,28 +126,33 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_column: str = "doc_id",
     words that covers it has the same words as a window that starts anywhere else, in the same text or
     another, as the texts were given. Rows with equal texts repeat each other, whatever their identifiers. Null
     and empty texts, and texts of fewer words, lose nothing. An empty table gives no rows.
-    Windows are known by 64-bit hashes.
+    Texts and windows are known by 128-bit hashes. Names that begin with ``mr_`` are reserved.
     """
     body = C.whole(F.col(text_column))
-    texts = docs.withColumns({"mr_body": body, "mr_d": F.xxhash64(body), "mr_bytes": F.octet_length(body)})
-    names = {"mr_body": "body", "mr_d": "d", "mr_bytes": "bytes"}
-    plain = texts.select(F.col(id_column).alias("id"), *[F.col(k).alias(v) for k, v in names.items()])
+    first, second = C.hash_pair(body)
+    texts = docs.withColumns({"mr_body": body, "mr_d": first, "mr_d2": second})
+    plain = texts.select(F.col(id_column).alias("id"), F.col("mr_body").alias("body"), F.col("mr_d").alias("d"), F.col("mr_d2").alias("d2"))
 
-    copies = plain.groupBy("d", "bytes").agg(F.min("id").alias("least"), (F.count(F.lit(1)) > 1).alias("copied"))
+    copies = plain.groupBy("d", "d2").agg(F.min("id").alias("least"), (F.count(F.lit(1)) > 1).alias("copied"))
     rows = _anchor_rows(plain, window, min(ANCHOR, window))
     again = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
-    runs = rows.join(C.apart(again), "anchor", "left_semi").select("d", "bytes", "start", "count").distinct()
-    runs = runs.groupBy("d", "bytes").agg(F.collect_list(F.struct("start", "count")).alias("runs"))
-    places = settle(runs.join(copies, ["d", "bytes"]).withColumn("place", F.monotonically_increasing_id()), "repeat-places")
-
-    key = [F.col("mr_d") == F.col("d"), F.col("mr_bytes") == F.col("bytes")]
-    senders = texts.join(places, key).filter(F.col(id_column).eqNullSafe(F.col("least")))
-    sent = _window_rows(senders.select("place", "runs", F.col("mr_body").alias("body")), window)
-    twice = sent.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash")
-    starts = sent.join(C.apart(twice), "hash", "left_semi").groupBy("place").agg(F.collect_set("start").alias("starts"))
-    hit = places.select("d", "bytes", "place", "copied").join(starts, "place", "left").filter("copied or starts is not null").drop("place")
-
-    joined = texts.join(hit, key, "left").withColumn("mr_cut", _cut_column(window)("mr_body", "starts", F.coalesce("copied", F.lit(False))))
-    return joined.select(
+    runs = rows.join(C.apart(again), "anchor", "left_semi").select("d", "d2", "start", "count").distinct()
+    runs = runs.groupBy("d", "d2").agg(F.collect_list(F.struct("start", "count")).alias("runs"))
+    places = settle(runs.join(copies, ["d", "d2"]).withColumn("place", F.monotonically_increasing_id()), "repeat-places")
+
+    senders = plain.filter(sieve(places, "d")(F.col("d"))).join(places, ["d", "d2"]).filter(F.col("id").eqNullSafe(F.col("least")))
+    sent = _window_rows(senders.select("place", "runs", "body"), window)
+    twice = sent.groupBy("hash", "hash2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash", "hash2")
+    starts = sent.join(C.apart(twice), ["hash", "hash2"], "left_semi").groupBy("place").agg(F.collect_set("start").alias("starts"))
+    hit = places.select("d", "d2", "place", "copied").join(starts, "place", "left").filter("copied or starts is not null").drop("place")
+    hit = settle(hit, "repeat-hit")
+
+    may_be_hit = sieve(hit, "d")(F.col("mr_d"))
+    key = [F.col("mr_d") == F.col("d"), F.col("mr_d2") == F.col("d2")]
+    some = texts.filter(may_be_hit).join(hit, key, "left").drop("d", "d2")
+    none = texts.filter(~may_be_hit).withColumns({"copied": F.lit(False), "starts": F.lit(None).cast("array<int>")})
+    cut = _cut_column(window)("mr_body", "starts", F.coalesce("copied", F.lit(False)))
+    parts = [part.withColumn("mr_cut", cut).select(
         *[F.col(f"`{c}`") for c in docs.columns], F.col("mr_cut.n_words").alias("mr_words"), F.col("mr_cut.spans").alias("mr_spans"), F.col("mr_cut.kept").alias("mr_kept"),
-    )
+    ) for part in (some, none)]
+    return parts[0].unionByName(parts[1])

@@ -110,7 +110,7 @@ def rolling(values: np.ndarray, length: int, base: int = _ROLL) -> np.ndarray:
     return mix(out)
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20):
+def slices(batch: pa.RecordBatch, column: str, most: int = 2 << 20):
     """Cut a batch so that the texts of a piece hold about ``most`` bytes; a longer text is a piece."""
     _, bounds = text_bytes(batch.column(column))
     at = 0
