@@ -29,6 +29,10 @@ SCOPED_GROUP = ("SOUTHLAKE", "SOUTH LAKE")  # scope text and the group it stands
 # Fixed values
 NET_SHARE = 0.82  # share of the on-demand price that is charged on
 MONTHS_PER_YEAR, HOURS_PER_MONTH = 12, 730  # to spread a price paid for a year up front
+RESERVATION_FEE = "RIFee"  # item types of bill lines
+PLAN_COVERED, PLAN_FEE = "SavingsPlanCoveredUsage", "SavingsPlanRecurringFee"
+HEAVY_USAGE = "HeavyUsage"  # in the usage type of reserved nodes
+RESERVED_FAMILY, CROSS_CHARGE = "Reserved Nodes", "Cross Charge"  # names in reports
 
 
 # ------------------------------------------------------------------- bill lines
@@ -38,7 +42,7 @@ def billable() -> Column:
     """Lines that cost something, and the free lines of a reservation fee."""
     return (
         (F.col("net_cost") != 0) | (F.col("reservation_cost") != 0) | (F.col("plan_cost") != 0)
-        | ((F.col("net_cost") == 0) & (F.col("item_type") == "RIFee"))
+        | ((F.col("net_cost") == 0) & (F.col("item_type") == RESERVATION_FEE))
     )
 
 
@@ -225,16 +229,16 @@ def _balanced(rows: DataFrame, keys: Sequence[str], measures: Sequence[str], ite
 def plan_adjustments(benefit: DataFrame) -> DataFrame:
     """One adjustment line per group and one balancing line per month; each month sums to zero."""
     rows = benefit.select(
-        "year", "month", "usage_month", "tag_group2", F.lit("SavingsPlanCoveredUsage").alias("item_type"),
+        "year", "month", "usage_month", "tag_group2", F.lit(PLAN_COVERED).alias("item_type"),
         F.col("hours").cast("double").alias("usage_amount"), "net_cost", F.col("actual_ondemand").alias("ondemand_cost"), "ondemand_rate",
     )
-    return _balanced(rows, ["year", "month", "usage_month"], ["usage_amount", "net_cost", "ondemand_cost"], "SavingsPlanRecurringFee")
+    return _balanced(rows, ["year", "month", "usage_month"], ["usage_amount", "net_cost", "ondemand_cost"], PLAN_FEE)
 
 
 def node_usage(fact: DataFrame, reserved_patterns: Sequence[str]) -> DataFrame:
     """Nodes in use per month, and how many of them are reserved."""
     reserved = F.coalesce(R.matches_any(F.col("resource_id"), reserved_patterns), F.lit(False))
-    heavy = F.col("usage_type").like("%HeavyUsage%")
+    heavy = F.col("usage_type").like(f"%{HEAVY_USAGE}%")
     hours = hours_of_month("usage_time")
     picked = fact.filter(
         (F.col("service").like("%Warehouse%") | F.col("service").like("%Database%"))
@@ -242,7 +246,7 @@ def node_usage(fact: DataFrame, reserved_patterns: Sequence[str]) -> DataFrame:
     )
     grouped = picked.groupBy(
         "year", "month", hours.alias("hours"), month_start("usage_time").alias("usage_month"), "tag_group2", "service",
-        "service_name", F.when(heavy, "Reserved Nodes").otherwise(F.col("family")).alias("family"),
+        "service_name", F.when(heavy, RESERVED_FAMILY).otherwise(F.col("family")).alias("family"),
         F.when(heavy, F.col("usage_type")).otherwise(F.col("instance_type")).alias("instance_type"),
         "usage_type", F.coalesce("ondemand_rate", F.lit(0.0)).alias("ondemand_rate"),
     ).agg(
@@ -257,11 +261,11 @@ def node_usage(fact: DataFrame, reserved_patterns: Sequence[str]) -> DataFrame:
 
 def node_benefit(nodes: DataFrame) -> DataFrame:
     """Nodes beside the reservation of their group, month and instance type."""
-    held = nodes.filter("family = 'Reserved Nodes'").select(
+    held = nodes.filter(F.col("family") == RESERVED_FAMILY).select(
         "tag_group2", "year", "month", F.col("instance_type").alias("_type"), F.col("reserved_nodes").alias("_nodes"),
         F.col("net_cost").alias("_net"),
     )
-    own = nodes.filter("family <> 'Reserved Nodes'").drop("reserved_nodes")
+    own = nodes.filter(F.col("family") != RESERVED_FAMILY).drop("reserved_nodes")
     suffix = F.coalesce(F.nullif("instance_type", F.lit("")), F.lit(" serverless"))
     joined = R.suffix_lookup(own, held, ["tag_group2", "year", "month"], suffix, "_type")
     reserved, net = F.coalesce("_nodes", F.lit(0.0)), F.coalesce("_net", F.lit(0.0))
@@ -281,7 +285,7 @@ def node_adjustments(benefit: DataFrame) -> DataFrame:
         F.sum("nodes").alias("usage_amount"), F.sum("net_cost").alias("net_cost"),
         F.sum("actual_ondemand").alias("ondemand_cost"), F.sum(F.col("ondemand_rate") * F.col("nodes")).alias("ondemand_rate"),
     ).withColumn("item_type", F.lit("DiscountedUsage"))
-    return _balanced(rows, keys, ["usage_amount", "net_cost", "ondemand_cost"], "RIFee")
+    return _balanced(rows, keys, ["usage_amount", "net_cost", "ondemand_cost"], RESERVATION_FEE)
 
 
 # ---------------------------------------------------------------------- assets
@@ -409,7 +413,7 @@ def direct_usage(fact: DataFrame, group: Column, name: Column, keys: Sequence[st
 def cross_charge(fact: DataFrame, group: str) -> DataFrame:
     """Lines of one group to be charged on, at the net share of the on-demand price."""
     return fact.filter((F.col("tag_group2") == group) & (F.col("ondemand_cost") != 0)).select(
-        "line_id", "year", "month", month_start("usage_time").alias("charge_month"), F.lit("Cross Charge").alias("charge_type"),
+        "line_id", "year", "month", month_start("usage_time").alias("charge_month"), F.lit(CROSS_CHARGE).alias("charge_type"),
         "tag_group2", "tag_name", F.col("resource_id").alias("resource"), "tag_local_env", "tag_local_client", "service", "family",
         "usage_amount", (F.col("ondemand_cost") * NET_SHARE).alias("net_ondemand_cost"),
     )

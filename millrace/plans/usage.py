@@ -32,6 +32,7 @@ DEFAULT_LIMIT = 95.0  # hard limit of an active contract that names none
 LIMIT_SHARE = 0.95  # share of the committed sum used as limit where the limit is zero
 ALERT_SHARE = 0.95  # share of the month's budget above which the budget alert is raised
 BUDGET_ALERT, LIMIT_ALERT = 10, 100
+VECTOR_PRODUCT, SERVING_PRODUCT = "VECTOR_SEARCH", "MODEL_SERVING"  # products of usage records that have endpoints
 
 
 @dataclass(frozen=True)
@@ -58,8 +59,8 @@ def entity_id() -> Column:
     return F.coalesce(
         named("job", origin["job"]),
         named("warehouse", origin["warehouse"]),
-        F.when(origin["endpoint"].isNotNull() & (product == "VECTOR_SEARCH"), named("vector", origin["endpoint_name"])),
-        F.when(product == "MODEL_SERVING", named("model", served)),
+        F.when(origin["endpoint"].isNotNull() & (product == VECTOR_PRODUCT), named("vector", origin["endpoint_name"])),
+        F.when(product == SERVING_PRODUCT, named("model", served)),
         named("notebook", origin["notebook"]),
         named("pool", origin["pool"]),
         named("flow", origin["flow"]),

@@ -119,7 +119,7 @@ def test_update_and_delete_leave_null_conditions_alone(spark):
 
 def test_restore_brings_back_every_kind_of_change(spark):
     log = spark.createDataFrame(
-        [(1, 1, "insert", "a"), (2, 1, "insert", "b"), (3, 1, "insert", None), (1, 2, "update", "z"), (2, 2, "delete", None), (4, 2, "insert", "n")],
+        [(1, 1, "insert", "a"), (2, 1, "insert", "b"), (3, 1, "insert", None), (1, 2, "update", "z"), (2, 2, "delete", None), (4, 2, "insert", "n"), (6, 0, "insert", "x"), (6, 1, "delete", None)],
         "id int, version int, op string, v string",
     )
     back = versions.restore(log, ["id"], 1, 3)
