@@ -13,9 +13,13 @@ import sys
 import time
 
 from millrace import catalog
-from millrace.catalog.registry import run
+from millrace.catalog import bill, standins, usage
+from millrace.catalog.registry import Tables, run
 from millrace.session import local_session
 
+#: Tables that several queries read; built first and timed on lines of their own.
+STORED = {"stored_bill_source": standins.bill_source, "stored_bill_fact": bill.stored_fact, "stored_usage_fact": usage.stored_fact}
+
 HEADLINE = [
     # relational core
     "src_02", "flt_08", "flt_09", "jon_02", "jon_05", "jon_06", "jon_07", "jon_12", "jon_13", "jon_14",
@@ -40,11 +44,13 @@ def main() -> None:
     spark.read.parquet(f"{root}/nation.parquet").count()  # start-up is not a query
     seconds: dict[str, float] = {}
     failed: dict[str, str] = {}
-    for name in names:
+    stored = STORED if not asked else {}
+    for name in [*stored, *names]:
         start = time.perf_counter()
         try:
             # every column of every row is computed, nothing is sent to the driver
-            run(name, spark, root).write.format("noop").mode("overwrite").save()
+            df = stored[name](Tables(spark, root)) if name in stored else run(name, spark, root)
+            df.write.format("noop").mode("overwrite").save()
             seconds[name] = round(time.perf_counter() - start, 3)
         except Exception as error:  # noqa: BLE001
             failed[name] = f"{type(error).__name__}: {str(error)[:200]}"

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace import workspace
 from millrace.catalog import standins as S
 from millrace.catalog.registry import query
 from millrace.operators import rules, validity
@@ -139,10 +140,12 @@ def group_cost(t):
 @query("jon_10", S.with_sql(CONTRACT_SQL, COST_SQL) + """SELECT strftime(month_start, '%Y-%m-%d') AS month_start, grp, cost, contract, budget
   FROM cost LEFT JOIN contracts ON grp LIKE prefix || '%' AND month_start >= date_from AND month_start <= date_to""")
 def prefix_and_range(t):
-    """Contracts are spread over their months, so the join has an equality key."""
-    terms = validity.by_month(contracts(t), "date_from", "date_to")
-    on = (F.col("month_start") == F.col("valid_month")) & F.startswith(F.col("grp"), F.col("prefix"))
-    return group_cost(t).join(terms, on, "left").select("month_start", "grp", "cost", "contract", "budget")
+    """Contracts are spread over their months; a group meets those of its month that begin like it, found by equality."""
+    cost = workspace.settle(group_cost(t), "group-cost")
+    terms = validity.by_month(contracts(t), "date_from", "date_to").withColumn("pattern", F.concat("prefix", F.lit("%")))
+    names = cost.select("month_start", "grp").distinct()
+    own = rules.like_candidates(names, "month_start", "grp", terms, "valid_month", "pattern").filter(F.startswith("grp", F.col("prefix")))
+    return cost.join(own.select("month_start", "grp", "contract", "budget"), ["month_start", "grp"], "left").select("month_start", "grp", "cost", "contract", "budget")
 
 
 @query("jon_11", S.with_sql(CONTRACT_SQL, COST_SQL) + """SELECT strftime(month_start, '%Y-%m-%d') AS month_start, grp, cost, contract

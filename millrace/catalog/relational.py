@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace import workspace
@@ -193,9 +196,10 @@ def nulls_last(t):
     return sorted_.select("event_id", "revenue", F.coalesce(F.col("place") >= F.lit(end).cast("bigint"), F.lit(False)).alias("at_end"))
 
 
-@query("ord_03", "SELECT 100::BIGINT AS kept")
+@query("ord_03", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey, o_totalprice LIMIT 100")
 def limited(t):
-    return t.lineitem.limit(100).agg(F.count("*").alias("kept"))
+    """The limit is the feature; an order makes the kept rows the same in every run."""
+    return t.orders.select("o_orderkey", "o_totalprice").orderBy("o_orderkey", "o_totalprice").limit(100)
 
 
 @query("ord_04", """SELECT o_custkey, round(sum(o_totalprice), 2) AS spent FROM orders GROUP BY 1 ORDER BY spent DESC, o_custkey LIMIT 10""")
@@ -237,8 +241,17 @@ def union_distinct(t):
     return pair("l_quantity < 25").union(pair("l_quantity >= 20")).distinct()
 
 
-@query("set_04", "SELECT true AS same_as_itself, false AS same_as_other, count(*) AS nations FROM nation")
+SHAPED = ["nation", "region", "customer", "supplier", "part", "orders"]
+
+
+@query("set_04", " UNION ALL ".join(
+    f"SELECT '{n}' AS name, {n == 'nation'} AS like_nation, true AS like_copy, count(*) AS row_count FROM {n}" for n in SHAPED))
 def schema_equality(t):
-    nation, region = t.nation, t.region
-    same = nation.union(nation).schema == nation.schema
-    return nation.agg(F.lit(same).alias("same_as_itself"), F.lit(nation.schema == region.schema).alias("same_as_other"), F.count("*").alias("nations"))
+    """Each table's schema against that of another table and of its own written copy."""
+    shape, parts = t.nation.schema, []
+    for name in SHAPED:
+        table = getattr(t, name)
+        copy = workspace.settle(table.limit(0), "copy").schema
+        same = lambda a, b: F.lit([(f.name, f.dataType) for f in a] == [(f.name, f.dataType) for f in b])
+        parts.append(table.agg(F.lit(name).alias("name"), same(table.schema, shape).alias("like_nation"), same(table.schema, copy).alias("like_copy"), F.count("*").alias("row_count")))
+    return reduce(DataFrame.unionByName, parts)

@@ -12,7 +12,7 @@ SINGLE = {
     "agg_12": {"event_history"}, "agg_21": {"updated_at"}, "agg_22": {"distinct_sum"}, "str_02": {"missing", "head"}, "str_09": {"no_digits"},
     "dtm_04": {"year", "month"}, "dtm_08": {"month"}, "dtm_12": {"clock_set"}, "map_01": {"absent"}, "jsn_01": {"missing"}, "bin_01": {"bytes"},
     "cur_17": {"service"}, "cur_21": {"tag_group2", "charge_type"}, "cur_22": {"billing_entity", "tag_group2"}, "cur_30": {"family", "service"},
-    "cur_32": {"usage_month", "hours"}, "agg_04": {"within_bound"}, "agg_23b": {"within_bound"},
+    "set_04": {"like_copy"}, "snk_19": {"stored_part", "repeatable"}, "cur_32": {"usage_month", "hours"}, "agg_04": {"within_bound"}, "agg_23b": {"count", "within_bound"},
 }
 
 
