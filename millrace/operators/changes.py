@@ -59,8 +59,8 @@ def merge_into(
     for k in keys:
         same = F.col(f"t.{k}") == F.col(f"s.{k}")
         on = same if on is None else on & same
-    unpacked = unpacked.hint("rebalance")  # both sides fresh from a shuffle, so that a hot target key can be split
-    joined = target.alias("t").join(unpacked.alias("s"), on, "left")
+    dealt = unpacked.hint("rebalance")  # both sides fresh from a shuffle, so that a hot target key can be split
+    joined = target.alias("t").join(dealt.alias("s"), on, "left")
     both = F.col("_in_source").isNotNull()
     yes = F.lit(True)
     from_source = {c: F.col(f"s.{c}") for c in columns if c in source.columns}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.streaming import ingest
+from millrace.workspace import switch
 
 
 def save_table(df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = (), mode: str = "overwrite") -> DataFrame:
@@ -27,11 +29,17 @@ def _shape(df: DataFrame) -> list[tuple[str, str]]:
 
 
 def overwrite_checked(df: DataFrame, spark: SparkSession, path: str) -> DataFrame:
-    """Replace the rows at ``path``; refuse a batch whose columns differ."""
+    """Replace the rows at ``path``; refuse a batch whose columns differ.
+
+    The new rows are written beside the old ones and take their place when they are complete: a batch that breaks leaves
+    the table as it was, and may itself be read from the table.
+    """
     existing = spark.read.parquet(path)
     if _shape(existing) != _shape(df):
         raise ValueError(f"schema differs: table {_shape(existing)}, batch {_shape(df)}")
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    staged = f"{path.rstrip('/')}-next-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(staged)
+    switch(spark, staged, path)
     return spark.read.parquet(path)
 
 

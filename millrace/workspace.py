@@ -39,6 +39,22 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def switch(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a finished folder in the place of another by two renames; the old one goes last.
+
+    Between the renames a reader finds no folder, which is shorter than any write but not nothing; where even that
+    matters, publish through a ledger (``plans.monthly.Published``).
+    """
+    place = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    fs, last = place(path).getFileSystem(spark._jsc.hadoopConfiguration()), f"{path.rstrip('/')}-last-{uuid.uuid4().hex[:8]}"
+    if fs.exists(place(path)) and not fs.rename(place(path), place(last)):
+        raise OSError(f"{path} cannot be moved away")
+    if not fs.rename(place(staged), place(path)):
+        fs.rename(place(last), place(path))
+        raise OSError(f"{staged} cannot be moved to {path}")
+    fs.delete(place(last), True)
+
+
 def fresh_name(label: str) -> str:
     """A table, view or function name nobody has used yet."""
     return f"mr_{label}_{uuid.uuid4().hex[:12]}"

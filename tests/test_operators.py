@@ -189,6 +189,12 @@ def test_overwrite_refuses_other_columns(spark):
     spark.createDataFrame([(1,)], "a int").write.parquet(path)
     with pytest.raises(ValueError, match="schema differs"):
         sink.overwrite_checked(spark.createDataFrame([("1",)], "a string"), spark, path)
+    with pytest.raises(PySparkException):  # breaks half way: the old rows stay
+        sink.overwrite_checked(spark.range(9).select(F.when(F.col("id") < 8, 1).otherwise(F.raise_error(F.lit("broken")).cast("int")).alias("a")), spark, path)
+    assert rows(spark.read.parquet(path)) == [(1,)]
+    table = spark.read.parquet(path)  # a batch may read the table that it replaces
+    assert rows(sink.overwrite_checked(table.unionByName(table.select((F.col("a") + 1).alias("a"))), spark, path)) == [(1,), (2,)]
+    assert rows(spark.read.parquet(path)) == [(1,), (2,)]
 
 
 def test_strict_csv_stops_at_bad_line(spark):
