@@ -289,15 +289,16 @@ class _Search:
         closest = met.groupBy("x").agg(F.max(F.struct("lists", "y")).alias("t")).select("x", F.col("t.y").alias("y"))
         first = settle(_pairs(closest), "near-first")
         counted = self.confirmed(first)
-        others = self.apart(_pairs(met).join(first, ["a", "b"], "left_anti"), connect(counted.filter("linked").select("a", "b")))
-        others = settle(others, "near-others")
-        counted, tried = counted.unionByName(self.confirmed(others)), first.unionByName(others)
-        links = counted.filter("linked").select("a", "b")
-        placed = posts.join(connect(links), "node", "left").select("token", "node", F.coalesce("component", "node").alias("component"))
+        linked = lambda pairs: pairs.filter("linked").select("a", "b")
+        components = connect(linked(counted))
+        others = settle(self.apart(_pairs(met).join(first, ["a", "b"], "left_anti"), components), "near-others")
+        between = self.confirmed(others)
+        components = extended(components, linked(between))
+        counted, tried = counted.unionByName(between), first.unionByName(others)
+        placed = posts.join(components, "node", "left").select("token", "node", F.coalesce("component", "node").alias("component"))
         open_nodes = settle(self.unsettled(settle(placed, "near-placed"), "component", near.short + 1).select("node", "component").distinct(), "near-open")
         rest = self.rest(open_nodes, counted).join(tried, ["a", "b"], "left_anti")  # pairs left out of both are in one component
-        more = self.confirmed(settle(rest, "near-rest")).filter("linked").select("a", "b")
-        return connect(links.unionByName(more))
+        return extended(components, linked(self.confirmed(settle(rest, "near-rest"))))
 
 
 def connect(links: DataFrame) -> DataFrame:
@@ -318,6 +319,20 @@ def connect(links: DataFrame) -> DataFrame:
             return labels
 
 
+def extended(components: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (node, component) after more links: only whole components and nodes outside them are connected again."""
+    of = lambda c: components.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
+    ends = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    ends = settle(ends.filter("a != b").distinct(), "near-ends")
+    if ends.isEmpty():
+        return components
+    over = connect(ends)
+    moved = components.join(over.select(F.col("node").alias("component"), F.col("component").alias("low")), "component", "left")
+    moved = moved.select("node", F.coalesce("low", "component").alias("component"))
+    # a component's label is one of its nodes, so what is left are nodes that were in none
+    return settle(moved.unionByName(over.join(components, "node", "left_anti").select("node", "component")), "near-components")
+
+
 def near_duplicates(docs: DataFrame, near: Near = Near(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
