@@ -53,8 +53,7 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    coded = bpe.encode_documents(texts(spark, sf_dir), ranks, pattern).drop("text")
-    both = bpe.decode_documents(coded, ranks, pattern)
+    both = bpe.round_trip_documents(texts(spark, sf_dir), ranks, pattern)
     ids = F.array_join(F.col("token_ids").cast("array<string>"), " ")
     return both.select(
         "doc_id", F.size("token_ids").cast("long").alias("n_tokens"), C.sha256(ids).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),

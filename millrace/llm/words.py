@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -118,3 +120,16 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 2 << 20):
         to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + most, side="right")) - 1)
         yield batch.slice(at, to - at)
         at = to
+
+
+def by_slices(batches: Iterable[pa.RecordBatch], column: str, work: Callable[[pa.RecordBatch], Iterator], most: int = 1 << 19) -> Iterator:
+    """What ``work`` yields for each slice of each batch, in order; after each batch its memory goes back to the system.
+
+    Spark keeps idle workers for the next task. Without this each holds on to the most that any batch ever took.
+    """
+    for batch in batches:
+        for part in slices(batch, column, most):
+            yield from work(part)
+        batch = part = None
+        for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+            pool.release_unused()

@@ -1,13 +1,15 @@
 """Texts of megabytes, without a cut for some operators, and extra columns with clashing names."""
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, exact_dedup, line_dedup
+from millrace.llm import bpe, chat, exact_dedup, line_dedup, queries
 from tests.llm.test_operators import sha
 
 LONG = "Some words of a line that is long enough to count\n" * 60_000  # 3 MB
+SMALL = "/root/testdata/sf0.001"
 NO_CUT = "x" * 40_000 + "é" * 40_000
 
 
@@ -46,3 +48,29 @@ def test_long_turns_with_other_columns(spark):
     row = chat.format_conversations(turns).select(
         chat.read_turns(F.col("formatted")).alias("t"), chat.read_learned(F.col("segments")).alias("l"), "valid").first()
     assert [(t.role, t.text) for t in row.t] == [("user", said), ("assistant", said + "!")] and row.l == said + "!" and row.valid
+
+
+def test_round_trip_is_encode_then_decode(docs):
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    apart = bpe.decode_documents(bpe.encode_documents(docs, ranks, pattern), ranks, pattern)
+    at_once = bpe.round_trip_documents(docs, ranks, pattern)
+    assert at_once.columns == apart.columns
+    assert sorted(map(str, at_once.collect())) == sorted(map(str, apart.collect()))
+    assert at_once.select("doc_id", "token_ids", F.col("token_ids").alias("again"), "decoded")._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_token_queries_run_one_worker_a_task(spark):
+    """Two nodes made four workers in an executor of two cores: over its memory in the pipeline."""
+    import corpus_pipeline
+
+    made = [queries.op4_byte_bpe(spark, SMALL), corpus_pipeline.tokens(spark, queries.table(spark, SMALL, "documents"), SMALL)]
+    assert [q._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") for q in made] == [1, 1]
+
+
+def test_batches_of_megabytes_are_coded_in_slices():
+    texts = ["word " * 20_000] * 50 + [None, ""] + ["é" * 300_000]
+    enc = bpe.encoding(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    parts = list(bpe.text_slices(iter([pa.array(texts), pa.array([], pa.string())]), lambda part: bpe.ids_array(enc, part, 1 << 16)))
+    assert max(len(p) for p in parts) <= 7 and sum(map(len, parts)) == 53
+    rows = [r for p in parts for r in p.to_pylist()]
+    assert rows == [enc.encode_ordinary(t or "") for t in texts]
