@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import common as C
 from millrace.llm.sieve import sieve
-from millrace.llm.words import Words, rolling, slices
+from millrace.llm.words import Words, by_slices, rolling
 from millrace.workspace import settle
 
 ANCHOR = 8  # words
@@ -45,76 +45,84 @@ def anchors(hashes: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.
 
 
 def _anchor_rows(texts: DataFrame, window: int, gram: int) -> DataFrame:
-    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "body"):
-                words = Words(part.column("body"), lower=False)
-                hashes = words.hashes()
-                found = []
-                for i, (a, b) in enumerate(zip(words.first[:-1], words.first[1:])):
-                    if b - a >= window:
-                        value, start, count = anchors(hashes[a:b], window, gram)
-                        found.append((np.full(len(value), i), value, start, count))
-                if found:
-                    doc, value, start, count = (np.concatenate(x) for x in zip(*found))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(value.view(np.int64)), part.column("d").take(pa.array(doc)), part.column("d2").take(pa.array(doc)), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))],
-                        ["anchor", "d", "d2", "start", "count"],
-                    )
-
-    return texts.select("d", "d2", "body").mapInArrow(compute, "anchor long, d long, d2 long, start int, count int")
+    def compute(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        words = Words(part.column("body"), lower=False)
+        hashes = words.hashes()
+        found = []
+        for i, (a, b) in enumerate(zip(words.first[:-1], words.first[1:])):
+            if b - a >= window:
+                value, start, count = anchors(hashes[a:b], window, gram)
+                found.append((np.full(len(value), i), value, start, count))
+        if found:
+            doc, value, start, count = (np.concatenate(x) for x in zip(*found))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(value.view(np.int64)), part.column("d").take(pa.array(doc)), part.column("d2").take(pa.array(doc)), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))],
+                ["anchor", "d", "d2", "start", "count"],
+            )
+
+    return texts.select("d", "d2", "body").mapInArrow(lambda batches: by_slices(batches, "body", compute), "anchor long, d long, d2 long, start int, count int")
 
 
 def _window_rows(texts: DataFrame, window: int) -> DataFrame:
     """hash (128 bits), place of the text and first word of each window in the text's runs."""
 
-    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "body"):
-                words = Words(part.column("body"), lower=False)
-                hashes, runs, text = (words.hashes(0), words.hashes(1)), part.column("runs"), part.column("place")
-                values, places, starts = ([], []), [], []
-                for i, (a, b) in enumerate(zip(words.first[:-1], words.first[1:])):
-                    spans = runs[i].values.flatten()
-                    first, count = (np.asarray(x) for x in spans)
-                    at = np.concatenate([np.arange(f, f + c) for f, c in zip(first, count)])
-                    for family in (0, 1):
-                        values[family].append(rolling(hashes[family][a:b], window)[at])
-                    places.append(np.full(len(at), text[i].as_py()))
-                    starts.append(at)
-                if places:
-                    yield pa.RecordBatch.from_arrays(
-                        [*(pa.array(np.concatenate(v).view(np.int64)) for v in values), pa.array(np.concatenate(places)), pa.array(np.concatenate(starts).astype(np.int32))],
-                        ["hash", "hash2", "place", "start"],
-                    )
-
-    return texts.select("place", "runs", "body").mapInArrow(compute, "hash long, hash2 long, place long, start int")
+    def compute(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        words = Words(part.column("body"), lower=False)
+        hashes, runs, text = (words.hashes(0), words.hashes(1)), part.column("runs"), part.column("place")
+        values, places, starts = ([], []), [], []
+        for i, (a, b) in enumerate(zip(words.first[:-1], words.first[1:])):
+            spans = runs[i].values.flatten()
+            first, count = (np.asarray(x) for x in spans)
+            at = np.concatenate([np.arange(f, f + c) for f, c in zip(first, count)])
+            for family in (0, 1):
+                values[family].append(rolling(hashes[family][a:b], window)[at])
+            places.append(np.full(len(at), text[i].as_py()))
+            starts.append(at)
+        if places:
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(np.concatenate(v).view(np.int64)) for v in values), pa.array(np.concatenate(places)), pa.array(np.concatenate(starts).astype(np.int32))],
+                ["hash", "hash2", "place", "start"],
+            )
+
+    return texts.select("place", "runs", "body").mapInArrow(lambda batches: by_slices(batches, "body", compute), "hash long, hash2 long, place long, start int")
 
 
 CUT = "struct<n_words: long, kept: string, spans: array<struct<start: int, end: int>>>"
 
 
-def _cut_column(window: int):
-    kind = pa.struct([("n_words", pa.int64()), ("kept", pa.string()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
+CUT_KIND = pa.struct([("n_words", pa.int64()), ("kept", pa.string()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
+
+
+def cut_texts(part: pa.RecordBatch, window: int) -> pa.Array:
+    """Of each text: its words, those that stay, and the spans of those that go."""
+    rows = []
+    for text, at, whole in zip(*part.columns):
+        words = text.as_py().encode().split()
+        gone = np.zeros(len(words) + 1, np.int32)
+        if len(words) >= window:
+            if whole.as_py():
+                gone[0] += 1
+            elif at.is_valid:
+                first = np.asarray(at.values)
+                np.add.at(gone, first, 1)
+                np.add.at(gone, first + window, -1)
+        inside = np.cumsum(gone)[:-1] > 0
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], inside.astype(np.int8), [0]])))
+        kept = b" ".join([w for w, g in zip(words, inside.tolist()) if not g]).decode()
+        rows.append({"n_words": len(words), "kept": kept, "spans": [{"start": a, "end": b} for a, b in edges.reshape(-1, 2).tolist()]})
+    return pa.array(rows, CUT_KIND)
+
 
+def cut_slices(batches: Iterator[tuple[pa.Array, ...]], window: int) -> Iterator[pa.Array]:
+    """Batches of texts, starts of repeated windows and whether the whole text repeats, cut about half a megabyte at a time."""
+    rows = (pa.RecordBatch.from_arrays(list(batch), ["body", "starts", "whole"]) for batch in batches)
+    return by_slices(rows, "body", lambda part: iter([cut_texts(part, window)]))
+
+
+def _cut_column(window: int):
     @F.arrow_udf(CUT)
-    def cut(texts: pa.Array, starts: pa.Array, everything: pa.Array) -> pa.Array:
-        rows = []
-        for text, at, whole in zip(texts, starts, everything):
-            words = text.as_py().encode().split()
-            gone = np.zeros(len(words) + 1, np.int32)
-            if len(words) >= window:
-                if whole.as_py():
-                    gone[0] += 1
-                elif at.is_valid:
-                    first = np.asarray(at.values)
-                    np.add.at(gone, first, 1)
-                    np.add.at(gone, first + window, -1)
-            inside = np.cumsum(gone)[:-1] > 0
-            edges = np.flatnonzero(np.diff(np.concatenate([[0], inside.astype(np.int8), [0]])))
-            kept = b" ".join([w for w, g in zip(words, inside.tolist()) if not g]).decode()
-            rows.append({"n_words": len(words), "kept": kept, "spans": [{"start": a, "end": b} for a, b in edges.reshape(-1, 2).tolist()]})
-        return pa.array(rows, kind)
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        return cut_slices(batches, window)
 
     return cut
 

@@ -123,9 +123,9 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 2 << 20):
 
 
 def by_slices(batches: Iterable[pa.RecordBatch], column: str, work: Callable[[pa.RecordBatch], Iterator], most: int = 1 << 19) -> Iterator:
-    """What ``work`` yields for each slice of each batch, in order; after each batch its memory goes back to the system.
+    """What ``work`` yields for each slice of each batch, in order; after each batch the allocators give free pages back to the system.
 
-    Spark keeps idle workers for the next task. Without this each holds on to the most that any batch ever took.
+    Spark keeps idle workers for the next task, and what they hold counts beside the running ones.
     """
     for batch in batches:
         for part in slices(batch, column, most):

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, exact_dedup, line_dedup, queries
+from millrace.llm import bpe, chat, exact_dedup, line_dedup, queries, substrings
 from tests.llm.test_operators import sha
 
 LONG = "Some words of a line that is long enough to count\n" * 60_000  # 3 MB
@@ -74,3 +74,15 @@ def test_batches_of_megabytes_are_coded_in_slices():
     assert max(len(p) for p in parts) <= 7 and sum(map(len, parts)) == 53
     rows = [r for p in parts for r in p.to_pylist()]
     assert rows == [enc.encode_ordinary(t or "") for t in texts]
+
+
+def test_batches_of_megabytes_are_cut_in_slices():
+    words = [f"w{i}" for i in range(20_000)]
+    texts, starts = [" ".join(words)] * 40 + ["", "a b"], [[0, 5, 100]] * 40 + [None, None]
+    batch = (pa.array(texts), pa.array(starts, pa.list_(pa.int32())), pa.array([False] * 39 + [True, False, False]))
+    parts = list(substrings.cut_slices(iter([batch]), 35))
+    assert max(len(p) for p in parts) <= 7
+    got = [r for p in parts for r in p.to_pylist()]
+    some = {"n_words": 20_000, "kept": " ".join(words[40:100] + words[135:]), "spans": [{"start": 0, "end": 40}, {"start": 100, "end": 135}]}
+    everything = {"n_words": 20_000, "kept": "", "spans": [{"start": 0, "end": 20_000}]}
+    assert got == [some] * 39 + [everything, {"n_words": 0, "kept": "", "spans": []}, {"n_words": 2, "kept": "a b", "spans": []}]
