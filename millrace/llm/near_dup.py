@@ -14,21 +14,25 @@
    text that are not near each other are neither. Classes with different pivots share one of their rarest shingles. In every list only postings outside the
    largest component (or pivot) meet the rest.
 4. For each candidate pair the agreeing coordinates are counted, then the whole shingle sets are compared.
+
+Links are few beside documents, so most steps cost what their shuffles cost, whatever they move. Each small table tells its
+number of rows while it is written; up to ``few`` rows it is sent to every task, and shuffled like any other beyond that.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import common as C
 from millrace.llm.words import Words, mix, powers, rolling, slices
-from millrace.workspace import settle
+from millrace.workspace import settle, settle_told
 
 
 @dataclass(frozen=True)
@@ -44,6 +48,25 @@ class Near:
     short: int = 6
     #: A list of rows as wide as one number is broadcast up to this count (some 16 MB), and shuffled beyond it.
     broadcast_rows: int = 1_000_000
+    #: So many rows of up to four numbers are broadcast (some 8 MB), and more are shuffled.
+    few: int = 100_000
+
+
+class Kept(NamedTuple):
+    """A written table and its number of rows."""
+
+    rows: DataFrame
+    count: int
+
+    def side(self, few: int, *columns: Column | str) -> DataFrame:
+        """These columns for one side of a join, broadcast where the rows are few."""
+        rows = self.rows.select(*columns) if columns else self.rows
+        return F.broadcast(rows) if self.count <= few else rows
+
+
+def kept(df: DataFrame, label: str) -> Kept:
+    rows, told = settle_told(df, label)
+    return Kept(rows, told["rows"])
 
 
 def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
@@ -121,7 +144,8 @@ def _fits(a: str, b: str, percent: int):
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
-    return rows.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    """(a, b) with the smaller node first; a pair met from both ends comes twice."""
+    return rows.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
 class _Search:
@@ -141,55 +165,54 @@ class _Search:
         )
         return met.filter(F.size("t") >= near.agree).select("node", "n", "shared", F.transform("t", lambda x: x["token"]).alias("tokens"))
 
-    def sets(self, wanted: DataFrame) -> DataFrame:
-        """node, members of the wanted classes (node): the whole shingle sets, from the text of one holder each."""
+    def sets(self, wanted: Kept) -> DataFrame:
+        """node, members of the wanted classes (node, also repeated): the whole shingle sets, from the text of one holder each."""
         near = self.near
-        named = settle(self.classes.select("node", "key", "key2", "least").join(wanted, "node", "left_semi"), "near-wanted")
-        ids = settle(named.select(F.col("least").alias("mr_id")).distinct(), "near-holders")
-        if ids.count() <= near.broadcast_rows:
-            ids = F.broadcast(ids)
+        named = kept(self.classes.select("node", "key", "key2", "least").join(wanted.side(near.few, "node"), "node", "left_semi"), "near-wanted")
+        ids = named.rows.select(F.col("least").alias("mr_id"))
+        ids = F.broadcast(ids) if named.count <= near.broadcast_rows else ids.distinct()
         texts = self.docs.join(ids, F.col("doc_id").eqNullSafe(F.col("mr_id")), "left_semi")
-        sets = _sets(texts, near).join(named.select("node", "key", "key2"), ["key", "key2"])
-        return settle(sets.select("node", "members").dropDuplicates(["node"]), "near-sets")
+        sets = _sets(texts, near).join(named.side(near.few, "node", "key", "key2"), ["key", "key2"])
+        return sets.select("node", "members").dropDuplicates(["node"])
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
+    def confirmed(self, pairs: Kept) -> DataFrame:
         """Of the pairs (a, b) those that agree often enough: what their whole sets have in common, and whether that links them."""
         near = self.near
         left = self.nodes.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
         right = self.nodes.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
-        likely = pairs.join(left, "a").join(right, "b").filter(F.size(F.array_intersect("ta", "tb")) >= near.agree)
-        likely = settle(likely.select("a", "b"), "near-likely")
-        sets = self.sets(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        likely = pairs.side(near.few, "a", "b").join(left, "a").join(right, "b").filter(F.size(F.array_intersect("ta", "tb")) >= near.agree)
+        likely = kept(likely.select("a", "b"), "near-likely")
+        sets = settle(self.sets(Kept(likely.rows.select(F.explode(F.array("a", "b")).alias("node")), 2 * likely.count)), "near-sets")
         one = sets.select(F.col("node").alias("a"), F.col("members").alias("ma"))
         two = sets.select(F.col("node").alias("b"), F.col("members").alias("mb"))
         both = F.size(F.array_intersect("ma", "mb")).cast("long")
-        counted = likely.join(one, "a").join(two, "b").select("a", "b", both.alias("both"), F.size("ma").alias("na"), F.size("mb").alias("nb"))
+        counted = likely.side(near.few).join(one, "a").join(two, "b").select("a", "b", both.alias("both"), F.size("ma").alias("na"), F.size("mb").alias("nb"))
         linked = 100 * F.col("both") >= near.percent * (F.col("na") + F.col("nb") - F.col("both"))
         return settle(counted.withColumn("linked", linked), "near-counted")
 
     def stars(self, posts: DataFrame) -> DataFrame:
         """Each posting (x) with the leaders (y) of its list, in a short list with all others, and the number of lists where they meet."""
-        sizes = posts.groupBy("token").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-        posts = settle(posts.join(C.apart(sizes), "token"), "near-lists")
-        few = posts.filter(F.col("size") <= self.near.short).groupBy("token").agg(F.collect_list(F.struct("node", "n")).alias("all"))
-        few = few.select(F.explode("all").alias("x"), "all").select("x", F.explode("all").alias("y"))
-        few = few.select(F.col("x.node").alias("x"), F.col("y.node").alias("y"), F.col("x.n").alias("n"), F.col("y.n").alias("m")).filter("x < y")
-        posts = posts.filter(F.col("size") > self.near.short)
         # in the middle of a group stands what shares most tokens with most classes: even leaders are such, odd ones are any
         ranked = [
             F.struct((-F.col("shared") if r % 2 == 0 else F.lit(0)).alias("rank"), F.xxhash64(F.lit(r), "node").alias("h"), "node", "n")
             for r in range(self.near.leaders)
         ]
-        leaders = posts.groupBy("token").agg(F.array_distinct(F.array(*[F.min(h) for h in ranked])).alias("leaders"))
-        met = posts.join(C.apart(leaders), "token").select(F.col("node").alias("x"), "n", F.explode("leaders").alias("leader"))
+        heads = posts.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.array(*[F.min(h) for h in ranked]).alias("leaders"))
+        leaders = F.array_distinct(F.transform("leaders", lambda x: F.struct(x["node"].alias("node"), x["n"].alias("n"))))
+        heads = heads.filter("size > 1").select("token", F.when(F.col("size") > self.near.short, leaders).alias("leaders"))
+        posts = settle(posts.select("token", "node", "n").join(C.apart(heads), "token"), "near-lists")
+        few = posts.filter("leaders is null").groupBy("token").agg(F.collect_list(F.struct("node", "n")).alias("all"))
+        few = few.select(F.explode("all").alias("x"), "all").select("x", F.explode("all").alias("y"))
+        few = few.select(F.col("x.node").alias("x"), F.col("y.node").alias("y"), F.col("x.n").alias("n"), F.col("y.n").alias("m")).filter("x < y")
+        met = posts.select(F.col("node").alias("x"), "n", F.explode("leaders").alias("leader"))
         met = met.select("x", F.col("leader.node").alias("y"), "n", F.col("leader.n").alias("m"))
         met = met.unionByName(few)
         met = met.filter((F.col("x") != F.col("y")) & _fits("n", "m", self.near.percent))
         return met.groupBy("x", "y").agg(F.count(F.lit(1)).alias("lists"))
 
-    def apart(self, pairs: DataFrame, components: DataFrame) -> DataFrame:
+    def apart(self, pairs: DataFrame, components: Kept) -> DataFrame:
         """Pairs (a, b) whose classes are not in one component yet."""
-        of = lambda c: components.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
+        of = lambda c: components.side(self.near.few, F.col("node").alias(c), F.col("component").alias(f"c{c}"))
         placed = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
         return placed.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
@@ -197,15 +220,20 @@ class _Search:
         """Postings of the lists of ``least`` or more with several values of ``by``, with the most frequent value of the list (``top``)."""
         share = posts.groupBy("token", by).agg(F.count(F.lit(1)).alias("c"))
         most = share.groupBy("token").agg(F.max(F.struct("c", by)).alias("top"), F.count(F.lit(1)).alias("parts"), F.sum("c").alias("size"))
-        return posts.join(C.apart(most.filter((F.col("parts") > 1) & (F.col("size") >= least)).select("token", F.col(f"top.{by}").alias("top"))), "token")
+        most = most.filter((F.col("parts") > 1) & (F.col("size") >= least)).select("token", F.col(f"top.{by}").alias("top"))
+        return posts.join(kept(most, "near-top").side(self.near.few), "token")
 
-    def pivots(self, counted: DataFrame) -> DataFrame:
-        """node, pivot: for each class the partner that most others were compared with, or itself."""
+    def pivots(self, open_nodes: Kept, counted: DataFrame) -> Kept:
+        """node, component, pivot of the classes (node, component): the partner that most others were compared with, or itself."""
+        few = self.near.few
         sides = counted.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("x"))
         sides = sides.select(F.col("x.a").alias("node"), F.col("x.b").alias("pivot"))
-        degree = sides.groupBy("pivot").agg(F.count(F.lit(1)).alias("degree"))
-        met = sides.join(C.apart(degree), "pivot").unionByName(degree.select(F.col("pivot").alias("node"), "pivot", "degree"))
-        return met.groupBy("node").agg(F.max(F.struct("degree", "pivot")).alias("x")).select("node", F.col("x.pivot").alias("pivot"))
+        degree = kept(sides.groupBy("pivot").agg(F.count(F.lit(1)).alias("degree")), "near-degree")
+        met = sides.join(degree.side(few), "pivot").unionByName(degree.rows.select(F.col("pivot").alias("node"), "pivot", "degree"))
+        met = met.join(open_nodes.side(few), "node").select("node", "component", "pivot", "degree")
+        alone = open_nodes.rows.select("node", "component", F.col("node").alias("pivot"), F.lit(0).cast("long").alias("degree"))
+        best = met.unionByName(alone).groupBy("node").agg(F.first("component").alias("component"), F.max(F.struct("degree", "pivot")).alias("x"))
+        return kept(best.select("node", "component", F.col("x.pivot").alias("pivot")), "near-pivots")
 
     def rarest(self, held: DataFrame) -> DataFrame:
         """Postings by the rarest shingles of whole sets: two linked sets share one of them, whatever else they share.
@@ -213,13 +241,14 @@ class _Search:
         A set of n has at least ``percent`` % of n in common with any it is linked with, so all but
         that many of its shingles, and one more, are enough; those of one class only need no posting.
         """
-        shared = held.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-        ordered = held.join(C.apart(shared), "token").groupBy("node").agg(
+        shared = kept(held.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "near-shared")
+        ordered = held.join(shared.side(self.near.few), "token").groupBy("node").agg(
             F.first("n").alias("n"), F.first("component").alias("component"), F.first("pivot").alias("pivot"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
         n = F.col("n")
         free = n - F.ceil(n * self.near.percent / 100) + 1 - (n - F.size("t"))  # after those nobody shares
         cut = F.slice("t", F.lit(1), F.greatest(free, F.lit(0)).cast("int"))
-        return ordered.select("node", "n", "component", "pivot", F.explode(cut).alias("x")).select("node", "n", "component", "pivot", F.col("x.token").alias("token"))
+        posts = ordered.select("node", "n", "component", "pivot", F.explode(cut).alias("x")).select("node", "n", "component", "pivot", F.col("x.token").alias("token"))
+        return settle(posts, "near-rarest")
 
     def across(self, posts: DataFrame, by: str) -> DataFrame:
         """Pairs of fitting size, of different components and different ``by``, in a common list.
@@ -256,29 +285,28 @@ class _Search:
         met = outside.join(inside, ["token", "bucket"])
         return _pairs(met.filter((F.col("cx") != F.col("cy")) & (F.col("ny") <= F.col("mx")) & (F.col("nx") <= F.col("my")) & _fits("nx", "ny", percent)))
 
-    def rest(self, open_nodes: DataFrame, counted: DataFrame) -> DataFrame:
-        """Candidate pairs of classes (node, component) that the leaders left in different components.
+    def rest(self, open_nodes: Kept, counted: DataFrame) -> DataFrame:
+        """Candidate pairs, also repeated, of classes (node, component) that the leaders left in different components.
 
         The core of a pivot's classes is what more than one in ``core`` of them hold. Two linked classes with one pivot share a
         shingle outside the core, or are linked by what they hold of it; with different pivots they share one of their rarest shingles.
         """
         near = self.near
-        placed = open_nodes.join(self.pivots(counted), "node", "left").withColumn("pivot", F.coalesce("pivot", "node"))
-        sets = self.sets(open_nodes.select("node"))
-        classes = settle(sets.join(placed, "node").withColumn("n", F.size("members").cast("long")), "near-classes")
+        placed = self.pivots(open_nodes, counted)
+        sets = self.sets(Kept(open_nodes.rows.select("node"), open_nodes.count))
+        classes = settle(sets.join(placed.side(near.few), "node").withColumn("n", F.size("members").cast("long")), "near-classes")
         held = classes.select("node", "n", "component", "pivot", F.explode("members").alias("token"))
-        size = classes.groupBy("pivot").agg(F.count(F.lit(1)).alias("size"))
-        core = held.groupBy("pivot", "token").agg(F.count(F.lit(1)).alias("c")).join(C.apart(size), "pivot")
-        core = core.filter((F.col("c") > 2) & (F.col("c") * near.core > F.col("size"))).select("pivot", "token", F.lit(True).alias("core"))
-        marked = held.join(C.apart(core), ["pivot", "token"], "left").withColumn("core", F.coalesce("core", F.lit(False)))
+        size = kept(placed.rows.groupBy("pivot").agg(F.count(F.lit(1)).alias("size")), "near-size")
+        core = held.groupBy("pivot", "token").agg(F.count(F.lit(1)).alias("c")).filter("c > 2").join(size.side(near.few), "pivot")
+        core = kept(core.filter(F.col("c") * near.core > F.col("size")).select("pivot", "token", F.lit(True).alias("core")), "near-core")
+        marked = held.join(core.side(near.few), ["pivot", "token"], "left").withColumn("core", F.coalesce("core", F.lit(False)))
         marked = settle(marked, "near-marked")
-        common = marked.groupBy("node").agg(F.count_if("core").alias("common"))
         outside = marked.filter("not core").select("node", "n", "component", F.xxhash64("pivot", "token").alias("token"))
-        classes = classes.select("node", "n", "component", "pivot").join(common, "node")
-        found = self.across(outside, "component").unionByName(self.contained(classes))
-        return found.unionByName(self.across(self.rarest(held), "pivot")).distinct()
+        sums = marked.groupBy("node").agg(F.first("n").alias("n"), F.first("component").alias("component"), F.first("pivot").alias("pivot"), F.count_if("core").alias("common"))
+        found = self.across(outside, "component").unionByName(self.contained(settle(sums, "near-common")))
+        return found.unionByName(self.across(self.rarest(held), "pivot"))
 
-    def run(self) -> DataFrame:
+    def run(self) -> Kept:
         """node, component of every class that is linked with another."""
         near = self.near
         self.nodes = settle(self.posted(), "near-nodes")
@@ -287,50 +315,56 @@ class _Search:
         met = settle(self.stars(posts), "near-stars")
         # one partner of each class first; of the other pairs only those that this leaves in different components
         closest = met.groupBy("x").agg(F.max(F.struct("lists", "y")).alias("t")).select("x", F.col("t.y").alias("y"))
-        first = settle(_pairs(closest), "near-first")
+        first = kept(_pairs(closest).distinct(), "near-first")
         counted = self.confirmed(first)
         linked = lambda pairs: pairs.filter("linked").select("a", "b")
-        components = connect(linked(counted))
-        others = settle(self.apart(_pairs(met).join(first, ["a", "b"], "left_anti"), components), "near-others")
+        components = connect(linked(counted), near.few)
+        others = self.apart(_pairs(met).join(first.side(near.few), ["a", "b"], "left_anti"), components)
+        others = kept(others.distinct(), "near-others")
         between = self.confirmed(others)
-        components = extended(components, linked(between))
-        counted, tried = counted.unionByName(between), first.unionByName(others)
-        placed = posts.join(components, "node", "left").select("token", "node", F.coalesce("component", "node").alias("component"))
-        open_nodes = settle(self.unsettled(settle(placed, "near-placed"), "component", near.short + 1).select("node", "component").distinct(), "near-open")
-        rest = self.rest(open_nodes, counted).join(tried, ["a", "b"], "left_anti")  # pairs left out of both are in one component
-        return extended(components, linked(self.confirmed(settle(rest, "near-rest"))))
+        components = extended(components, linked(between), near.few)
+        counted = counted.unionByName(between)
+        placed = posts.join(components.side(near.few), "node", "left").select("token", "node", F.coalesce("component", "node").alias("component"))
+        open_nodes = kept(self.unsettled(settle(placed, "near-placed"), "component", near.short + 1).select("node", "component").distinct(), "near-open")
+        rest = self.rest(open_nodes, counted)
+        for tried in (first, others):  # pairs left out of both are in one component
+            rest = rest.join(tried.side(near.few), ["a", "b"], "left_anti")
+        return extended(components, linked(self.confirmed(kept(rest.distinct(), "near-rest"))), near.few)
 
 
-def connect(links: DataFrame) -> DataFrame:
+def connect(links: DataFrame, few: int = Near.few) -> Kept:
     """node, component (the smallest node reachable) of all nodes of the links (a, b).
 
     Each round takes the smallest label among a node and its neighbours and then the label of that
     label; rounds go on until nothing changes, each written to the shared folder.
     """
-    both = settle(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "near-both")
-    labels = settle(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("component")), "near-labels")
+    both = settle(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "near-both")
+    labels = kept(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("component")), "near-labels")
+    around = both.unionByName(labels.rows.select(F.col("node").alias("a"), F.col("node").alias("b")))  # a node is its own neighbour
     while True:
-        near_by = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("low"))
-        lower = labels.join(near_by, "node").select("node", F.col("component").alias("old"), F.least("component", "low").alias("component"))
-        jump = labels.select(F.col("node").alias("component"), F.col("component").alias("next"))
-        new = settle(lower.join(jump, "component").select("node", "old", F.least("component", "next").alias("component")), "near-labels")
-        labels = new.select("node", "component")
-        if new.filter("old != component").isEmpty():
+        near_by = around.join(labels.side(few, F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(
+            F.min("component").alias("low"), F.max(F.when(F.col("a") == F.col("b"), F.col("component"))).alias("old"))
+        jump = labels.side(few, F.col("node").alias("low"), F.col("component").alias("next"))
+        new = near_by.join(jump, "low").select("node", "old", F.least("low", "next").alias("component"))
+        new, told = settle_told(new, "near-labels", moved=F.count_if(F.col("old") != F.col("component")))
+        labels = Kept(new.select("node", "component"), labels.count)
+        if not told["moved"]:
             return labels
 
 
-def extended(components: DataFrame, links: DataFrame) -> DataFrame:
+def extended(components: Kept, links: DataFrame, few: int = Near.few) -> Kept:
     """The components (node, component) after more links: only whole components and nodes outside them are connected again."""
-    of = lambda c: components.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
+    of = lambda c: components.side(few, F.col("node").alias(c), F.col("component").alias(f"c{c}"))
     ends = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-    ends = settle(ends.filter("a != b").distinct(), "near-ends")
-    if ends.isEmpty():
+    ends = kept(ends.filter("a != b").distinct(), "near-ends")
+    if not ends.count:
         return components
-    over = connect(ends)
-    moved = components.join(over.select(F.col("node").alias("component"), F.col("component").alias("low")), "component", "left")
+    over = connect(ends.rows, few)
+    moved = components.rows.join(over.side(few, F.col("node").alias("component"), F.col("component").alias("low")), "component", "left")
     moved = moved.select("node", F.coalesce("low", "component").alias("component"))
     # a component's label is one of its nodes, so what is left are nodes that were in none
-    return settle(moved.unionByName(over.join(components, "node", "left_anti").select("node", "component")), "near-components")
+    fresh = over.rows.join(components.side(few, "node"), "node", "left_anti").select("node", "component")
+    return kept(moved.unionByName(fresh), "near-components")
 
 
 def near_duplicates(docs: DataFrame, near: Near = Near(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -346,9 +380,10 @@ def near_duplicates(docs: DataFrame, near: Near = Near(), id_column: str = "doc_
     features = settle(_features(docs, near), "near-features")
     search = _Search(docs, features, near)
     components = search.run()
-    placed = search.classes.select("node", "key", "key2", "least").join(components, "node", "left")
+    placed = search.classes.select("node", "key", "key2", "least").join(components.side(near.few), "node", "left")
     lowest = placed.filter("component is not null").groupBy("component").agg(F.min("least").alias("lowest"))
-    named = placed.join(C.apart(lowest), "component", "left").select("key", "key2", F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("lowest")).alias("c"))
+    lowest = F.broadcast(lowest) if components.count <= near.few else C.apart(lowest)
+    named = placed.join(lowest, "component", "left").select("key", "key2", F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("lowest")).alias("c"))
     worded = features.filter("n > 0").join(named, ["key", "key2"])
     rows = worded.select("doc_id", "n", "c").unionByName(features.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("c")))
     return rows.select(
