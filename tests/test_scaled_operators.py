@@ -64,6 +64,22 @@ def test_prices_of_a_hot_key(spark):
     assert whole.max() > 3 * statistics.median(whole)  # by the key alone one part has them all
 
 
+def test_long_validity_ranges_stay_few_rows(spark):
+    """Prices open for ten years: their bins make few rows of them, and 150,000 prices are not sent to every task, though Spark expects little of them."""
+    prices = spark.range(150_000).select(
+        F.col("id").alias("sku"), F.when(F.col("id") % 2 == 0, F.lit("1990-01-01")).otherwise(F.lit("1995-06-15")).cast("date").alias("start_date"),
+        F.when(F.col("id") % 3 == 0, F.lit("1999-12-31").cast("date")).alias("end_date"), (F.col("id") % 7).alias("rate"),
+    )
+    facts = spark.range(4000).select((F.col("id") * 37 % 170_000).alias("sku"), F.date_add(F.lit("1989-06-01").cast("date"), (F.col("id") * 2).cast("int")).alias("day"))
+    got = validity.valid_at(facts, prices, "sku", "day")
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    width, made = validity._width(prices, F.col("start_date"), F.coalesce("end_date", F.lit(dt.date(2011, 4, 25))))
+    assert 150_000 <= made <= 300_000 and width > 365  # by months they were more than twenty million
+    plain = facts.join(prices, "sku", "left").filter("rate IS NULL OR day >= start_date AND (end_date IS NULL OR day <= end_date)")
+    inside = lambda df: sorted((r.sku, r.day, r.rate) for r in df.filter("rate IS NOT NULL").collect())
+    assert inside(got) == inside(plain) and got.count() == 4000
+
+
 def spread(df, column, files):
     placed = df.withColumn("file", F.spark_partition_id())
     return placed.groupBy("file").agg((F.max(column) - F.min(column)).alias("w")).agg(F.avg("w")).first()[0]
